@@ -16,6 +16,7 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
             "spark.sql.sources.parallelPartitionDiscovery.parallelism": "4",
         },

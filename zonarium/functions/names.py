@@ -21,28 +21,36 @@ BROKEN_PREFIXES = ["MS", "SS"]
 BROKEN_WORDS = ["heatedbsmt", "slab", "officeLarge"]
 
 
-def _join(*parts):
-    """Parts joined by underscores; NULL when a part is missing."""
-    return F.concat(*[x for p in parts for x in (F.lit("_"), p)][1:])
+# Model file names, as far as they are used.
+# Commercial: standard, type, three letters and the year, location.
+_COMMERCIAL_FILE = r"^(ASHRAE|IECC)[^_]*_([^_]*)_[^_]{0,3}([^_]*)_([^_]*)(?:_.*)?$"
+# Residential: prototype, climate zone, heating, foundation, standard and year.
+_RESIDENTIAL_FILE = r"^US[^+]*\+([^+]*)\+([^+]*)\+([^+]*)\+([^+]*)\+([^+]*)(?:\+.*)?$"
 
 
 def run_name(model_file):
     """Run name of a model file; NULL when the file name lacks a part."""
     stem = F.replace(basename(model_file), F.lit(".idf"), F.lit(""))
-    words, plus = F.split(stem, "_"), F.split(stem, r"\+")
-
-    def commercial(standard):
-        year = F.substring(F.get(words, F.lit(2)), 4, 1 << 20)
-        return _join(F.lit(standard), year, F.get(words, F.lit(3)), F.get(words, F.lit(1)))
-
-    code = F.get(plus, F.lit(2))
-    residential = _join(
-        F.get(plus, F.lit(1)), code, location(code), *[F.get(plus, F.lit(i)) for i in (3, 4, 5)]
-    )
+    code = F.regexp_extract(stem, _RESIDENTIAL_FILE, 2)
     return (
-        F.when(stem.startswith("ASHRAE"), commercial("ASHRAE"))
-        .when(stem.startswith("IECC"), commercial("IECC"))
-        .when(stem.startswith("US"), residential)
+        F.when(
+            stem.startswith("ASHRAE") | stem.startswith("IECC"),
+            F.when(
+                stem.rlike(_COMMERCIAL_FILE),
+                F.regexp_replace(stem, _COMMERCIAL_FILE, "$1_$3_$4_$2"),
+            ),
+        )
+        .when(
+            stem.startswith("US"),
+            F.when(
+                stem.rlike(_RESIDENTIAL_FILE),
+                F.concat(
+                    F.regexp_replace(stem, _RESIDENTIAL_FILE, "$1_$2_"),
+                    location(code),
+                    F.regexp_replace(stem, _RESIDENTIAL_FILE, "_$3_$4_$5"),
+                ),
+            ),
+        )
         .otherwise(stem)
     )
 

@@ -13,10 +13,8 @@ LOCATION_PART = {COMMERCIAL: 2, MANUFACTURED: 1, RESIDENTIAL: 2}
 
 def run_location(run, kind):
     """Location part of a run name; ``kind`` is a column of category names."""
-    parts = F.split(run, "_")
-    return F.coalesce(
-        *[F.when(kind == k, F.get(parts, F.lit(i))) for k, i in LOCATION_PART.items()]
-    )
+    part = F.coalesce(*[F.when(kind == k, i) for k, i in LOCATION_PART.items()])
+    return F.get(F.split(run, "_"), part)
 
 
 def match_weather(models, weather, on_kind=True):
