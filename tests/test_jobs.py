@@ -211,7 +211,7 @@ def test_column_names_and_bundle(spark, tmp_path):
         ["Date/Time", *FILES["Zone_Mean_Air_Temperature"]],
     )
     assert frame.count() == 3
-    long = spark.range(4).select(F.col("id").alias("buildingid"), F.lit("V W").alias("variablename"), F.lit(1.0).alias("value"))
+    long = spark.range(4).select(F.col("id").alias("buildingid"), F.lit("V W").alias("variablename"), F.lit(1).alias("datetime"), F.lit(1.0).alias("value"))
     files.write_bundle(long, str(tmp_path / "bundle"))
     assert rows(spark.read.parquet(str(tmp_path / "bundle")).select("buildingid", "variablename")) == [
         (i, "V W") for i in range(4)

@@ -38,11 +38,15 @@ def test_new_rows(spark):
     assert short(loading.new_rows(batch, batch)) == []
 
 
-def test_listed_buildings(spark, monkeypatch):
+def test_buildings_of(spark, monkeypatch):
     batch = series(spark, [(1, 0, "A", 1.0), (2, 0, "A", 1.0), (2, 1, "A", 1.0)])
-    assert sorted(loading.listed_buildings(batch)) == [1, 2]
+    stored = series(spark, [(b, 0, "A", 1.0) for b in (1, 2, 3)])
+    assert sorted(loading.buildings_of(batch)) == [1, 2]
+    assert short(loading.of_buildings(stored, [1, 2])) == [(1, 0, "A", 1.0), (2, 0, "A", 1.0)]
     monkeypatch.setattr(loading, "MAX_LISTED_BUILDINGS", 1)
-    assert loading.listed_buildings(batch) is None
+    many = loading.buildings_of(batch)
+    assert rows(many) == [(1,), (2,)]
+    assert short(loading.of_buildings(stored, many)) == [(1, 0, "A", 1.0), (2, 0, "A", 1.0)]
 
 
 def test_after_watermark_is_per_key(spark):

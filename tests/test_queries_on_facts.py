@@ -115,6 +115,17 @@ def test_aggregate_zones(facts, zone_map, eio, how, first):
     assert out.count() == 9
 
 
+def test_aggregate_zones_in_several_ways_at_once(facts, zone_map, eio):
+    out = aggregate.aggregate_zones(
+        facts, zone_map, ["min", "max", "area_weighted"], aggregate.zone_weights(eio)
+    )
+    assert out.columns[4:] == ["min", "max", "area_weighted"]
+    first = out.filter((F.col("buildingid") == 1) & (F.col("datetime") == D[0]))
+    assert rows(first.drop("buildingid", "variablename", "datetime")) == [
+        ("Aggregation_Zone_1", 1.0, 3.0, 2.5), ("Aggregation_Zone_2", 10.0, 10.0, None),
+    ]
+
+
 def test_weighted_mean_leaves_out_missing_values(spark):
     df = spark.createDataFrame([(1.0, 1.0), (None, 5.0), (4.0, None), (3.0, 3.0)], "v double, w double")
     assert df.agg(aggregate.weighted_mean(F.col("v"), F.col("w"))).first()[0] == 2.5

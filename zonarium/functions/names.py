@@ -93,34 +93,37 @@ _POSITIONS = {
 }
 
 
-def building_attributes(results_folder, heating):
-    """The ten building columns parsed from a run name, ``'NA'`` where missing.
+def with_building_attributes(runs, folder, heating):
+    """``runs`` with the ten building columns, ``'NA'`` where the name lacks a part.
 
-    ``heating`` is the heating-tag text of the model; only commercial
-    buildings use it, the other names carry their heating type.
+    ``folder`` names the column of the results folder, whose last part is the
+    run name.  ``heating`` names the column of the model's heating tags; only
+    commercial buildings use it, the other names carry their heating type.
     """
-    parts = F.split(basename(results_folder), "_")
-    category = building_category(results_folder)
+    parts, category, place = F.col("_parts"), F.col("_category"), F.get("_parts", F.lit(2))
     values = {
         kind: {name: F.get(parts, F.lit(i)) for name, i in where.items()}
         for kind, where in _POSITIONS.items()
     }
-    place = F.get(parts, F.lit(2))
     values[COMMERCIAL]["buildingclimatezone"] = F.when(place.isNotNull(), climate_zone(place))
     values[COMMERCIAL]["buildingheatingtype"] = F.coalesce(heating, F.lit(""))
 
-    columns = []
-    for name in BUILDING_ATTRIBUTES:
-        if name == "buildingcategory":
-            columns.append(category.alias(name))
-            continue
+    columns = [category.alias("buildingcategory")]
+    for name in BUILDING_ATTRIBUTES[1:]:
         options = [
             F.when(category == kind, found[name])
             for kind, found in values.items()
             if name in found
         ]
         columns.append(F.coalesce(*options, F.lit(NA)).alias(name))
-    return columns
+    # The name is split once, before the ten columns are taken from it.
+    split = runs.withColumns(
+        {
+            "_parts": F.split(basename(F.col(folder)), "_"),
+            "_category": building_category(F.col(folder)),
+        }
+    )
+    return split.select(*runs.columns, *columns)
 
 
 def heating_tags(text):

@@ -25,6 +25,9 @@ def basename(path):
     return F.element_at(F.split(path, r"[/\\]"), -1)
 
 
+_DATE_TIME = r"^\s*\d{1,2}/\d{1,2}  +\d{1,2}:\d{1,2}:\d{1,2}\s*$"
+
+
 def format_datetime(year, text):
     """``MM/DD  HH:MM:SS`` of a simulation year as a timestamp without zone.
 
@@ -32,21 +35,17 @@ def format_datetime(year, text):
     zero; date and time are two blanks apart.  Anything else, such as
     29 February of a common year, gives NULL.
     """
-    year = F.lit(year).cast("int")
-    pattern = r"^(\d{1,2})/(\d{1,2})  +(\d{1,2}):(\d{1,2}):(\d{1,2})$"
-    text = strip(text)
-    month, day, hour, minute, second = (
-        F.regexp_extract(text, pattern, i).try_cast("int") for i in range(1, 6)
-    )
-    midnight = F.format_string("%04d-%02d-%02d", year, month, day).try_cast("timestamp_ntz")
-    zero = F.lit(0)
-    since_midnight = F.when(
-        hour == 24, F.make_dt_interval(F.lit(1), zero, zero, F.lit(0).cast("decimal(18,6)"))
-    ).when(
-        (hour < 24) & (minute < 60) & (second < 60),
-        F.make_dt_interval(zero, hour, minute, second.cast("decimal(18,6)")),
-    )
-    return midnight + since_midnight
+    trimmed = strip(text)
+    date = F.replace(F.substring_index(trimmed, " ", 1), F.lit("/"), F.lit("-"))
+    time = F.substring_index(trimmed, " ", -1)
+    year = F.lpad(F.lit(year).cast("string"), 4, "0")
+    midnight_after = time.startswith("24:")
+    clock = F.when(midnight_after, "00:00:00").otherwise(time)
+    # NULL for other text; kept apart, so that the parts are computed only once.
+    valid = F.when(text.rlike(_DATE_TIME), "")
+    # Spark reads one or two digits for each part of a timestamp.
+    iso = F.concat(year, F.lit("-"), date, F.lit(" "), clock, valid)
+    return iso.try_cast("timestamp_ntz") + F.make_dt_interval(midnight_after.cast("int"))
 
 
 def seconds_to_hhmmss(seconds):

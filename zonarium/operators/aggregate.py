@@ -47,6 +47,10 @@ def with_aggregation_zone(rows, zone_map):
     return lookup_join(rows, mapping, ["buildingid", "zonename"], "inner")
 
 
+SIMPLE = {"mean": F.avg, "sum": F.sum, "min": F.min, "max": F.max}
+WEIGHTED = {f"{kind}_weighted": kind for kind in WEIGHT_VARIABLE}
+
+
 def aggregate_zones(ts, zone_map, how="mean", weights=None, name="zonename"):
     """One series per aggregation zone and variable.
 
@@ -54,27 +58,35 @@ def aggregate_zones(ts, zone_map, how="mean", weights=None, name="zonename"):
     ``name`` set to ``surfacename`` or ``systemnodename`` it gives that of each
     surface or node, so these series collapse to one per zone as well.
 
-    ``how`` is mean, sum, min, max, area_weighted or volume_weighted.  The
-    weighted means take ``weights`` (see ``zone_weights``); a zone without a
-    weight, and a missing value, count in neither sum.  Every mode is a plain
-    aggregate that is combined before the shuffle.
+    ``how`` is mean, sum, min, max, area_weighted or volume_weighted; the
+    result is in ``value``.  A list of them gives one column each, from one
+    pass.  The weighted means take ``weights`` (see ``zone_weights``); a zone
+    without a weight, and a missing value, count in neither sum.  Every mode
+    is a plain aggregate that is combined before the shuffle.
     """
-    value = F.col("value").cast("double")
-    simple = {"mean": F.avg, "sum": F.sum, "min": F.min, "max": F.max}
-    if how in simple:
-        result = simple[how](value)
-    elif how in ("area_weighted", "volume_weighted"):
-        kind = how.split("_")[0]
+    modes = [how] if isinstance(how, str) else list(how)
+    unknown = [m for m in modes if m not in SIMPLE and m not in WEIGHTED]
+    if unknown:
+        raise ValueError(f"unknown aggregation {unknown}")
+    if any(m in WEIGHTED for m in modes):
         if weights is None:
-            raise ValueError(f"{how} needs weights")
-        sizes = weights.select("buildingid", "zonename", F.col(kind).alias("_weight"))
-        zone_map = zone_map.join(sizes, ["buildingid", "zonename"], "left")
-        result = weighted_mean(value, F.col("_weight"))
-    else:
-        raise ValueError(f"unknown aggregation {how!r}")
+            raise ValueError(f"{modes} needs weights")
+        zone_map = zone_map.join(
+            weights.select("buildingid", "zonename", *WEIGHT_VARIABLE),
+            ["buildingid", "zonename"],
+            "left",
+        )
+    value = F.col("value").cast("double")
+    results = [
+        (SIMPLE[m](value) if m in SIMPLE else weighted_mean(value, F.col(WEIGHTED[m]))).alias(
+            "value" if isinstance(how, str) else m
+        )
+        for m in modes
+    ]
     rows = lookup_join(ts, zone_map, ["buildingid", name], "inner", spread=["datetime"])
-    return rows.groupBy("buildingid", zone_label(), "variablename", "datetime").agg(
-        result.alias("value")
+    series = rows.groupBy("buildingid", "aggregation_zone", "variablename", "datetime").agg(*results)
+    return series.select(
+        "buildingid", zone_label(), "variablename", "datetime", *series.columns[4:]
     )
 
 
@@ -108,12 +120,14 @@ def equipment_levels(eio, zone_map, variable, equipment=tuple(EQUIPMENT)):
     levels = (
         with_aggregation_zone(rows, zone_map)
         .withColumn("kind", kind)
-        .groupBy("buildingid", zone_label(EQUIPMENT_STEM))
+        .groupBy("buildingid", "aggregation_zone")
         .pivot("kind", list(equipment))
         .agg(F.sum(F.col("floatvalue").cast("double")))
     )
     return levels.select(
-        "buildingid", "zonename", *[F.col(e).alias(f"{e}_Level") for e in equipment]
+        "buildingid",
+        zone_label(EQUIPMENT_STEM),
+        *[F.col(e).alias(f"{e}_Level") for e in equipment],
     )
 
 

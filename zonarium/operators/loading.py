@@ -17,20 +17,23 @@ def with_subvariable(long):
 
 
 def of_buildings(facts, buildings):
-    """Facts of the listed buildings, so the scan skips other partitions.
+    """Facts of some buildings, so that the scan skips the other partitions.
 
-    ``None`` or a longer list than ``MAX_LISTED_BUILDINGS`` leaves them whole.
+    ``buildings`` is what ``buildings_of`` gives: a list goes to the scan as a
+    filter, a frame is joined and prunes the partitions at run time.
     """
-    if buildings is None or len(buildings) > MAX_LISTED_BUILDINGS:
+    if buildings is None:
         return facts
-    return facts.filter(F.col("buildingid").isin(list(buildings)))
+    if isinstance(buildings, list):
+        return facts.filter(F.col("buildingid").isin(buildings))
+    return lookup_join(facts, buildings, "buildingid", "left_semi")
 
 
-def listed_buildings(batch):
-    """Building ids of a batch, or ``None`` if there are too many to list."""
-    some = batch.select("buildingid").distinct().limit(MAX_LISTED_BUILDINGS + 1)
-    ids = [row.buildingid for row in some.collect()]
-    return ids if len(ids) <= MAX_LISTED_BUILDINGS else None
+def buildings_of(batch):
+    """Building ids of a batch: a list, or a frame if there are too many to list."""
+    distinct = batch.select("buildingid").distinct()
+    ids = [row.buildingid for row in distinct.limit(MAX_LISTED_BUILDINGS + 1).collect()]
+    return ids if len(ids) <= MAX_LISTED_BUILDINGS else distinct
 
 
 def new_rows(batch, existing, buildings=None):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import number_or_text, strip
 from ..schemas import EIO_KEY, NA
+from ..session import checkpointed
 from .joins import lookup_join
 from .rows import last_by, minus_existing
 
@@ -35,24 +36,23 @@ def all_categories(line):
 
 def section_cells(line):
     """Cells after the first token; a last cell of one blank is dropped."""
-    cells = F.split(F.rtrim(line, F.lit("\r\n")), ",")
-    cells = F.when(
-        F.element_at(cells, -1) == " ", F.slice(cells, 1, F.size(cells) - 1)
-    ).otherwise(cells)
-    return F.slice(cells, 2, F.size(cells))
+    text = F.rtrim(line, F.lit("\r\n"))
+    text = F.when(text.endswith(", "), F.left(text, F.length(text) - 2)).otherwise(text)
+    return F.slice(F.split(text, ","), 2, 1 << 20)
 
 
 def section_headers(lines):
     """One header per file and section: a comment line that names the section.
 
-    Of several headers the last one counts.
+    Of several headers the last one counts.  Column names are trimmed here,
+    once per header.
     """
     line = F.col("value")
     found = lines.filter(line.contains("!")).select(
         "file",
         first_category(line).alias("tablename"),
         "line_no",
-        F.transform(section_cells(line), lambda c: F.rtrim(c)).alias("header"),
+        F.transform(section_cells(line), strip).alias("header"),
     )
     return last_by(
         found.filter(F.col("tablename").isNotNull()), ["file", "tablename"], "line_no", ["header"]
@@ -75,13 +75,15 @@ def match_sections(lines):
             F.explode(all_categories(line)).alias("tablename"),
         )
     )
-    return lookup_join(body, section_headers(lines), ["file", "tablename"], "inner", ["line_no"])
+    # stored once, as finding the headers reads all lines
+    headers = checkpointed(section_headers(lines))
+    return lookup_join(body, headers, ["file", "tablename"], "inner", ["line_no"])
 
 
 def problem(header, cells):
     """Why a data row cannot be used, NULL if it can."""
     return F.when(F.size(cells) > F.size(header), "row longer than header").when(
-        F.array_position(F.transform(header, strip), ZONE_COLUMN) == 0, "no zone column"
+        F.array_position(header, ZONE_COLUMN) == 0, "no zone column"
     )
 
 
@@ -106,8 +108,7 @@ def sections_to_long(sections, keys=("file",)):
     Every column but the zone becomes a row.  A number goes to ``floatvalue``
     with ``'NA'`` as text, anything else to ``stringvalue`` with no number.
     """
-    names = F.transform("header", strip)
-    zone_at = (F.array_position(names, ZONE_COLUMN) - 1).cast("int")
+    zone_at = (F.array_position("header", ZONE_COLUMN) - 1).cast("int")
     text, number = number_or_text(F.col("cell"))
     return (
         sections.select(
@@ -115,17 +116,15 @@ def sections_to_long(sections, keys=("file",)):
             "tablename",
             strip(F.get("cells", zone_at)).alias("zonename"),
             zone_at.alias("zone_at"),
-            F.posexplode(F.arrays_zip(names.alias("name"), F.col("cells").alias("cell"))).alias(
-                "position", "pair"
-            ),
+            F.posexplode(F.arrays_zip("header", "cells")).alias("position", "pair"),
         )
         .filter(F.col("position") != F.col("zone_at"))
         .select(
             *keys,
             "tablename",
             "zonename",
-            F.col("pair.name").alias("variablename"),
-            F.col("pair.cell").alias("cell"),
+            F.col("pair.header").alias("variablename"),
+            F.col("pair.cells").alias("cell"),
         )
         .select(
             *keys,

@@ -9,7 +9,7 @@ from ..functions.scalars import (
     subvariable_columns,
     variable_family,
 )
-from ..schemas import NA
+from ..schemas import NA, SUBVARIABLE_COLUMNS
 from .joins import lookup_join
 
 DATE_COLUMN = "Date/Time"
@@ -114,30 +114,27 @@ def lines_to_long(lines, headers, year, timeresolution):
     """Body lines of many output files to long rows.
 
     ``lines`` has ``file`` and ``value``.  ``headers`` has ``file``,
-    ``buildingid``, ``variablename`` and ``columns``: the value columns that
-    are wanted, as structs of ``position`` and ``sub``.  Cells become rows
-    after the join, so only whole lines are moved when the headers are too
-    many to broadcast.
+    ``buildingid``, ``variablename`` and ``columns``, the value columns that
+    are wanted (see ``collect_columns``).  Only whole lines are moved when the
+    headers are too many to broadcast; the time is read once per line, and a
+    cell costs one array access and one cast.
     """
-    joined = lookup_join(lines.select("file", "value"), headers, "file", how="inner")
-    cells = F.split("value", ",")
-    family = variable_family(F.col("variablename"))
+    per_line = lookup_join(lines.select("file", "value"), headers, "file", how="inner").select(
+        "buildingid",
+        format_datetime(year, F.substring_index("value", ",", 1)).alias("datetime"),
+        F.lit(timeresolution).cast("int").alias("timeresolution"),
+        "variablename",
+        F.split("value", ",").alias("cells"),
+        "columns",
+    )
     cell = F.get(F.col("cells"), F.col("column.position"))
-    return (
-        joined.select(
-            "buildingid",
-            "variablename",
-            cells.alias("cells"),
-            F.explode("columns").alias("column"),
-        )
-        .select(
-            "buildingid",
-            format_datetime(year, F.get("cells", F.lit(0))).alias("datetime"),
-            F.lit(timeresolution).cast("int").alias("timeresolution"),
-            "variablename",
-            *subvariable_columns(family, F.col("column.sub")),
-            F.trim(cell).try_cast("double").alias("value"),
-        )
+    return per_line.select("*", F.explode("columns").alias("column")).select(
+        "buildingid",
+        "datetime",
+        "timeresolution",
+        "variablename",
+        *[F.col(f"column.{c}").alias(c) for c in SUBVARIABLE_COLUMNS],
+        F.trim(cell).try_cast("double").alias("value"),
     )
 
 
@@ -159,11 +156,13 @@ def header_columns(headers):
 
 
 def collect_columns(columns, keys):
-    """Rows of ``header_columns`` back to one row per file, for ``lines_to_long``."""
+    """Rows of ``header_columns`` back to one row per file, for ``lines_to_long``.
+
+    The four sub-name columns are settled here, once per column of a header.
+    """
+    names = subvariable_columns(variable_family(F.col("variablename")), F.col("subvariable"))
     return columns.groupBy(*keys).agg(
-        F.collect_list(
-            F.struct(F.col("position"), F.col("subvariable").alias("sub"))
-        ).alias("columns")
+        F.collect_list(F.struct("position", *names)).alias("columns")
     )
 
 

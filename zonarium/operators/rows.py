@@ -38,13 +38,13 @@ def repeat_rows(df, count, per_piece=COPIES_PER_PIECE):
     """Each row repeated ``count`` times; ``count`` itself is dropped.
 
     A row with very many copies is cut into pieces that are redistributed
-    before they are written out.
+    before they are written out.  Their number of partitions is fixed, as the
+    pieces are small only until then.
     """
     columns = [c for c in df.columns if c != count]
     n = F.col(count)
 
     def written_out(rows):
-        # size 0 of the sequence is never needed: every count is at least 1
         return rows.withColumn(_PIECE, F.explode(F.sequence(F.lit(1), n))).select(*columns)
 
     few = written_out(df.filter(n <= per_piece))
@@ -53,7 +53,7 @@ def repeat_rows(df, count, per_piece=COPIES_PER_PIECE):
         df.filter(n > per_piece)
         .withColumn(_PIECE, F.explode(F.sequence(F.lit(0).cast("long"), last)))
         .withColumn(count, F.least(n - F.col(_PIECE) * per_piece, F.lit(per_piece).cast("long")))
-        .repartition(*columns, _PIECE)
+        .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns, _PIECE)
         .drop(_PIECE)
     )
     return few.unionByName(written_out(pieces))

@@ -4,13 +4,13 @@ import time
 
 from pyspark.sql import functions as F
 
-from ..functions.names import building_attributes
+from ..functions.names import with_building_attributes
 from ..operators.aggregate import aggregate_zones
 from ..operators.joins import lookup_join
 from ..operators.loading import (
     after_watermark,
     building_status,
-    listed_buildings,
+    buildings_of,
     new_rows,
     not_loaded,
     of_buildings,
@@ -92,7 +92,10 @@ def load_outputs(
     headers, body = split_output_lines(lines)
     wanted = checkpointed(wanted_columns(headers, runs, ledger if skip_completed else None))
     keys = (
-        wanted.select("buildingid", "variablename", F.explode("columns.sub").alias("subvariable"))
+        with_subvariable(
+            wanted.select("buildingid", "variablename", F.inline("columns"))
+        )
+        .select(*LEDGER_KEY)
         .distinct()
     )
     begun = keys.withColumn("status", F.lit(UPLOAD_STARTED))
@@ -101,7 +104,7 @@ def load_outputs(
     batch = lines_to_long(body, wanted, year, timeresolution)
     batch = batch.withColumn("value", F.col("value").cast("float"))
     stored = read_table(spark, root, "timeseriesdata")
-    buildings = listed_buildings(wanted)
+    buildings = buildings_of(wanted)
     if mode == DEDUPE:
         fresh = new_rows(batch, stored, buildings)
     else:
@@ -137,7 +140,7 @@ def load_eio(spark, root, lines, runs):
     batch = sections_to_long(known, keys=("buildingid",))
     stored = read_table(spark, root, "eiotabledata")
     append_rows(
-        new_report_rows(batch, of_buildings(stored, listed_buildings(runs))), root, "eiotabledata"
+        new_report_rows(batch, of_buildings(stored, buildings_of(runs))), root, "eiotabledata"
     )
 
 
@@ -154,9 +157,9 @@ def register_buildings(spark, root, manifest, models_root):
     runs = manifest.select(
         local_path(F.col("IDF Filepath")).alias("IDF Filepath"), MANIFEST_KEY
     ).dropDuplicates([MANIFEST_KEY])
-    described = runs.join(heating, "IDF Filepath", "left").select(
-        run_of_folder().alias("run"), MANIFEST_KEY, *building_attributes(F.col(MANIFEST_KEY), F.col("heating"))
-    )
+    described = with_building_attributes(
+        runs.join(heating, "IDF Filepath", "left"), MANIFEST_KEY, "heating"
+    ).withColumn("run", run_of_folder())
     numbered = add_buildings(spark, described, root)
     return checkpointed(numbered.select("run", MANIFEST_KEY, "buildingid"))
 

@@ -106,10 +106,12 @@ _ATTRIBUTES_SQL = f"""
 
 
 def _described(spark, sf_dir):
-    heating = F.when(F.col("p_size") > 25, "Water & Gas")
-    return table(spark, sf_dir, "part").select(
-        "p_partkey", *names.building_attributes(_folder(), heating)
+    runs = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        _folder().alias("folder"),
+        F.when(F.col("p_size") > 25, "Water & Gas").alias("heating"),
     )
+    return names.with_building_attributes(runs, "folder", "heating").drop("folder", "heating")
 
 
 @query(f"SELECT p_partkey, {_ATTRIBUTES_SQL} FROM part")

@@ -367,15 +367,10 @@ _LABEL_SQL = "'Aggregation_Zone_' || aggregation_zone"
            round(sum(value), 6) AS sum, min(value) AS min, max(value) AS max
     FROM {s.DAILY_SQL} JOIN {s.ZONE_MAP_SQL} USING (buildingid, zonename) GROUP BY ALL""")
 def q_zone_aggregate(spark, sf_dir):
-    series, mapping = s.daily_zone_series(spark, sf_dir), s.zone_map(spark, sf_dir)
-    keys = ["buildingid", "zonename", "variablename", "datetime"]
-    out = None
-    for how, digits in (("mean", 8), ("sum", 6), ("min", None), ("max", None)):
-        one = aggregate.aggregate_zones(series, mapping, how)
-        value = F.round("value", digits) if digits else F.col("value")
-        one = one.select(*keys, value.alias(how))
-        out = one if out is None else out.join(one, keys)
-    return out
+    out = aggregate.aggregate_zones(
+        s.daily_zone_series(spark, sf_dir), s.zone_map(spark, sf_dir), ["mean", "sum", "min", "max"]
+    )
+    return out.withColumns({"mean": F.round("mean", 8), "sum": F.round("sum", 6)})
 
 
 @query(f"""

@@ -155,7 +155,7 @@ def q_column_names(spark, sf_dir):
 
 @query(_FLOAT_FACTS.replace("CAST(CAST(value AS FLOAT) AS DOUBLE)", "value"))
 def q_bundle(spark, sf_dir):
-    """Facts written as a bundle, split by building and variable, and read back."""
+    """Facts written as a bundle, split by building, and read back."""
     path = scratch_path(spark, "bundle")
     facts = s.facts(spark, sf_dir).select(*s.FACT_COLUMNS)
     files.write_bundle(facts, path)

@@ -231,12 +231,12 @@ def write_zone_info(rows, path):
 
 
 def write_bundle(long, path):
-    """Processed series of a run or many, split by building and variable.
+    """Processed series of any number of runs, one folder per building.
 
-    The rebalance step brings the rows of a folder together and still splits
-    a folder that is far larger than the others.
+    The rebalance step brings the rows of a building together and still splits
+    a building that is far larger than the others.  Rows are sorted by
+    variable and time, so that a reader skips row groups of other variables.
     """
-    long.hint("rebalance", "buildingid", "variablename").write.mode("overwrite").partitionBy(
-        "buildingid", "variablename"
-    ).parquet(path)
-
+    long.hint("rebalance", "buildingid").sortWithinPartitions(
+        "buildingid", "variablename", "datetime"
+    ).write.mode("overwrite").partitionBy("buildingid").parquet(path)
