@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import strip
 from ..schemas import NA
+from ..session import checkpointed
 from .joins import lookup_join
 from .reshape import pivot_variables
 
@@ -71,10 +72,13 @@ def aggregate_zones(ts, zone_map, how="mean", weights=None, name="zonename"):
     if any(m in WEIGHTED for m in modes):
         if weights is None:
             raise ValueError(f"{modes} needs weights")
-        zone_map = zone_map.join(
-            weights.select("buildingid", "zonename", *WEIGHT_VARIABLE),
-            ["buildingid", "zonename"],
-            "left",
+        # stored once, as the weights come from the report rows
+        zone_map = checkpointed(
+            zone_map.join(
+                weights.select("buildingid", "zonename", *WEIGHT_VARIABLE),
+                ["buildingid", "zonename"],
+                "left",
+            )
         )
     value = F.col("value").cast("double")
     results = [
@@ -139,7 +143,7 @@ def equipment_schedules(ts, eio):
     ready for ``aggregate_zones``.
     """
     tables = [e + GAINS for e in EQUIPMENT]
-    users = (
+    users = checkpointed(
         eio.filter(F.col("tablename").isin(tables) & (F.col("variablename") == "Schedule Name"))
         .select(
             "buildingid",

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.names import COMMERCIAL, MANUFACTURED, RESIDENTIAL, is_broken_model, run_name
 from ..functions.scalars import basename
 from ..schemas import MANIFEST_COLUMNS, MANIFEST_KEY, NA, NOT_STARTED, UPLOADED
+from ..session import checkpointed
 from .joins import lookup_join
 
 # Part of the run name that is the location, per kind of model.
@@ -24,28 +25,27 @@ def match_weather(models, weather, on_kind=True):
     ``weather_path`` (and ``kind``).  Instead of testing all pairs, each path
     is cut into its substrings of the lengths that occur, and those are joined
     with the distinct locations by equality.  Locations are plain words, so
-    this equals a pattern search.
+    this equals a pattern search.  Locations and pairs are
+    small and used more than once, so each is stored.
     """
     on = ["kind", "location"] if on_kind else ["location"]
-    locations = models.select(*on).filter(F.col("location").isNotNull()).distinct()
+    locations = checkpointed(models.select(*on).filter(F.col("location").isNotNull()).distinct())
     shortest, longest = locations.agg(
         F.min(F.length("location")), F.max(F.length("location"))
     ).first()
     if shortest is None:
         shortest = longest = 0
     path = F.col("weather_path")
-    starts = F.sequence(F.lit(1), F.greatest(F.length(path), F.lit(1)))
-    lengths = F.sequence(F.lit(shortest), F.lit(longest))
-    words = F.array_distinct(
-        F.flatten(F.transform(starts, lambda i: F.transform(lengths, lambda n: F.substring(path, i, n))))
-    )
     kind = ["kind"] if on_kind else []
-    found = (
+    words = (
         weather.select(*kind, "weather_path")
         .distinct()
-        .select(*kind, "weather_path", F.explode(words).alias("location"))
+        .select("*", F.explode(F.sequence(F.lit(1), F.greatest(F.length(path), F.lit(1)))).alias("at"))
+        .select("*", F.explode(F.sequence(F.lit(shortest), F.lit(longest))).alias("n"))
+        .select(*kind, "weather_path", F.substring(path, F.col("at"), F.col("n")).alias("location"))
     )
-    pairs = lookup_join(found, locations, on, "inner")
+    # a word may stand in a path more than once
+    pairs = checkpointed(lookup_join(words, locations, on, "inner").distinct())
     return lookup_join(models, pairs, on, "inner")
 
 

@@ -165,7 +165,15 @@ def register_buildings(spark, root, manifest, models_root):
 
 
 def load_all(
-    spark, root, manifest_path, results_root, models_root, year, timeresolution, mode=DEDUPE
+    spark,
+    root,
+    manifest_path,
+    results_root,
+    models_root,
+    year,
+    timeresolution,
+    mode=DEDUPE,
+    with_reports=True,
 ):
     """Load all runs of the manifest that are not uploaded yet, in one plan.
 
@@ -185,7 +193,8 @@ def load_all(
     runs = buildings.select("run", "buildingid")
     output = read_output_lines(spark, f"{results_root}/*/TimeSeriesData/*.csv")
     load_outputs(spark, root, output, runs, year, timeresolution, mode)
-    load_eio(spark, root, read_eio(spark, f"{results_root}/*/OutputFiles/*.eio"), runs)
+    if with_reports:
+        load_eio(spark, root, read_eio(spark, f"{results_root}/*/OutputFiles/*.eio"), runs)
 
     states = building_status(read_table(spark, root, "ledger")).filter(
         F.col("building_status") == COMPLETE

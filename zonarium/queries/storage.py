@@ -3,8 +3,6 @@
 What is written goes to new folders in the shared scratch folder.
 """
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,17 +42,25 @@ _NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 @query(
-    " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) = 0 AS is_empty FROM {n}" for n in _NAMES)
-    + " UNION ALL SELECT 'events of no type', count(*) = 0 FROM events WHERE event_type = ''"
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS name, CASE WHEN count(*) = 0 THEN 'empty' ELSE 'filled' END AS state FROM {n}"
+        for n in _NAMES
+    )
+    + " UNION ALL SELECT 'truncated', CASE WHEN count(*) >= 0 THEN 'empty' END FROM events"
+    + " UNION ALL SELECT 'absent', CASE WHEN count(*) >= 0 THEN 'missing' END FROM events"
 )
 def q_table_state(spark, sf_dir):
-    frames = {n: table(spark, sf_dir, n) for n in _NAMES}
-    frames["events of no type"] = frames["events"].filter("event_type = ''")
-    states = [
-        df.agg((F.count(F.lit(1)) == 0).alias("is_empty")).select(F.lit(n).alias("name"), "is_empty")
-        for n, df in frames.items()
-    ]
-    return reduce(lambda a, b: a.unionByName(b), states)
+    """State of the given tables, of a table that was truncated, and of none."""
+    root = scratch_path(spark, "state")
+    tables.append_rows(s.facts(spark, sf_dir), root, "timeseriesdata")
+    tables.truncate_table(spark, root, "timeseriesdata")
+    states = {n: tables.path_state(spark, f"{sf_dir}/{n}.parquet") for n in _NAMES}
+    states["truncated"] = tables.table_state(spark, root, "timeseriesdata")
+    states["absent"] = tables.table_state(spark, root, "eiotabledata")
+    words = {(False, None): "missing", (True, True): "empty", (True, False): "filled"}
+    return spark.createDataFrame(
+        [(name, words[state]) for name, state in states.items()], "name string, state string"
+    )
 
 
 # Output files: per return flag one run with two variables of different headers.

@@ -44,30 +44,31 @@ def read_table(spark, root, name):
     return spark.read.schema(SCHEMAS[name]).parquet(table_path(root, name))
 
 
-def table_exists(spark, root, name):
+def path_state(spark, path, schema=None):
+    """(exists, is_empty) of Parquet files; ``is_empty`` is None if there are none.
+
+    Emptiness looks for one row and does not count them.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
-        read_table(spark, root, name)
+        rows = reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return False, None
         raise
-    return True
+    return True, rows.isEmpty()
 
 
 def table_state(spark, root, name):
-    """(exists, is_empty); ``is_empty`` is None for a missing table.
-
-    Emptiness looks for one row and does not count them.
-    """
-    if not table_exists(spark, root, name):
-        return False, None
-    return True, read_table(spark, root, name).isEmpty()
+    """(exists, is_empty) of a table."""
+    return path_state(spark, table_path(root, name), SCHEMAS[name])
 
 
 def ensure_tables(spark, root):
     """Create the tables that are not there yet, empty."""
     for name in SCHEMAS:
-        if not table_exists(spark, root, name):
+        exists, _ = table_state(spark, root, name)
+        if not exists:
             truncate_table(spark, root, name)
 
 
