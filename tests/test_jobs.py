@@ -36,7 +36,7 @@ def write_run(root, run, steps=range(1, 4)):
         for s in steps:
             lines.append(f" 12/31  {21 + s:02d}:00:00," + ",".join(f"{s}.{i}" for i in range(len(headers))))
         file.write_text("\n".join(lines) + "\n")
-    report = root / run / "OutputFiles" / "eplusout.eio"
+    report = root / run / "OutputFiles" / "report.eio"
     report.parent.mkdir(parents=True, exist_ok=True)
     report.write_text(EIO)
 

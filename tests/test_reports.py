@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from zonarium.operators import reports
-from zonarium.sources.files import read_eio, write_zone_info
+from zonarium.sources.files import read_eio, with_run_name, write_zone_info
 from zonarium.schemas import EIO
 
 TEXT = """Program Version Zone Information,invented
@@ -27,14 +27,14 @@ TEXT = """Program Version Zone Information,invented
 def report(tmp_path, text=TEXT, run="R1"):
     folder = tmp_path / run / "OutputFiles"
     folder.mkdir(parents=True)
-    (folder / "eplusout.eio").write_text(text)
+    (folder / "report.eio").write_text(text)
     return str(tmp_path / "*" / "OutputFiles" / "*.eio")
 
 
 def test_read_eio_drops_the_first_line_of_each_file(spark, tmp_path):
     report(tmp_path, 'first,line\nsecond "line, with ,quote\n third,\n', "R1")
     path = report(tmp_path, "intro\nbody # x\n", "R 2+3")
-    got = rows(read_eio(spark, path).select("run", "value"))
+    got = rows(with_run_name(read_eio(spark, path)).select("run", "value"))
     assert got == [("R 2+3", "body # x"), ("R1", " third,"), ("R1", 'second "line, with ,quote')]
 
 
@@ -150,7 +150,7 @@ def test_zone_information(spark, tmp_path):
     assert rows(reports.zone_count_check(lines).select("announced", "found")) == [(5, 5)]
 
     out = str(tmp_path / "zones")
-    write_zone_info(kept.withColumn("run", F.lit("ASHRAE_2013_Buffalo_Hospital")), out)
+    write_zone_info(with_run_name(kept), out)
     back = spark.read.text(out)
     assert back.count() == 2
     assert [r[0] for r in back.select("buildingtype").distinct().collect()] == ["Hospital"]

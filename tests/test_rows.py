@@ -30,6 +30,13 @@ def test_minus_existing_is_null_safe_and_keeps_copies(spark):
     ]
 
 
+def test_minus_existing_compares_in_the_stored_type(spark):
+    batch = spark.createDataFrame([(1, "a", 0.1), (1, "a", 0.2)], "b long, t string, v double")
+    stored = spark.createDataFrame([(1, "a", 0.1)], SCHEMA)
+    got = minus_existing(batch, stored)
+    assert got.schema["v"].dataType.simpleString() == "float" and got.count() == 1
+
+
 def test_minus_existing_with_nothing_stored(spark):
     batch = spark.createDataFrame([(1, "a", 1.0), (1, "a", 1.0)], SCHEMA)
     empty = spark.createDataFrame([], SCHEMA)

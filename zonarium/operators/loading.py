@@ -41,7 +41,7 @@ def new_rows(batch, existing, buildings=None):
 
     Repeated rows of the batch are kept.  ``buildings`` limits the scan of the
     existing rows; it does not change the result, as the building is one of
-    the compared columns.  Both sides must hold ``value`` in the same type.
+    the compared columns.
     """
     stored = of_buildings(existing, buildings).select(*batch.columns)
     return minus_existing(batch, stored)

@@ -59,12 +59,16 @@ def section_headers(lines):
     )
 
 
-def match_sections(lines):
+def match_sections(lines, headers=None):
     """Data lines with the header of their section.
 
     ``lines`` has ``file``, ``line_no`` and ``value``.  A data line belongs to
-    every section whose name it contains and that has a header.
+    every section whose name it contains and that has a header.  ``headers``
+    are those of ``section_headers``, perhaps with more columns, stored once,
+    as finding them reads all lines.
     """
+    if headers is None:
+        headers = checkpointed(section_headers(lines))
     line = F.col("value")
     body = (
         lines.filter(~line.contains("!"))
@@ -75,8 +79,6 @@ def match_sections(lines):
             F.explode(all_categories(line)).alias("tablename"),
         )
     )
-    # stored once, as finding the headers reads all lines
-    headers = checkpointed(section_headers(lines))
     return lookup_join(body, headers, ["file", "tablename"], "inner", ["line_no"])
 
 

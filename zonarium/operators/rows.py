@@ -12,7 +12,8 @@ _COPIES, _SEEN, _PIECE = "_copies", "_seen", "_piece"
 def minus_existing(batch, existing, keep_copies=True):
     """Rows of ``batch`` that ``existing`` does not hold.
 
-    All columns of ``batch`` are compared; NULL equals NULL and NaN equals NaN.
+    All columns of ``batch`` are compared, in the types ``existing`` has: a
+    value is rounded the way it is stored.  NULL equals NULL, NaN equals NaN.
     With ``keep_copies`` a row that occurs n times in the batch comes back n
     times, otherwise once.
 
@@ -22,7 +23,9 @@ def minus_existing(batch, existing, keep_copies=True):
     """
     columns = batch.columns
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-    both = batch.select(*columns, one.alias(_COPIES), zero.alias(_SEEN)).unionByName(
+    types = {f.name: f.dataType for f in existing.schema}
+    typed = [F.col(c).cast(types[c]).alias(c) for c in columns]
+    both = batch.select(*typed, one.alias(_COPIES), zero.alias(_SEEN)).unionByName(
         existing.select(*columns, zero.alias(_COPIES), one.alias(_SEEN))
     )
     fresh = (

@@ -30,6 +30,7 @@ from ..operators.reports import (
     match_sections,
     new_report_rows,
     pad_sections,
+    section_headers,
     sections_to_long,
 )
 from ..operators.reshape import (
@@ -58,7 +59,8 @@ from ..sources.files import (
     read_eio,
     read_manifest,
     read_output_lines,
-    run_of,
+    with_file_names,
+    with_run_name,
     write_manifest,
 )
 from ..sources.tables import add_buildings, append_rows, ensure_tables, read_table, replace_table
@@ -90,6 +92,7 @@ def load_outputs(
     started = time.monotonic()
     ledger = checkpointed(read_table(spark, root, "ledger"))
     headers, body = split_output_lines(lines)
+    headers = with_file_names(headers)
     wanted = checkpointed(wanted_columns(headers, runs, ledger if skip_completed else None))
     keys = (
         with_subvariable(
@@ -129,15 +132,16 @@ def load_outputs(
 def load_variable(spark, root, path, buildingid, year, timeresolution, mode=WATERMARK):
     """Load the output file of one variable of one building."""
     lines = read_output_lines(spark, path)
-    runs = lines.select("run").distinct().withColumn("buildingid", F.lit(buildingid).cast("long"))
+    files = with_file_names(lines.select("file").distinct())
+    runs = files.select("run", F.lit(buildingid).cast("long").alias("buildingid")).distinct()
     load_outputs(spark, root, lines, runs, year, timeresolution, mode)
 
 
 def load_eio(spark, root, lines, runs):
     """Load the report lines of any number of runs."""
-    sections = pad_sections(match_sections(lines)).withColumn("run", run_of(F.col("file")))
-    known = lookup_join(sections, runs, "run", "inner", spread=["line_no"])
-    batch = sections_to_long(known, keys=("buildingid",))
+    headers = lookup_join(with_run_name(section_headers(lines)), runs, "run", "inner")
+    sections = pad_sections(match_sections(lines, checkpointed(headers)))
+    batch = sections_to_long(sections, keys=("buildingid",))
     stored = read_table(spark, root, "eiotabledata")
     append_rows(
         new_report_rows(batch, of_buildings(stored, buildings_of(runs))), root, "eiotabledata"
@@ -158,7 +162,7 @@ def register_buildings(spark, root, manifest, models_root):
         local_path(F.col("IDF Filepath")).alias("IDF Filepath"), MANIFEST_KEY
     ).dropDuplicates([MANIFEST_KEY])
     described = with_building_attributes(
-        runs.join(heating, "IDF Filepath", "left"), MANIFEST_KEY, "heating"
+        lookup_join(runs, heating, "IDF Filepath", "left"), MANIFEST_KEY, "heating"
     ).withColumn("run", run_of_folder())
     numbered = add_buildings(spark, described, root)
     return checkpointed(numbered.select("run", MANIFEST_KEY, "buildingid"))

@@ -197,7 +197,7 @@ def q_load_reports(spark, sf_dir):
     _write_reports(spark, sf_dir, f"{root}/files")
     lines = files.read_eio(spark, f"{root}/files/*")
     run = F.regexp_extract("file", r"folder=(run\d+)", 1)
-    lines = lines.withColumn("file", F.concat(F.lit("/"), run, F.lit("/OutputFiles/eplusout.eio")))
+    lines = lines.withColumn("file", F.concat(F.lit("/"), run, F.lit("/OutputFiles/report.eio")))
     runs = (
         table(spark, sf_dir, "part")
         .select(F.col("p_size").cast("long").alias("buildingid"))

@@ -48,34 +48,33 @@ def variable_of(file):
 
 
 def _lines(reader, path):
-    return reader.load(path).select("value", decoded(F.col("_metadata.file_path")).alias("file"))
+    # The path is left as the scan gives it: decoding it for each line would
+    # cost more than reading the line.
+    return reader.load(path).select("value", F.col("_metadata.file_path").alias("file"))
 
 
 def read_output_lines(spark, path):
-    """Lines of wide output files with ``file``, ``run`` and ``variablename``.
+    """Lines of wide output files: ``value`` and ``file``.
 
     Each file has its own header, so the files are read as text; big files are
     split like any text file.
     """
-    return with_output_names(_lines(spark.read.format("text"), path))
+    return _lines(spark.read.format("text"), path)
 
 
-def with_output_names(lines):
-    """``run`` and ``variablename`` from the path in ``file``."""
-    return lines.select(
-        "value",
-        "file",
-        run_of(F.col("file")).alias("run"),
-        variable_of(F.col("file")).alias("variablename"),
-    )
+def with_file_names(files):
+    """``run`` and ``variablename`` from the path in ``file``; for one row per file."""
+    path = decoded(F.col("file"))
+    return files.withColumns({"run": run_of(path), "variablename": variable_of(path)})
 
 
 def read_output_csv(spark, path):
     """Wide output files as (headers, body); see ``split_output_lines``.
 
-    Both carry ``run`` and ``variablename``.
+    The headers carry ``run`` and ``variablename``.
     """
-    return split_output_lines(read_output_lines(spark, path))
+    headers, body = split_output_lines(read_output_lines(spark, path))
+    return with_file_names(headers), body
 
 
 def read_output_frame(spark, path, columns, value_type="double"):
@@ -97,21 +96,21 @@ def read_eio(spark, path):
         .option("sep", _NO_SEPARATOR)
         .option("quote", "")
     )
-    return (
-        reader.load(path)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("_path"),
-            F.struct(
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("row"),
-            ).alias("line_no"),
-        )
-        .select("value", "line_no", decoded(F.col("_path")).alias("file"))
-        .withColumn("run", run_of(F.col("file")))
+    return reader.load(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        ).alias("line_no"),
     )
 
 
+def with_run_name(rows):
+    """``run`` from the path in ``file``."""
+    return rows.withColumn("run", run_of(decoded(F.col("file"))))
+
+
 def read_model_text(spark, path):
     """Whole model files, one row each: ``file`` and ``text``."""
     return (
@@ -140,7 +139,7 @@ def model_heating(spark, path):
         *[F.bool_or(F.col("value").contains(mark)).alias(tag) for tag, mark in HEATING_MARKERS.items()]
     )
     return found.select(
-        "file",
+        decoded(F.col("file")).alias("file"),
         F.concat_ws(" & ", *[F.when(F.col(tag), tag) for tag in HEATING_MARKERS]).alias("heating"),
     )
 

@@ -7,7 +7,6 @@ batch load on them, so a restart after a lost micro-batch adds no row twice.
 from pyspark.sql import functions as F
 
 from ..plans.jobs import DEDUPE, load_outputs
-from ..sources.files import decoded, with_output_names
 
 
 def output_stream(spark, path, max_files=None):
@@ -15,8 +14,7 @@ def output_stream(spark, path, max_files=None):
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    lines = reader.load(path).select("value", decoded(F.col("_metadata.file_path")).alias("file"))
-    return with_output_names(lines)
+    return reader.load(path).select("value", F.col("_metadata.file_path").alias("file"))
 
 
 def start_incremental_load(
