@@ -8,6 +8,17 @@ SALTS = 16
 _SALT = "_salt"
 
 
+def plain_key(name):
+    """String column ``name`` without the conditions known to hold for it.
+
+    A key that other columns were derived from and filtered on takes those
+    conditions along, even through a checkpoint.  In a join the optimizer
+    would test them on each row of the other side as well, which for a path
+    means decoding it and matching patterns for each line of its file.
+    """
+    return F.concat(F.col(name), F.lit("")).alias(name)
+
+
 def text_size(df):
     """Size of the rows in bytes, written as text; one pass, one row back."""
     row = F.octet_length(F.to_json(F.struct("*"))).cast("long")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import with_building_attributes
 from ..operators.aggregate import aggregate_zones
-from ..operators.joins import lookup_join
+from ..operators.joins import lookup_join, plain_key
 from ..operators.loading import (
     after_watermark,
     building_status,
@@ -76,7 +76,8 @@ def wanted_columns(headers, runs, ledger=None):
     columns = header_columns(lookup_join(headers, runs, "run", "inner"))
     if ledger is not None:
         columns = not_loaded(columns, ledger)
-    return collect_columns(columns, ["file", "buildingid", "variablename"])
+    wanted = collect_columns(columns, ["file", "buildingid", "variablename"])
+    return wanted.withColumn("file", plain_key("file"))
 
 
 def load_outputs(
@@ -140,6 +141,7 @@ def load_variable(spark, root, path, buildingid, year, timeresolution, mode=WATE
 def load_eio(spark, root, lines, runs):
     """Load the report lines of any number of runs."""
     headers = lookup_join(with_run_name(section_headers(lines)), runs, "run", "inner")
+    headers = headers.withColumn("file", plain_key("file"))
     sections = pad_sections(match_sections(lines, checkpointed(headers)))
     batch = sections_to_long(sections, keys=("buildingid",))
     stored = read_table(spark, root, "eiotabledata")
