@@ -212,11 +212,17 @@ def fit(documents, learn, **columns):
 
 
 def predict(documents, model, doc_id="doc_id", text="text", keep=()):
-    """Columns doc_id, lang_pred, score, rejected and the columns in ``keep``."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # a table of fixed size
+    """Columns doc_id, lang_pred, score, rejected and the columns in ``keep``.
+
+    Of a kept column that has one of these names the prediction's column counts.
+    """
+    keep = [name for name in keep if name not in ("doc_id", "lang_pred", "score", "rejected")]
+    # A table of fixed size, sent as plain arrays.
+    parts = (model.languages, model.table, model.bias, model.temperature, model.threshold) if model else None
+    shared = documents.sparkSession.sparkContext.broadcast(parts)
 
     def run(batches):
-        model = shared.value
+        model = Model(*shared.value) if shared.value else None
         scorer = Scorer(model) if model else None
         for batch in batches:
             texts = batch["_text"].tolist()

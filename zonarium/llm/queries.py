@@ -4,7 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from zonarium.llm import bpe, chat, common, fingerprint, langid, packing
+from zonarium.llm import bpe, chat, common, fingerprint, jaccard, langid, packing, suffix
 
 #: Vocabulary of op9; None: the file of the installed public vocabularies.
 VOCABULARY = None
@@ -26,11 +26,19 @@ def op4_language_id(spark, sf_dir):
     return langid.predict(docs.withColumn("held_out", F.coalesce(held_out, F.lit(False))), model, keep=("held_out",))
 
 
+def op5_ngram_jaccard_join(spark, sf_dir):
+    return jaccard.jaccard_join(common.read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_best_fit_packing(spark, sf_dir):
     docs = common.read(spark, sf_dir, "documents", "doc_id", "text")
     return packing.pack_documents(docs, packing.word_count("text"))
 
 
+def op7_suffix_array_dedup(spark, sf_dir):
+    return suffix.removal_report(common.read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_document_fingerprints(spark, sf_dir):
     return fingerprint.fingerprint_edits(common.read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -45,7 +53,9 @@ def op10_chat_perspectives(spark, sf_dir):
 
 QUERIES = {
     "op4_language_id": op4_language_id,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_bpe": op9_bpe,
     "op10_chat_perspectives": op10_chat_perspectives,
