@@ -19,6 +19,8 @@ table gives an empty result; other columns are ignored.
 """
 
 import hashlib
+import json
+import math
 from collections import Counter
 
 import numpy as np
@@ -34,6 +36,8 @@ BITS_BEFORE, BITS_AFTER = 6, 4
 GEAR = np.random.default_rng(20240501).integers(0, 1 << 32, 256, dtype=np.uint32)
 #: Rows a task handles in one go.
 ROWS_PER_BLOCK = 5_000
+#: Ranges of ids at most; beyond, ranges grow (they are sorted with spilling and streamed).
+MOST_RANGES = 16_384
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
@@ -172,6 +176,18 @@ def _measures(ids, texts, followings):
     return frame.astype({"doc_id": "Int64"})
 
 
+def _range_of(place, cuts):
+    """Number of cuts below a place, in two steps so that few are compared."""
+    side = max(1, math.isqrt(len(cuts)))
+    coarse, fine = cuts[::side], [cuts[k + 1 : k + side] for k in range(0, len(cuts), side)]
+    below = lambda marks: F.size(F.filter(marks, lambda c: c < place))
+    group = below(F.from_json(F.lit(json.dumps(coarse)), "array<double>"))
+    inside = F.from_json(F.lit(json.dumps(fine)), "array<array<double>>")
+    return F.when(group == 0, 0).otherwise(
+        (group - 1) * side + 1 + F.coalesce(below(F.get(inside, group - 1)), F.lit(0))
+    ).cast("int")
+
+
 def fingerprint_edits(documents, doc_id="doc_id", text="text", rows_per_block=ROWS_PER_BLOCK):
     """Fingerprints of every text and of its edited text; see SCHEMA for the columns.
 
@@ -189,24 +205,22 @@ def fingerprint_edits(documents, doc_id="doc_id", text="text", rows_per_block=RO
     total = source.count()
     if not total:
         return documents.sparkSession.createDataFrame([], SCHEMA)
-    ranges = blocks_of(total, rows_per_block)
+    ranges = min(blocks_of(total, rows_per_block), MOST_RANGES)
     cuts = source.approxQuantile("place", [k / ranges for k in range(1, ranges)], 0.1 / ranges) if ranges > 1 else []
     cuts = sorted(set(cuts))
-    marks = F.array(*(F.lit(float(c)) for c in cuts)) if cuts else F.array().cast("array<double>")
-    dealt = source.withColumn("range", F.size(F.filter(marks, lambda c: c < F.col("place"))))
+    dealt = source.withColumn("range", _range_of(F.col("place"), cuts))
     heads = {r[0]: r[1] for r in dealt.groupBy("range").agg(F.min("place")).collect()}  # one row per range
     order = sorted(heads)
-    before = {r: order[k - 1] for k, r in enumerate(order)}  # the first range's head follows the last range
-    ahead = F.create_map(*(F.lit(x) for r in order for x in (heads[r], before[r])))
-    copied = dealt.withColumn(
-        "to",
-        F.array_compact(
-            F.array(
-                F.struct("range", F.lit(0).alias("look")),
-                F.when(F.col("place").isin(*heads.values()), F.struct(ahead[F.col("place")].alias("range"), F.lit(1).alias("look"))),
-            )
-        ),
-    ).select("place", "doc_id", "text", F.explode("to").alias("to"))
+    # The head of a range is looked ahead to from the range before; the first range's from the last.
+    ahead = documents.sparkSession.createDataFrame(
+        [(heads[r], order[k - 1]) for k, r in enumerate(order)], "head long, before int"
+    )
+    own = F.struct("range", F.lit(0).alias("look"))
+    copied = (
+        dealt.join(F.broadcast(ahead), F.col("place") == F.col("head"), "left")  # at most MOST_RANGES rows
+        .withColumn("also", F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("range"), F.lit(1).alias("look"))))
+        .select("place", "doc_id", "text", F.explode(F.array_compact(F.array(own, "also"))).alias("to"))
+    )
     rows = copied.select("place", "doc_id", "text", "to.range", "to.look")
 
     def run(batches):
@@ -227,7 +241,7 @@ def fingerprint_edits(documents, doc_id="doc_id", text="text", rows_per_block=RO
                 yield _measures(ids, texts, followings)
 
     return (
-        rows.repartition(len(order), "range")
+        rows.repartitionById(len(cuts) + 1, "range")
         .sortWithinPartitions("range", "look", "place", "text")
         .select("range", "look", "doc_id", "text")
         .mapInPandas(run, SCHEMA)

@@ -322,24 +322,24 @@ def keep_one(documents, doc_id="doc_id", text="text", **options):
     best = texts.groupBy("label").agg(
         F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "key")).alias("best")
     )
-    stay = best.select(F.col("best.key").alias("_key"), F.col("best.rep").alias("_rep"))
+    stay = best.select(F.col("best.key").alias("__key"), F.col("best.rep").alias("__rep"))
     again = (
         rows.filter("full")
         .groupBy("doc_id", "key")
         .count()
         .filter("count > 1")
-        .join(stay, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi")
-        .select(F.col("key").alias("_again"))
+        .join(stay, (F.col("key") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__rep")), "left_semi")
+        .select(F.col("key").alias("__again"))
     )
-    marked = documents.withColumn("_own", F.md5(text_or_empty(text).cast("binary"))).withColumn(
-        "_wordless", text_or_empty(text).rlike(r"\A[ \t\n\r\x0B\f]*\z")
+    marked = documents.withColumn("__own", F.md5(text_or_empty(text).cast("binary"))).withColumn(
+        "__wordless", text_or_empty(text).rlike(r"\A[ \t\n\r\x0B\f]*\z")
     )
     kept = marked.join(
-        stay, (F.col("_own") == F.col("_key")) & F.col(doc_id).cast("long").eqNullSafe(F.col("_rep")), "left"
-    ).filter(F.col("_wordless") | F.col("_key").isNotNull())
+        stay, (F.col("__own") == F.col("__key")) & F.col(doc_id).cast("long").eqNullSafe(F.col("__rep")), "left"
+    ).filter(F.col("__wordless") | F.col("__key").isNotNull())
     if again.take(1):
-        kept = kept.join(again, F.col("_key") == F.col("_again"), "left")
-        kept = kept.filter("_again IS NULL").unionByName(
-            kept.filter("_again IS NOT NULL").dropDuplicates(["_again"])
+        kept = kept.join(again, F.col("__key") == F.col("__again"), "left")
+        kept = kept.filter("__again IS NULL").unionByName(
+            kept.filter("__again IS NOT NULL").dropDuplicates(["__again"])
         )
     return kept.select(*documents.columns)

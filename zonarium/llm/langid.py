@@ -22,8 +22,11 @@ predicted each; an empty table gives an empty result; other columns are ignored.
 """
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from zonarium.llm.common import text_or_empty
 
 BUCKETS = 1 << 16
 DIMENSIONS = 16
@@ -39,7 +42,6 @@ REJECT_SHARE = 0.001
 REJECT_MOST = 1.5
 MEMO_WORDS = 400_000
 UNDETERMINED = "und"
-SCHEMA = "doc_id long, lang_pred string, score double, rejected boolean"
 
 # a-z, the two marks and every byte of a character outside ASCII.
 _KEPT = np.zeros(256, bool)
@@ -211,23 +213,27 @@ def fit(documents, learn, **columns):
     return train(texts, labels) if labels else None
 
 
-def predict(documents, model, doc_id="doc_id", text="text", keep=()):
-    """Columns doc_id, lang_pred, score, rejected and the columns in ``keep``.
+def predict(documents, model, doc_id="doc_id", text="text", keep=None, prefix=""):
+    """Columns doc_id, lang_pred, score, rejected, after ``keep`` (default: the id as doc_id).
 
-    Of a kept column that has one of these names the prediction's column counts.
+    ``prefix`` goes before the names lang_pred, score and rejected, so that they
+    do not clash with those of kept columns.
     """
-    keep = [name for name in keep if name not in ("doc_id", "lang_pred", "score", "rejected")]
     # A table of fixed size, sent as plain arrays.
     parts = (model.languages, model.table, model.bias, model.temperature, model.threshold) if model else None
     shared = documents.sparkSession.sparkContext.broadcast(parts)
+    names = [prefix + name for name in ("lang_pred", "score", "rejected")]
+    kept = [F.col(doc_id).cast("long").alias("doc_id")] if keep is None else [F.col(name) for name in keep]
+    source = documents.select(*kept, text_or_empty(text).alias("__text"))
+    kinds = source.schema.fields[:-1]
 
     def run(batches):
         model = Model(*shared.value) if shared.value else None
         scorer = Scorer(model) if model else None
         for batch in batches:
-            texts = batch["_text"].tolist()
-            lettered = [bool(t) and model is not None and any(map(str.isalpha, t)) for t in texts]
-            names, best, out = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            lettered = [model is not None and any(map(str.isalpha, t)) for t in texts]
+            found, best, out = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
             full = [i for i, yes in enumerate(lettered) if yes]
             if full:
                 sums = np.array([scorer.text_sums(texts[i]) for i in full])
@@ -236,13 +242,13 @@ def predict(documents, model, doc_id="doc_id", text="text", keep=()):
                 best[full] = p[np.arange(len(full)), top]
                 out[full] = best[full] < model.threshold
                 for i, k in zip(full, top):
-                    names[i] = model.languages[k]
-            yield pd.DataFrame(
-                {"doc_id": batch["_id"], "lang_pred": names, "score": best, "rejected": out}
-                | {name: batch[name] for name in keep}
+                    found[i] = model.languages[k]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(found, pa.string()), pa.array(best), pa.array(out)],
+                names=[*batch.schema.names[:-1], *names],
             )
 
-    source = documents.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text"), *keep)
-    kinds = dict(documents.dtypes)
-    schema = SCHEMA + "".join(f", `{name}` {kinds[name]}" for name in keep)
-    return source.mapInPandas(run, schema)
+    schema = T.StructType(
+        [*kinds, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType()), T.StructField(names[2], T.BooleanType())]
+    )
+    return source.mapInArrow(run, schema)

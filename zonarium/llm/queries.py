@@ -4,7 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from zonarium.llm import bpe, chat, common, fingerprint, jaccard, langid, packing, suffix
+from zonarium.llm import bpe, chat, common, fingerprint, jaccard, langid, maxent, packing, suffix
 
 #: Vocabulary of op9; None: the file of the installed public vocabularies.
 VOCABULARY = None
@@ -19,11 +19,17 @@ def vocabulary(path=VOCABULARY):
     return Path(path).read_text(encoding="utf-8")
 
 
+def op2_lm_scoring(spark, sf_dir):
+    remainder = common.id_hash("doc_id") % 10
+    return maxent.score_documents(common.read(spark, sf_dir, "documents", "doc_id", "text"), remainder != 0, remainder == 0)
+
+
 def op4_language_id(spark, sf_dir):
     docs = common.read(spark, sf_dir, "documents", "doc_id", "text", "lang")
     held_out = common.id_hash("doc_id") % 4 == 2
     model = langid.fit(docs, ~held_out)
-    return langid.predict(docs.withColumn("held_out", F.coalesce(held_out, F.lit(False))), model, keep=("held_out",))
+    marked = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    return langid.predict(marked, model, keep=("doc_id", "held_out"))
 
 
 def op5_ngram_jaccard_join(spark, sf_dir):
@@ -52,6 +58,7 @@ def op10_chat_perspectives(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_lm_scoring": op2_lm_scoring,
     "op4_language_id": op4_language_id,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_best_fit_packing": op6_best_fit_packing,

@@ -352,14 +352,14 @@ def kept_bytes(data, spans):
 
 
 def _with_spans(documents, doc_id, text, length, most):
-    """(documents with _rid, spans by _rid as arrays); spans are joined per text."""
+    """Documents with the spans of each text in ``__spans``."""
     marked = documents.withColumn(
-        "_rid", F.xxhash64(F.col(doc_id).cast("string"), text_or_empty(text), F.lit("row"))
+        "__rid", F.xxhash64(F.col(doc_id).cast("string"), text_or_empty(text), F.lit("row"))
     )
-    rows = marked.select(F.col("_rid").alias("rid"), text_or_empty(text).alias("text"))
+    rows = marked.select(F.col("__rid").alias("rid"), text_or_empty(text).alias("text"))
     spans = repeated_spans(rows, length, most=most)
-    by_text = spans.groupBy("rid").agg(F.collect_set(F.struct("begin", "end")).alias("_spans"))
-    return marked.join(by_text, F.col("_rid") == F.col("rid"), "left").drop("rid", "_rid")
+    by_text = spans.groupBy(F.col("rid").alias("__rid")).agg(F.collect_set(F.struct("begin", "end")).alias("__spans"))
+    return marked.join(by_text, "__rid", "left").drop("__rid")
 
 
 def removal_report(documents, doc_id="doc_id", text="text", length=LENGTH, most=MOST):
@@ -383,7 +383,7 @@ def removal_report(documents, doc_id="doc_id", text="text", length=LENGTH, most=
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    return joined.select("doc_id", "text", "_spans").mapInArrow(
+    return joined.select("doc_id", "text", "__spans").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
@@ -408,5 +408,5 @@ def remove_repeats(documents, doc_id="doc_id", text="text", length=LENGTH, most=
         )
 
     return joined.withColumn(
-        text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(cut(F.col(text), F.col("_spans")))
+        text, F.when(F.col("__spans").isNull(), F.col(text)).otherwise(cut(F.col(text), F.col("__spans")))
     ).select(*documents.columns)
