@@ -13,8 +13,8 @@ from zonarium.llm.common import id_hash, stored
 def language_id(spark, docs, sf_dir):
     """Documents whose language is recognised; those that language ID rejects go."""
     model = langid.fit(docs, id_hash("doc_id") % 4 != 2)
-    kept = langid.predict(docs, model, keep=docs.columns).filter(~F.col("rejected"))
-    return kept.select(*(F.col(c) for c in docs.columns))
+    found = langid.predict(docs, model, keep=docs.columns, prefix="__")
+    return found.filter(~F.col("__rejected")).select(*docs.columns)
 
 
 def near_duplicates(spark, docs, sf_dir):
