@@ -4,7 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from zonarium.llm import bpe, chat, common, fingerprint, jaccard, langid, maxent, packing, suffix
+from zonarium.llm import ann, bpe, chat, common, fingerprint, htmltext, jaccard, langid, maxent, packing, suffix
 
 #: Vocabulary of op9; None: the file of the installed public vocabularies.
 VOCABULARY = None
@@ -19,11 +19,20 @@ def vocabulary(path=VOCABULARY):
     return Path(path).read_text(encoding="utf-8")
 
 
+def op1_nearest_neighbours(spark, sf_dir):
+    table = common.read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.nearest_neighbours(table, lambda i: F.pmod(i, F.lit(50)) == 0)
+
+
 def op2_lm_scoring(spark, sf_dir):
     remainder = common.id_hash("doc_id") % 10
     return maxent.score_documents(common.read(spark, sf_dir, "documents", "doc_id", "text"), remainder != 0, remainder == 0)
 
 
+def op3_html_main_text(spark, sf_dir):
+    return htmltext.extract_main_text(common.read(spark, sf_dir, "pages"))
+
+
 def op4_language_id(spark, sf_dir):
     docs = common.read(spark, sf_dir, "documents", "doc_id", "text", "lang")
     held_out = common.id_hash("doc_id") % 4 == 2
@@ -58,7 +67,9 @@ def op10_chat_perspectives(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_html_main_text": op3_html_main_text,
     "op4_language_id": op4_language_id,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_best_fit_packing": op6_best_fit_packing,
