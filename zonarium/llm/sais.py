@@ -27,62 +27,82 @@ def _induced(text, buckets, seeds, wanted, first=None):
     seeds.  Every position scanned adds its predecessor, if wanted, to the end of
     the predecessor's bucket.
     """
-    base = np.concatenate([[0], np.cumsum(np.bincount(text[wanted], minlength=buckets))])
-    filled = base[:-1].copy()
-    seed_base = np.concatenate([[0], np.cumsum(np.bincount(text[seeds], minlength=buckets))])
-    out = np.empty(base[-1], np.int64)
+    counts = np.bincount(text[wanted], minlength=buckets)
+    of_seeds = np.bincount(text[seeds], minlength=buckets)
+    total = int(counts.sum())
+    # One array: room for what is induced, then the seeds; two parts of it for every bucket.
+    whole = np.empty(total + len(seeds), np.int64)
+    whole[total:] = seeds
+    starts, lengths = np.empty(2 * buckets, np.int64), np.zeros(2 * buckets, np.int64)
+    starts[::2] = np.cumsum(counts) - counts
+    starts[1::2] = np.cumsum(of_seeds) - of_seeds + total
+    lengths[1::2] = of_seeds
+    base, filled = starts[::2].copy(), lengths[::2]
+    before_of = np.arange(-1, len(text) - 1)
+    before_of[1:][~wanted[:-1]] = -1
     if first is not None:
-        out[filled[text[first]]] = first
-        filled[text[first]] += 1
-
-    def add(scanned):
-        before = scanned[scanned > 0] - 1
-        before = before[wanted[before]]
-        if len(before):
-            to = text[before]
-            order = np.argsort(to, kind="stable")
-            to = to[order]
-            edge = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
-            sizes = np.diff(np.append(edge, len(to)))
-            names = to[edge]
-            out[_ranges(filled[names], sizes)] = before[order]
-            filled[names] += sizes
+        whole[base[text[first]]] = first
+        filled[text[first]] = 1
+    narrow = np.uint16 if buckets <= 1 << 16 else np.int64  # stable sorting of two bytes is linear
+
+    def add(before, to):
+        if len(to) > 1:
+            order = to.astype(narrow).argsort(kind="stable")
+            to, before = to[order], before[order]
+            edge = (to[1:] != to[:-1]).nonzero()[0] + 1
+            if len(edge) + 1 < len(to):
+                starts_at = np.zeros(len(edge) + 1, np.int64)
+                starts_at[1:] = edge
+                sizes = np.empty_like(starts_at)
+                sizes[:-1] = edge
+                sizes[-1] = len(to)
+                sizes[1:] -= edge
+                names = to[starts_at]
+                shift = base[names] + filled[names] - starts_at
+                whole[np.arange(len(to)) + shift.repeat(sizes)] = before
+                filled[names] += sizes
+                return
+        whole[base[to] + filled[to]] = before
+        filled[to] += 1
 
     at, step = 0, 1
     while at < buckets:
         end = min(at + step, buckets)
-        one = np.arange(at, end)
-        starts = np.empty(2 * len(one), np.int64)
-        lengths = np.empty_like(starts)
-        starts[::2], starts[1::2] = base[one], seed_base[one] + len(out)
-        lengths[::2], lengths[1::2] = filled[one] - base[one], seed_base[one + 1] - seed_base[one]
-        where = _ranges(starts, lengths)
-        from_out = where < len(out)
-        scanned = np.empty(len(where), np.int64)
-        scanned[from_out] = out[where[from_out]]
-        scanned[~from_out] = seeds[where[~from_out] - len(out)]
-        before = scanned[scanned > 0] - 1
-        before = before[wanted[before]]
-        lowest = int(text[before].min()) if len(before) else buckets
-        if lowest >= end:  # none of these buckets feeds another of them
-            add(scanned)
+        part = lengths[2 * at : 2 * end]
+        ends = part.cumsum()
+        size = int(ends[-1])
+        if not size:
             at, step = end, step * 2
             continue
+        scanned = whole[np.arange(size) + (starts[2 * at : 2 * end] - ends + part).repeat(part)]
+        before = before_of[scanned]
+        kept = before >= 0
+        before = before[kept]
+        to = text[before]
+        lowest = int(to.min()) if len(to) else buckets
+        if lowest >= end:  # none of these buckets feeds another of them
+            add(before, to)
+            at, step = end, step + (step >> 1) + 1
+            continue
         if lowest > at:
-            own = np.add.reduceat(lengths, np.arange(0, len(lengths), 2))[: lowest - at].sum()
-            add(scanned[:own])
-            step = max(1, (lowest - at) // 2)
+            own = int(np.count_nonzero(kept[: ends[2 * (lowest - at) - 1]]))
+            add(before[:own], to[:own])
+            step = max(1, (step + lowest - at) >> 1)
             at = lowest
             continue
         # Bucket ``at`` feeds itself: scan what is new until nothing is, then its seeds.
-        done = base[at]
+        done = 0
         while done < filled[at]:
-            now = filled[at]
-            add(out[done:now])
+            now = int(filled[at])
+            before = before_of[whole[base[at] + done : base[at] + now]]
+            before = before[before >= 0]
+            add(before, text[before])
             done = now
-        add(seeds[seed_base[at] : seed_base[at + 1]])
-        at, step = at + 1, 1
-    return out
+        before = before_of[whole[starts[2 * at + 1] : starts[2 * at + 1] + lengths[2 * at + 1]]]
+        before = before[before >= 0]
+        add(before, text[before])
+        at, step = at + 1, max(1, step >> 2)
+    return whole[:total]
 
 
 def _types(text):
