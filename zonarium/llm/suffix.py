@@ -192,15 +192,17 @@ def _shard(length):
     return run
 
 
-def _counted(rows):
-    """rows with key and whole -> the same with n (of the kind), kinds and singles (of the key), best (one of the kind)."""
-    kinds = rows.groupBy("key", "whole").agg(
-        F.count("*").alias("n"), F.min(F.struct("rid", "low")).alias("best")
-    )
-    keys = kinds.groupBy("key").agg(
+def _with_counts(rows, kinds):
+    """rows joined with n of their kind (key and whole), and kinds, of_key and singles of their key.
+
+    The counts are written first: both sides of the join are then plain exchanges
+    that Spark can split where one key is very common.
+    """
+    keys = kinds.groupBy(F.col("key").alias("of")).agg(
         F.count("*").alias("kinds"), F.sum("n").alias("of_key"), F.count_if(F.col("n") == 1).alias("singles")
     )
-    return rows.join(kinds, ["key", "whole"]).join(keys, "key").filter("of_key > 1")
+    counts = stored(kinds.join(keys, F.col("key") == F.col("of")).filter("of_key > 1").drop("of"), "counts")
+    return rows.join(counts, ["key", "whole"])
 
 
 def _halved(rows, length):
@@ -289,7 +291,9 @@ def repeated_spans(rows, length=LENGTH, gram=None, most=MOST):
     gram = gram or max(1, min(GRAM, length // 3))
     found = stored(_all_pieces(rows, length, gram), "pieces")
     twice = found.groupBy("key").agg(F.count("*").alias("of")).filter("of > 1").select("key")
-    hits = stored(_counted(found.join(twice, "key")), "hits")
+    again = stored(found.join(stored(twice, "keys"), "key"), "again")
+    kinds = again.groupBy("key", "whole").agg(F.count("*").alias("n"), F.min(F.struct("rid", "low")).alias("best"))
+    hits = stored(_with_counts(again, kinds), "hits")
     covered = lambda kind: kind.select(
         "rid", F.col("low").cast("long").alias("begin"), (F.col("high") + length).cast("long").alias("end")
     )
@@ -311,16 +315,14 @@ def repeated_spans(rows, length=LENGTH, gram=None, most=MOST):
         if not common.take(1):
             break
         # A kind whose other rows were set aside stands for them: it counts as two.
-        halves = stored(_halved(common.filter("n = 1"), length).withColumn("n0", F.lit(1)), "halves")
+        halves = _halved(common.filter("n = 1"), length).withColumn("n0", F.lit(1))
         stand_ins = _halved(common.filter("n > 1"), length).withColumn("n0", F.lit(2))
         halves = halves.unionByName(stand_ins)
+        halves = stored(halves, "halves")
         kinds = halves.groupBy("key", "whole").agg(
             F.sum("n0").alias("n"), F.min(F.struct("n0", "rid", "low")).alias("best")
         )
-        keys = kinds.groupBy("key").agg(
-            F.count("*").alias("kinds"), F.sum("n").alias("of_key"), F.count_if(F.col("n") == 1).alias("singles")
-        )
-        now = stored(halves.join(kinds, ["key", "whole"]).join(keys, "key").filter("of_key > 1"), "halves")
+        now = stored(_with_counts(halves, kinds), "halves")
         spans.append(covered(now.filter("n > 1 AND n0 = 1")))
         left = now.filter(
             "singles > 0 AND kinds > 1 AND (n = 1 OR (n0 = best.n0 AND rid = best.rid AND low = best.low))"
