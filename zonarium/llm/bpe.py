@@ -1,7 +1,7 @@
 """Byte-level BPE: a priority queue of merge ranks over a doubly linked list.
 
 A text is split at added tokens, then into words by the vocabulary's pattern.
-Each different word is merged once per task (a bounded table remembers it): its
+Each different word is merged once per worker (a bounded table remembers it): its
 symbols form a doubly linked list, all mergeable neighbours stand in a heap by
 rank and place, and an entry whose symbols have changed since is skipped.
 Decoding concatenates the vocabulary's strings and maps them back to bytes.
@@ -19,8 +19,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import functions as F
 
-#: Words a task remembers; beyond it the table starts anew.
-MEMO_WORDS = 400_000
+#: Words a Python worker remembers; beyond it the table starts anew.
+MEMO_WORDS = 700_000
 #: Fixed value: the pattern by which byte-level vocabularies split text.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -45,11 +45,11 @@ class ByteBPE:
         vocab = model["vocab"]
         self.memo_words = memo_words
         self.memo = {}
-        self.strings = {i: s for s, i in vocab.items()}
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
-        self.strings.update({i: s for s, i in self.added.items()})
         symbols = byte_symbols()
-        self.bytes_of = {s: b for b, s in symbols.items()}
+        values = {s: b for b, s in symbols.items()}
+        # The bytes of every vocabulary string.
+        self.bytes_of = {i: bytes([values[c] for c in s]) for s, i in (vocab | self.added).items()}
         self.first = [vocab[symbols[b]] for b in range(256)]
         self.merges = {}
         for rank, pair in enumerate(model["merges"]):
@@ -65,36 +65,32 @@ class ByteBPE:
         n = len(ids)
         if n == 1:
             return ids
+        get, push, pop = self.merges.get, heapq.heappush, heapq.heappop
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        after[-1] = -1
-        merges, heap = self.merges, []
+        heap = []
         for i in range(n - 1):
-            found = merges.get((ids[i], ids[i + 1]))
+            found = get((ids[i], ids[i + 1]))
             if found:
                 heap.append((found[0], i, ids[i], ids[i + 1], found[1]))
         heapq.heapify(heap)
         while heap:
-            _, i, left, right, new = heapq.heappop(heap)
+            _, i, left, right, new = pop(heap)
             j = after[i]
-            if ids[i] != left or j < 0 or ids[j] != right:
+            if ids[i] != left or j == n or ids[j] != right:
                 continue  # stale: one of the two has been merged since
             ids[i], ids[j] = new, -1
             k = after[i] = after[j]
-            if k >= 0:
+            if k < n:
                 before[k] = i
-                found = merges.get((new, ids[k]))
+                found = get((new, ids[k]))
                 if found:
-                    heapq.heappush(heap, (found[0], i, new, ids[k], found[1]))
+                    push(heap, (found[0], i, new, ids[k], found[1]))
             h = before[i]
             if h >= 0:
-                found = merges.get((ids[h], new))
+                found = get((ids[h], new))
                 if found:
-                    heapq.heappush(heap, (found[0], h, ids[h], new, found[1]))
-        out, i = [], 0
-        while i >= 0:
-            out.append(ids[i])
-            i = after[i]
-        return out
+                    push(heap, (found[0], h, ids[h], new, found[1]))
+        return [x for x in ids if x >= 0]
 
     def pieces(self, text):
         """Parts of a text: (is an added token, text)."""
@@ -116,8 +112,7 @@ class ByteBPE:
 
     def decode_bytes(self, ids):
         """The bytes of the vocabulary's strings, one after the other."""
-        value = self.bytes_of
-        return bytes(value[c] for i in ids for c in self.strings[i])
+        return b"".join([self.bytes_of[i] for i in ids])
 
     def decode(self, ids):
         return self.decode_bytes(ids).decode("utf-8", errors="replace")
@@ -150,11 +145,14 @@ class ByteBPE:
 
 
 def _rows(shared, make, schema):
-    """Function for ``mapInArrow`` that builds its encoder once per task."""
+    """Function for ``mapInArrow``; the encoder stays beside the broadcast text for a worker's next tasks."""
     names = pa.schema(schema)
 
     def run(batches):
-        encoder = ByteBPE(shared.value)
+        box = shared.value
+        encoder = box.get("encoder")
+        if encoder is None:
+            encoder = box["encoder"] = ByteBPE(box["spec"])
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             columns = list(zip(*(make(encoder, t) for t in texts))) or [()] * (len(names) - 1)
@@ -168,7 +166,7 @@ def _rows(shared, make, schema):
 def encode_texts(documents, spec, doc_id="doc_id", text="text"):
     """Columns doc_id, ids (array of int), n_tokens.  ``spec``: the vocabulary file's text."""
     source = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    shared = documents.sparkSession.sparkContext.broadcast(spec)  # one vocabulary file, of fixed size
+    shared = documents.sparkSession.sparkContext.broadcast({"spec": spec})  # one vocabulary file, of fixed size
 
     def make(encoder, value):
         ids = encoder.encode(value)
@@ -181,7 +179,7 @@ def encode_texts(documents, spec, doc_id="doc_id", text="text"):
 def decode_ids(encoded, spec, doc_id="doc_id", ids="ids"):
     """Columns doc_id, text (null ids: empty)."""
     source = encoded.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(ids).alias("ids"))
-    shared = encoded.sparkSession.sparkContext.broadcast(spec)
+    shared = encoded.sparkSession.sparkContext.broadcast({"spec": spec})
     schema = [("doc_id", pa.int64()), ("text", pa.string())]
     return source.mapInArrow(
         _rows(shared, lambda encoder, value: (encoder.decode(value or ()),), schema),
@@ -192,7 +190,7 @@ def decode_ids(encoded, spec, doc_id="doc_id", ids="ids"):
 def encoding_digests(documents, spec, doc_id="doc_id", text="text"):
     """Encode and decode every text; columns doc_id, n_tokens, ids_sha256, decoded_sha256."""
     source = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    shared = documents.sparkSession.sparkContext.broadcast(spec)
+    shared = documents.sparkSession.sparkContext.broadcast({"spec": spec})
     schema = [
         ("doc_id", pa.int64()),
         ("n_tokens", pa.int64()),
