@@ -7,7 +7,7 @@ two words (n-grams) and the word before the last (a skip).  The second is the
 word's smoothed share of its class, from counts over the whole training corpus.
 
 Training is synchronous and distributed.  Each round takes another fold of the
-training documents; tasks sum gradients and curvatures over their documents in
+training documents; tasks sum seen and expected classes over their documents in
 sparse numpy batches, the sums of a fixed-size table are added up by block, and
 one scaled gradient step is made.  Every training document is used once for the
 gradient and once for the counts.
@@ -46,6 +46,8 @@ FREQUENT, FREQUENT_BYTES = 150_000, 64
 #: Different words a task counts before it gives them out.
 COUNTED = 300_000
 CHUNK = 1 << 15
+#: Tokens a task holds at a time, and those of one text more.
+SLICE_TOKENS = 200_000
 BLOCKS = 64
 _START = np.uint32(0x5BD1E995)
 
@@ -77,26 +79,41 @@ def features(hashes, starts):
     )
 
 
-def log_probabilities(weights, bias, rows):
-    """Log of P(class | history) for tokens with these feature rows."""
-    z = weights[0][rows[0]] + weights[1][rows[1]]
-    z += weights[2][rows[2]]
+def class_scores(weights, bias, rows):
+    """Unnormalised log scores of the classes for tokens with these feature rows.
+
+    Steps are clipped in training, so that their exponentials stay finite.
+    """
+    z = weights[0].take(rows[0], axis=0)
+    z += weights[1].take(rows[1], axis=0)
+    z += weights[2].take(rows[2], axis=0)
     z += bias
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
     return z
 
 
+def log_probability(weights, bias, rows, own):
+    """log P(own class | history) of each token."""
+    z = class_scores(weights, bias, rows)
+    chosen = z[np.arange(len(z)), own]
+    np.exp(z, out=z)
+    return chosen - np.log(z @ np.ones(z.shape[1], z.dtype))
+
+
 def _texts(batches, column):
-    """Batches as (batch, tokens of all texts, hashes, start of each text, tokens of each)."""
+    """Slices of batches as (slice, tokens of all texts, start of each text, tokens of each).
+
+    A slice ends with the text that brings it to ``SLICE_TOKENS`` tokens.
+    """
     for batch in batches:
-        words, lengths = [], []
-        for text in batch.column(column).to_pylist():
-            own = tokens_of(text)
+        first, words, lengths = 0, [], []
+        for at, text in enumerate(batch.column(column)):
+            own = tokens_of(text.as_py())
             words += own
             lengths.append(len(own))
-        lengths = np.array(lengths, np.int64)
-        yield batch, words, np.cumsum(lengths) - lengths, lengths
+            if len(words) >= SLICE_TOKENS or at + 1 == batch.num_rows:
+                sizes = np.array(lengths, np.int64)
+                yield batch.slice(first, at + 1 - first), words, np.cumsum(sizes) - sizes, sizes
+                first, words, lengths = at + 1, [], []
 
 
 def count_words(rows):
@@ -113,8 +130,8 @@ def count_words(rows):
             return made
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found.update(tokens_of(text))
+            for text in batch.column(0):
+                found.update(tokens_of(text.as_py()))
                 if len(found) > COUNTED:
                     yield flush()
         if found:
@@ -212,23 +229,28 @@ def train(rows, class_of, classes=CLASSES, rounds=ROUNDS):
 
         def run(batches):
             weights, bias, class_of = shared.value
-            sums = np.zeros((KINDS * ROWS + BLOCKS, 2 * classes))
-            tables = [sums[k * ROWS : (k + 1) * ROWS] for k in range(KINDS)]
+            # Classes seen, then classes expected, for every row; the last row is that of the bias.
+            seen, expected = np.zeros((2, KINDS * ROWS + BLOCKS, classes))
+            lanes = np.arange(classes)
             for _, words, starts, _ in _texts(batches, 0):
                 hashes = _hashes(words)
-                own = class_of[hashes % np.uint32(BUCKETS)]
+                own = class_of[hashes % np.uint32(BUCKETS)].astype(np.int64)
                 rows_of = features(hashes, starts)
+                for kind, row in enumerate(rows_of):
+                    part = seen[kind * ROWS : (kind + 1) * ROWS].reshape(-1)
+                    part += np.bincount(row * np.int64(classes) + own, minlength=len(part))
+                seen[KINDS * ROWS] += np.bincount(own, minlength=classes)
                 for at in range(0, len(hashes), CHUNK):
-                    part = slice(at, at + CHUNK)
-                    p = np.exp(log_probabilities(weights, bias, [r[part] for r in rows_of]))
-                    both = np.concatenate([-p, p * (1 - p)], axis=1)
-                    both[np.arange(len(p)), own[part]] += 1
-                    sums[KINDS * ROWS] += both.sum(axis=0)
-                    for table, row in zip(tables, rows_of):
-                        order = np.argsort(row[part], kind="stable")
-                        names = row[part][order]
-                        edge = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
-                        table[names[edge]] += np.add.reduceat(both[order], edge, axis=0)
+                    p = class_scores(weights, bias, [r[at : at + CHUNK] for r in rows_of])
+                    np.exp(p, out=p)
+                    p /= (p @ np.ones(classes, p.dtype))[:, None]
+                    flat = p.astype(np.float64).ravel()
+                    expected[KINDS * ROWS] += p.sum(axis=0)
+                    for kind, row in enumerate(rows_of):
+                        part = expected[kind * ROWS : (kind + 1) * ROWS].reshape(-1)
+                        cells = (row[at : at + CHUNK, None] * np.int64(classes) + lanes).ravel()
+                        part += np.bincount(cells, flat, minlength=len(part))
+            sums = np.concatenate([seen, expected], axis=1)
             yield _given_out(sums.ravel())
 
         of_fold = F.pmod(F.xxhash64("text"), F.lit(rounds)) == fold
@@ -236,11 +258,13 @@ def train(rows, class_of, classes=CLASSES, rounds=ROUNDS):
         sums = _summed(part.mapInArrow(run, "block int, values binary"), size).reshape(-1, 2 * classes)
         if fold == 0:
             # The first step sets the bias to the classes' shares.
-            share = sums[KINDS * ROWS, :classes] + sums[KINDS * ROWS, classes:] * classes / max(1, classes - 1)
-            share = np.maximum(share, 0) + 1
+            share = sums[KINDS * ROWS, :classes] + 1
             bias = np.log(share / share.sum()).astype(np.float32)
-        step = sums[: KINDS * ROWS].reshape(KINDS, ROWS, 2, classes)
-        weights = weights + (RATE * step[:, :, 0] / (step[:, :, 1] + DAMPING)).clip(-2, 2).astype(np.float32)
+        seen, expected = sums[: KINDS * ROWS].reshape(KINDS, ROWS, 2, classes).transpose(2, 0, 1, 3)
+        # The curvature of a row and class, as if its tokens had one probability: E - E^2 / N.
+        curvature = expected - expected**2 / np.maximum(expected.sum(axis=2, keepdims=True), 1)
+        step = RATE * (seen - expected) / (curvature + DAMPING)
+        weights = weights + step.clip(-2, 2).astype(np.float32)
         shared.unpersist()
     return weights, bias
 
@@ -291,8 +315,7 @@ def score_documents(documents, learn, held_out, doc_id="doc_id", text="text", cl
             log_class = np.empty(len(hashes))
             for at in range(0, len(hashes), CHUNK):
                 part = slice(at, at + CHUNK)
-                found = log_probabilities(weights, bias, [r[part] for r in rows_of])
-                log_class[part] = found[np.arange(len(found)), own[part]]
+                log_class[part] = log_probability(weights, bias, [r[part] for r in rows_of], own[part])
             log_class = log_class * to_ten - of_class[own]
             counts = np.fromiter([get(w, 0) for w in words], np.int64, len(words))
             seen = counts > 0
