@@ -252,7 +252,9 @@ def classes(documents, doc_id="doc_id", text="text", threshold=THRESHOLD, trees=
         "texts",
     )
     met = texts.filter("prefixes IS NOT NULL").select("key", F.posexplode("prefixes").alias("tree", "prefix"))
-    groups = met.groupBy("tree", "prefix").agg(F.count("*").alias("n")).filter("n > 1")
+    # Counts are written before they are joined: both sides of the join are then plain
+    # exchanges, which Spark can split where one prefix is very common.
+    groups = stored(met.groupBy("tree", "prefix").agg(F.count("*").alias("n")).filter("n > 1"), "groups")
     inside = met.join(groups, ["tree", "prefix"]).join(texts.select("key", "rep", "copies", "prefixes"), "key")
     inside = stored(inside, "members")
     # A group is of use if for no earlier tree all its members share a prefix.
@@ -262,7 +264,8 @@ def classes(documents, doc_id="doc_id", text="text", threshold=THRESHOLD, trees=
     known = F.lit(False)
     for condition in same:
         known = known | condition
-    useful = inside.groupBy("tree", "prefix").agg(known.alias("known")).filter("NOT known").select("tree", "prefix")
+    useful = inside.groupBy("tree", "prefix").agg(known.alias("known")).filter("NOT known")
+    useful = stored(useful.select("tree", "prefix"), "groups")
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("key", F.lit("block")), blocks).cast("int")
     members = (
