@@ -66,7 +66,6 @@ def rotate_perspectives(
         F.when(F.col("name").isNotNull(), F.concat(F.lit(" name="), F.col("name"))).otherwise(""),
         F.lit("\n"),
     )
-    body = F.concat(F.col("words"), F.lit(END))
     rows = (
         base.join(people, F.col("conv_id").eqNullSafe(F.col("of")))
         .drop("of")
@@ -77,9 +76,8 @@ def rotate_perspectives(
         )
         .withColumn("name", F.when(~own & ~context, F.col("speaker")))
         .withColumn("n_head", F.length(head))
-        .withColumn("n_body", F.length(body))
-        .withColumn("rendered", F.concat(head, body, F.lit("\n")))
-        .withColumn("n", F.length("rendered"))
+        .withColumn("n_body", F.length("words") + len(END))
+        .withColumn("n", F.col("n_head") + F.col("n_body") + 1)
     )
     keys = ["conv_id", "perspective"]
     before = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -94,6 +92,7 @@ def rotate_perspectives(
     )
     inside = Window.partitionBy(*keys, "block").orderBy("turn", "speaker", "words")
     up_to = inside.rowsBetween(Window.unboundedPreceding, -1)
+    # The turns' words are carried; what is rendered is made at the end, after all exchanges.
     placed = (
         rows.withColumn("n_in", F.row_number().over(inside) - 1)
         .withColumn("c_in", F.coalesce(F.sum("n").over(up_to), F.lit(0)))
@@ -114,7 +113,7 @@ def rotate_perspectives(
         "speaker",
         "chat_role",
         "name",
-        "rendered",
+        F.concat(head, F.col("words"), F.lit(END + "\n")).alias("rendered"),
         "mask",
         start.cast("long").alias("start"),
         first.cast("long").alias("target_start"),
