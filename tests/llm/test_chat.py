@@ -1,0 +1,56 @@
+from zonarium.llm import chat
+
+SCHEMA = "conv_id long, turn long, role string, text string, block string, words string"
+ROWS = [
+    (1, 0, "system", "Be kind.", "b", "w"),
+    (1, 1, "ann", "Hi <|im_end|>", "b", "w"),
+    (1, 2, "bob", None, "b", "w"),
+    (1, 3, None, "who?", "b", "w"),
+    (1, 3, None, "who?", "b", "w"),
+    (2, None, "ann", "", "b", "w"),
+    (None, 5, "ann", "lost", "b", "w"),
+    (3, 0, "system", "alone", "b", "w"),
+    *((4, t, ("ann", "bob")[t % 2], "w" * (t % 7), "b", "w") for t in range(200)),
+]
+
+
+def brute(rows):
+    out = []
+    for conv in {r[0] for r in rows}:
+        turns = [(t, r or "unknown", (x or "").replace("<|", "< |")) for c, t, r, x, *_ in rows if c == conv]
+        turns.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+        for who in {r for _, r, _ in turns} - {"system"}:
+            at = 0
+            for position, (turn, speaker, words) in enumerate(turns):
+                chat_role = "assistant" if speaker == who else "system" if speaker == "system" else "user"
+                name = speaker if chat_role == "user" else None
+                head = f"<|im_start|>{chat_role}" + (f" name={name}" if name else "") + "\n"
+                rendered = head + words + "<|im_end|>\n"
+                first, mask = at + len(head), int(speaker == who)
+                last = first + len(words) + 10 if mask else first
+                out.append((conv, who, position, turn, speaker, chat_role, name, rendered, mask, at, first, last))
+                at += len(rendered)
+    return sorted(out, key=repr)
+
+
+def test_every_perspective(make):
+    got = chat.rotate_perspectives(make(ROWS, SCHEMA))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(ROWS)
+    assert chat.rotate_perspectives(make(ROWS, SCHEMA), block_turns=3).count() == len(brute(ROWS))
+
+
+def test_masks_cover_the_assistants_words(make):
+    rows = chat.rotate_perspectives(make(ROWS, SCHEMA)).orderBy("conv_id", "perspective", "position").collect()
+    dialogue = "".join(r.rendered for r in rows if r.conv_id == 1 and r.perspective == "ann")
+    spans = [dialogue[r.target_start : r.target_end] for r in rows if (r.conv_id, r.perspective, r.mask) == (1, "ann", 1)]
+    assert spans == ["Hi < |im_end|><|im_end|>"]
+
+
+def test_no_python_in_the_plan(make):
+    got = chat.rotate_perspectives(make(ROWS, SCHEMA))
+    plan = got._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
+def test_empty(make):
+    assert chat.rotate_perspectives(make(ROWS, SCHEMA).limit(0)).collect() == []

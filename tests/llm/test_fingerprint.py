@@ -1,0 +1,51 @@
+import hashlib
+
+from zonarium.llm import fingerprint as fp
+
+LONG = " ".join(f"word{i * 7919 % 1000}" for i in range(4000))
+
+
+def test_chunks_partition_the_text():
+    for text in ("", "a", "short", LONG, "aaaa" * 500, "é" * 300):
+        data = text.encode()
+        ends = fp.chunks(data)
+        assert (ends[-1] if ends else 0) == len(data)
+        sizes = [b - a for a, b in zip([0, *ends], ends)]
+        assert all(0 < s <= fp.MOST for s in sizes)
+        assert all(s >= fp.LEAST for s in sizes[:-1])
+
+
+def test_shifted_text_keeps_its_chunks():
+    own = fp.chunk_set(LONG)
+    assert fp.likeness(own, fp.chunk_set("a few words before it " + LONG)) > 0.98
+    assert fp.containment(own, fp.chunk_set("x " * 500 + LONG + " y" * 500)) > 0.95
+    assert fp.from_string(fp.to_string(own)) == own
+
+
+def brute(rows):
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), (r[1] or "").encode()))
+    out = []
+    for k, (i, text, *_) in enumerate(order):
+        text, following = text or "", order[(k + 1) % len(order)][1] or ""
+        half = len(text) // 2
+        changed = text[: len(text) - half] + following[:half]
+        a, b, c = map(fp.chunk_set, (text, changed, following))
+        digest = hashlib.sha256(changed.encode()).hexdigest()
+        out.append((i, len(text), digest, fp.to_string(a), fp.to_string(b), fp.likeness(a, b), fp.likeness(a, c)))
+    return sorted(out, key=repr)
+
+
+def test_neighbours_over_ranges(make):
+    rows = [(i * 37 % 101 - 20, LONG[i * 13 : i * 13 + i * 11], "k") for i in range(90)]
+    rows += [(None, "no id", "k"), (5000, None, "k"), (5001, "", "k"), (7, "same id", "k"), (7, "same id", "k")]
+    docs = make(rows, "doc_id long, text string, range string")
+    for size in (5000, 7, 1):
+        got = fp.fingerprint_edits(docs, rows_per_block=size).collect()
+        assert sorted(map(tuple, got), key=repr) == brute(rows)
+
+
+def test_one_and_none(make):
+    docs = make([(1, LONG)], "doc_id long, text string")
+    row = fp.fingerprint_edits(docs).first()
+    assert row.near_next == 1.0 and row.fingerprint == fp.fingerprints(docs).first().fingerprint
+    assert fp.fingerprint_edits(docs.limit(0)).collect() == []

@@ -1,0 +1,53 @@
+from pyspark.sql import functions as F
+
+from zonarium.llm import packing
+
+
+def test_pieces_cover_documents_and_bins_hold(make):
+    lengths = [0, None, 1, 512, 513, 4096, 4097, 20000, *(i * 97 % 1500 for i in range(400))]
+    rows = [(i, n, "b") for i, n in enumerate(lengths)] + [(7, 20000, "b"), (None, 10, "b")]
+    docs = make(rows, "doc_id long, n long, bin_id string")
+    for block in (50_000, 37):
+        got = packing.pack_documents(docs, F.col("n"), block_pieces=block).collect()
+        total = {}
+        for r in got:
+            total[r.doc_id] = total.get(r.doc_id, 0) + r.n_tokens
+        want = {}
+        for i, n, _ in rows:
+            want[i] = want.get(i, 0) + (n or 0)
+        assert total == want
+        bins = {}
+        for r in got:
+            assert (r.bin_id is None) == (r.n_tokens == 0)
+            if r.bin_id:
+                bins.setdefault((r.bin_id, r.capacity), []).append((r.start, r.n_tokens))
+        assert len({b for b, _ in bins}) == len(bins)
+        for (_, capacity), parts in bins.items():
+            parts.sort()
+            ends = [0]
+            for start, n in parts:
+                assert start == ends[-1]
+                ends.append(start + n)
+            smaller = [c for c in packing.CAPACITIES if c < capacity]
+            assert capacity in packing.CAPACITIES and ends[-1] <= capacity and all(c < ends[-1] for c in smaller)
+
+
+def test_best_fit_by_hand():
+    placed = packing.pack([6, 5, 4, 3, 2], (4, 8, 10))
+    fill = {}
+    for n, (at, start, size) in zip([6, 5, 4, 3, 2], placed):
+        fill[at] = fill.get(at, 0) + n
+        assert start + n <= size
+    assert sum(fill.values()) == 20
+
+
+def test_word_count(make):
+    texts = [None, "", "  ", "a", " a b\n", "a\t\nb c", "x" * 100]
+    docs = make([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = dict(docs.select("doc_id", packing.word_count("text")).collect())
+    assert got == {i: len((t or "").split()) for i, t in enumerate(texts)}
+
+
+def test_empty(make):
+    docs = make([(1, 1)], "doc_id long, n long").limit(0)
+    assert packing.pack_documents(docs, F.col("n")).collect() == []
