@@ -269,6 +269,26 @@ def train(rows, class_of, classes=CLASSES, rounds=ROUNDS):
     return weights, bias
 
 
+def frequent_words(vocabulary, most):
+    """{word: n} of the most frequent words, ``most`` at most.
+
+    Words are first counted by the size of n; only those above a size that few
+    enough words have are brought to the driver.
+    """
+    short = vocabulary.filter(F.length("word") <= FREQUENT_BYTES)
+    size = F.floor(F.log2("n") * 16).cast("int")
+    sizes = short.groupBy(size.alias("size")).count().collect()  # at most 16 for each power of two
+    least, words = None, 0
+    for at, count in sorted(map(tuple, sizes), reverse=True):
+        words += count
+        if words > most:
+            break
+        least = at
+    if least is None:
+        return {}
+    return {bytes(w): n for w, n in short.filter(size >= least).select("word", "n").collect()}
+
+
 def score_documents(documents, learn, held_out, doc_id="doc_id", text="text", classes=CLASSES, rounds=ROUNDS, frequent=FREQUENT):
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -299,8 +319,7 @@ def score_documents(documents, learn, held_out, doc_id="doc_id", text="text", cl
     # Each class has one place for words that were not seen.
     of_class = np.log10(tokens + SMOOTHING * (kinds + 1))
     of_all = math.log10(total + SMOOTHING * (different + 1))
-    best = vocabulary.filter(F.length("word") <= FREQUENT_BYTES).orderBy(F.desc("n"), "word").limit(frequent)
-    known = {bytes(w): n for w, n in best.collect()}
+    known = frequent_words(vocabulary, frequent)
     context = documents.sparkSession.sparkContext
     shared = context.broadcast((weights, bias, class_of, of_class, known))
 
