@@ -38,7 +38,10 @@ ASIDE_WORDS = frozenset(
 )
 MAIN_WORDS = frozenset("article content entry main post story".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
+# Nothing matched is given back, so broken markup costs no backtracking.
+_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+(?=>)|[^>]*+)>", re.S
+)
 _ATTR = re.compile(r"""([^\s=/"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 _WORD = re.compile(r"[a-z]+")
 _MARKS = re.compile(r"[.,;:!?]")
@@ -92,9 +95,12 @@ def parse(page):
         flush()
         del stack[depth:]
 
-    at, end = 0, len(page)
+    at, end, last = 0, len(page), page.rfind(">")
+    if page.rfind("<!--") > last:
+        last = end
     while at < end:
-        found = _TAG.search(page, at)
+        # What follows the last ">" holds no tag.
+        found = _TAG.search(page, at) if at < last else None
         upto = found.start() if found else end
         if upto > at:
             text = html.unescape(page[at:upto])
