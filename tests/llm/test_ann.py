@@ -1,0 +1,75 @@
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from zonarium.llm import ann
+
+SCHEMA = "vec_id long, embedding array<float>, rank int"
+
+
+def brute(rows, k):
+    """{query: [(rank, vec_id, cosine)]} over the least vector of each id."""
+    best = {}
+    for i, v, *_ in rows:
+        if i is None or not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
+            continue
+        best[i] = min(best.get(i, v), v)
+    vectors = {i: np.array(v, np.float32).astype(float) for i, v in best.items()}
+    out = {}
+    for i, q in vectors.items():
+        if i % 50 == 0:
+            near = [
+                (-float((v * q).sum() / (np.sqrt((v * v).sum()) * np.sqrt((q * q).sum()))), j)
+                for j, v in vectors.items()
+                if j != i and len(v) == len(q)
+            ]
+            out[i] = [(r + 1, j, -s) for r, (s, j) in enumerate(sorted(near)[:k])]
+    return out
+
+
+def found(table, **options):
+    out = {}
+    for r in ann.nearest_neighbours(table, lambda i: F.pmod(i, F.lit(50)) == 0, **options).collect():
+        out.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    return {i: sorted(v) for i, v in out.items()}
+
+
+def rows(n=900, size=12):
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((20, size))
+    made = [(i, (centres[i % 20] + 0.4 * rng.standard_normal(size)).astype(np.float32).tolist(), 1) for i in range(n)]
+    same = made[50][1]
+    made += [(2000 + i, same, 1) for i in range(40)]  # ties
+    made += [
+        (3000, None, 1), (3050, [], 1), (3100, [0.0] * size, 1), (3150, [float("nan")] * size, 1),
+        (3200, [None] * size, 1), (3250, [float("inf")] + [1.0] * (size - 1), 1), (None, same, 1),
+        (3300, [1.0, 2.0], 1), (3301, [2.0, 1.0], 1), (100, made[100][1], 1),
+    ]
+    return made
+
+
+def test_recall_and_exact_scores(make):
+    made = rows()
+    want = brute(made, 5)
+    for values in (1 << 19, 1200):
+        got = found(make(made, SCHEMA), shard_values=values)
+        assert set(got) == set(want)
+        hits = sum(len({j for _, j, _ in got[i]} & {j for _, j, _ in want[i]}) for i in want)
+        assert hits >= 0.9 * sum(map(len, want.values()))
+        for i, near in got.items():
+            assert [r for r, _, _ in near] == list(range(1, len(near) + 1))
+            true = {j: s for _, j, s in brute(made, 10**6)[i]}
+            assert all(abs(true[j] - s) < 1e-12 for _, j, s in near)
+            assert near == sorted(near, key=lambda x: (-x[2], x[1]))
+    # Ties go to the smaller ids.
+    assert [j for _, j, _ in got[50]] == [2000, 2001, 2002, 2003, 2004]
+    assert [j for _, j, _ in got[3300]] == [3301]
+
+
+def test_few_candidates_and_empty(make):
+    two = make([(0, [1.0, 0.0], 1), (1, [0.5, 0.5], 1)], SCHEMA)
+    got = found(two)
+    assert [(r, j) for r, j, _ in got[0]] == [(1, 1)] and abs(got[0][0][2] - math.sqrt(0.5)) < 1e-12
+    assert found(two.limit(0)) == {}
+    assert found(make([(0, [1.0, 0.0], 1)], SCHEMA)) == {}
