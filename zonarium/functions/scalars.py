@@ -6,10 +6,10 @@ from ..schemas import NA
 
 _BLANKS = " \t\r\n\x0b\x0c"
 
-# What counts as a number in report cells: sign, digits with optional
-# underscores, exponent, or one of the words inf / infinity / nan.
+# What counts as a number in report cells: sign, digits with single
+# underscores between them, exponent, or one of the words inf / infinity / nan.
 NUMBER_PATTERN = (
-    r"^\s*[+-]?((\d[\d_]*\.?[\d_]*|\.\d[\d_]*)([eE][+-]?\d+)?"
+    r"^\s*[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?"
     r"|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*$"
 )
 _NAN_PATTERN = r"^\s*[+-]?[nN][aA][nN]\s*$"
@@ -28,6 +28,22 @@ def basename(path):
 _DATE_TIME = r"^\s*\d{1,2}/\d{1,2}  +\d{1,2}:\d{1,2}:\d{1,2}\s*$"
 
 
+# A cell after a comma: quoted, with doubled quotes inside, or plain.
+_CELL = r',("[^"]*(?:""[^"]*)*"[^,]*|[^,]*)'
+_QUOTED = r'(?s)^\s*"(.*)"\s*$'
+
+
+def split_cells(line):
+    """Cells of a comma-separated line; a quoted cell may hold commas.
+
+    Lines without a quote are split at every comma, which costs less.
+    """
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), F.lit(1))
+    inside = lambda c: F.replace(F.regexp_extract(c, _QUOTED, 1), F.lit('""'), F.lit('"'))
+    plain = F.transform(cells, lambda c: F.when(c.rlike(_QUOTED), inside(c)).otherwise(c))
+    return F.when(F.contains(line, F.lit('"')), plain).otherwise(F.split(line, ","))
+
+
 def format_datetime(year, text):
     """``MM/DD  HH:MM:SS`` of a simulation year as a timestamp without zone.
 
@@ -67,10 +83,7 @@ def hhmmss_to_seconds(text):
 
 
 def is_number(text):
-    """Whether a report cell is a number (see ``NUMBER_PATTERN``).
-
-    Slightly wider than needed on odd underscores such as ``1__0``.
-    """
+    """Whether a report cell is a number (see ``NUMBER_PATTERN``)."""
     return text.rlike(NUMBER_PATTERN)
 
 

@@ -9,6 +9,8 @@ from .rows import last_by, minus_existing
 
 # Building ids are passed to the scan as a list up to this many.
 MAX_LISTED_BUILDINGS = 10_000
+# And variable names up to this many.
+MAX_LISTED_VARIABLES = 1_000
 
 
 def with_subvariable(long):
@@ -36,6 +38,24 @@ def buildings_of(batch):
     return ids if len(ids) <= MAX_LISTED_BUILDINGS else distinct
 
 
+def of_variables(facts, variables):
+    """Facts of some variables: a list goes to the scan as a filter, ``None`` filters nothing."""
+    return facts if variables is None else facts.filter(F.col("variablename").isin(variables))
+
+
+def variables_of(batch):
+    """Variable names of a batch as a list, ``None`` if there are too many to list."""
+    names = [r[0] for r in batch.select("variablename").distinct().limit(MAX_LISTED_VARIABLES + 1).collect()]
+    return names if len(names) <= MAX_LISTED_VARIABLES else None
+
+
+def of_year(facts, year):
+    """Facts from the year's start to the midnight that ends it."""
+    first = F.lit(f"{int(year):04d}-01-01").cast("timestamp_ntz")
+    last = F.lit(f"{int(year) + 1:04d}-01-01").cast("timestamp_ntz")
+    return facts.filter((F.col("datetime") >= first) & (F.col("datetime") <= last))
+
+
 def new_rows(batch, existing, buildings=None):
     """Batch rows not stored yet, compared on all their columns.
 
@@ -52,6 +72,16 @@ def last_datetime(facts, keys=LEDGER_KEY):
     return facts.groupBy(*keys).agg(F.max("datetime").alias("last_datetime"))
 
 
+def load_marks(ledger, facts, keys=LEDGER_KEY):
+    """Last loaded time per key, from the ledger and, unless it says completed, from the facts.
+
+    A load that broke off after its rows were stored has no mark in the ledger.
+    """
+    open_facts = not_loaded(last_datetime(facts, keys), ledger, keys)
+    marks = ledger.select(*keys, "last_datetime").unionByName(open_facts.select(*keys, "last_datetime"))
+    return marks.groupBy(*keys).agg(F.max("last_datetime").alias("last_datetime"))
+
+
 def last_ledger_line(ledger, keys, order, columns=("last_datetime",)):
     """Values of the last ledger line per key, in the order of ``order``."""
     return last_by(ledger, list(keys), order, list(columns))

@@ -101,8 +101,8 @@ def update_manifest(manifest, updates, field):
 
 
 def pending_runs(manifest):
-    """Runs that are not uploaded yet."""
-    return manifest.filter(F.trim("Simulation Status") != UPLOADED)
+    """Runs that are not uploaded yet; a run without a status is pending too."""
+    return manifest.filter(~F.trim("Simulation Status").eqNullSafe(F.lit(UPLOADED)))
 
 
 def has_building(manifest):

@@ -38,7 +38,8 @@ def section_cells(line):
     """Cells after the first token; a last cell of one blank is dropped."""
     text = F.rtrim(line, F.lit("\r\n"))
     text = F.when(text.endswith(", "), F.left(text, F.length(text) - 2)).otherwise(text)
-    return F.slice(F.split(text, ","), 2, 1 << 20)
+    cells = F.split(text, ",")
+    return F.slice(cells, F.lit(2), F.size(cells))
 
 
 def section_headers(lines):
@@ -59,6 +60,17 @@ def section_headers(lines):
     )
 
 
+def section_lines(lines):
+    """Data lines with their cells, one row for each section whose name a line contains."""
+    line = F.col("value")
+    return lines.filter(~line.contains("!")).select(
+        "file",
+        "line_no",
+        section_cells(line).alias("cells"),
+        F.explode(all_categories(line)).alias("tablename"),
+    )
+
+
 def match_sections(lines, headers=None):
     """Data lines with the header of their section.
 
@@ -69,17 +81,14 @@ def match_sections(lines, headers=None):
     """
     if headers is None:
         headers = checkpointed(section_headers(lines))
-    line = F.col("value")
-    body = (
-        lines.filter(~line.contains("!"))
-        .select(
-            "file",
-            "line_no",
-            section_cells(line).alias("cells"),
-            F.explode(all_categories(line)).alias("tablename"),
-        )
-    )
-    return lookup_join(body, headers, ["file", "tablename"], "inner", ["line_no"])
+    return lookup_join(section_lines(lines), headers, ["file", "tablename"], "inner", ["line_no"])
+
+
+def without_header(lines, headers):
+    """Data lines of sections that have no header in their file, with the reason."""
+    keys = headers.select("file", "tablename").distinct()
+    missing = lookup_join(section_lines(lines), keys, ["file", "tablename"], "left_anti")
+    return missing.select("file", "tablename", "line_no", "cells", F.lit("no header").alias("reason"))
 
 
 def problem(header, cells):

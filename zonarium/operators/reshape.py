@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import (
     format_datetime,
     normalise_variable,
+    split_cells,
     subvariable,
     subvariable_columns,
     variable_family,
@@ -91,50 +92,98 @@ def to_long(wide, variablename, year=None, timeresolution=None, value_columns=No
     )
 
 
+_HEADER = r'^[\s\ufeff]*"?\s*Date/Time'
+
+
 def split_output_lines(lines):
     """Lines of output files as (headers, body).
 
-    A line that starts with ``Date/Time`` is the header of its file.  Files
+    A line that starts with ``Date/Time``, perhaps after blanks, a byte order
+    mark or a quote, is the header of its file.  Names may be quoted.  Files
     may be cut anywhere between lines, so nothing depends on the line order.
     ``headers`` has one row per file with the array ``header`` and the columns
     that come from the file's path; ``body`` has the other lines.
     """
-    is_header = F.col("value").startswith(DATE_COLUMN)
+    is_header = F.col("value").contains(DATE_COLUMN) & F.col("value").rlike(_HEADER)
     keys = [c for c in lines.columns if c != "value"]
     headers = (
         lines.filter(is_header)
         .groupBy(*keys)
-        .agg(F.first(F.split("value", ",")).alias("header"))
+        .agg(F.first(split_cells(F.col("value"))).alias("header"))
     )
     body = lines.filter(~is_header & (F.trim("value") != ""))
     return headers, body
 
 
+NO_HEADER = "no header"
+BAD_TIME = "unreadable time"
+LONG_LINE = "more cells than the header"
+BAD_NUMBER = "unreadable number"
+
+
+def _lines_with_cells(lines, headers, year):
+    """Lines joined to their headers: cells, datetime, and ``fault`` of the whole line or NULL."""
+    joined = lookup_join(lines.select("file", "value"), headers, "file", how="inner")
+    split = joined.withColumn("cells", split_cells(F.col("value")))
+    timed = split.withColumn("datetime", format_datetime(year, F.get("cells", F.lit(0))))
+    too_long = F.size("cells") > F.col("width") if "width" in headers.columns else F.lit(False)
+    return timed.withColumn(
+        "fault", F.when(F.col("datetime").isNull(), BAD_TIME).when(too_long, LONG_LINE)
+    )
+
+
+def _is_bad_number(cell):
+    return (F.trim(cell) != "") & F.trim(cell).try_cast("double").isNull()
+
+
 def lines_to_long(lines, headers, year, timeresolution):
     """Body lines of many output files to long rows.
 
     ``lines`` has ``file`` and ``value``.  ``headers`` has ``file``,
     ``buildingid``, ``variablename`` and ``columns``, the value columns that
-    are wanted (see ``collect_columns``).  Only whole lines are moved when the
-    headers are too many to broadcast; the time is read once per line, and a
-    cell costs one array access and one cast.
+    are wanted (see ``collect_columns``), and perhaps ``width``, the number of
+    cells of the header.  Only whole lines are moved when the headers are too
+    many to broadcast; the time is read once per line, and a cell costs one
+    array access and one cast.  An empty cell is NULL; what cannot be read is
+    left out here and found by ``rejected_lines``.
     """
-    per_line = lookup_join(lines.select("file", "value"), headers, "file", how="inner").select(
-        "buildingid",
-        format_datetime(year, F.substring_index("value", ",", 1)).alias("datetime"),
-        F.lit(timeresolution).cast("int").alias("timeresolution"),
-        "variablename",
-        F.split("value", ",").alias("cells"),
-        "columns",
-    )
+    per_line = _lines_with_cells(lines, headers, year).filter("fault IS NULL")
     cell = F.get(F.col("cells"), F.col("column.position"))
-    return per_line.select("*", F.explode("columns").alias("column")).select(
-        "buildingid",
-        "datetime",
-        "timeresolution",
-        "variablename",
-        *[F.col(f"column.{c}").alias(c) for c in SUBVARIABLE_COLUMNS],
-        F.trim(cell).try_cast("double").alias("value"),
+    return (
+        per_line.select(
+            "buildingid", "datetime", "variablename", "cells", F.explode("columns").alias("column")
+        )
+        .filter(~F.coalesce(_is_bad_number(cell), F.lit(False)))
+        .select(
+            "buildingid",
+            "datetime",
+            F.lit(timeresolution).cast("int").alias("timeresolution"),
+            "variablename",
+            *[F.col(f"column.{c}").alias(c) for c in SUBVARIABLE_COLUMNS],
+            F.trim(cell).try_cast("double").alias("value"),
+        )
+    )
+
+
+def rejected_lines(lines, known_files, headers, year):
+    """Lines that ``lines_to_long`` leaves out wholly or in part, with the reason.
+
+    ``known_files`` holds ``file`` of every file that has a header.  The array
+    ``columns`` holds the value columns concerned: all wanted ones of a line
+    without a readable time or with too many cells, else those of the cells
+    that hold no number.  It is NULL for files without a header.
+    """
+    headless = lookup_join(lines.select("file", "value"), known_files, "file", how="left_anti")
+    read = _lines_with_cells(lines, headers, year)
+    bad = F.filter(
+        "columns", lambda c: F.coalesce(_is_bad_number(F.get(F.col("cells"), c["position"])), F.lit(False))
+    )
+    faulty = read.withColumn("columns", F.when(F.col("fault").isNull(), bad).otherwise(F.col("columns")))
+    faulty = faulty.filter("fault IS NOT NULL OR size(columns) > 0")
+    return faulty.select(
+        "file", "buildingid", "variablename", "value", F.coalesce("fault", F.lit(BAD_NUMBER)).alias("reason"), "columns"
+    ).unionByName(
+        headless.select("file", "value", F.lit(NO_HEADER).alias("reason")), allowMissingColumns=True
     )
 
 

@@ -22,7 +22,7 @@ def retrieve_timeseries(
     does an unknown ``subvariabletype`` or the sub-name ``'NA'``.  Columns
     fixed by a filter are left out, a filtered sub-name is shown.
     """
-    by_subname = subvariabletype in SUBVARIABLE_COLUMNS and subvariable != NA
+    by_subname = subvariabletype in SUBVARIABLE_COLUMNS and bool(subvariable) and subvariable != NA
 
     columns = ["timeseriesdataid"]
     if not buildingid:

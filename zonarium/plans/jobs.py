@@ -1,5 +1,6 @@
 """Whole jobs: load runs, load reports, build the manifest and training sets."""
 
+import re
 import time
 
 from pyspark.sql import functions as F
@@ -11,10 +12,14 @@ from ..operators.loading import (
     after_watermark,
     building_status,
     buildings_of,
+    load_marks,
     new_rows,
     not_loaded,
     of_buildings,
+    of_variables,
+    of_year,
     upsert_ledger,
+    variables_of,
     with_subvariable,
 )
 from ..operators.manifest import (
@@ -30,14 +35,17 @@ from ..operators.reports import (
     match_sections,
     new_report_rows,
     pad_sections,
+    quarantined,
     section_headers,
     sections_to_long,
+    without_header,
 )
 from ..operators.reshape import (
     collect_columns,
     header_columns,
     lines_to_long,
     pivot_variables,
+    rejected_lines,
     split_output_lines,
 )
 from ..operators.retrieve import retrieve_rows
@@ -63,7 +71,14 @@ from ..sources.files import (
     with_run_name,
     write_manifest,
 )
-from ..sources.tables import add_buildings, append_rows, ensure_tables, read_table, replace_table
+from ..sources.tables import (
+    add_buildings,
+    add_rejected,
+    append_rows,
+    ensure_tables,
+    read_table,
+    replace_table,
+)
 
 DEDUPE, WATERMARK = "dedupe", "watermark"
 
@@ -73,10 +88,11 @@ def wanted_columns(headers, runs, ledger=None):
 
     ``runs`` has ``run`` and ``buildingid``.
     """
+    headers = headers.withColumn("width", F.size("header"))
     columns = header_columns(lookup_join(headers, runs, "run", "inner"))
     if ledger is not None:
         columns = not_loaded(columns, ledger)
-    wanted = collect_columns(columns, ["file", "buildingid", "variablename"])
+    wanted = collect_columns(columns, ["file", "buildingid", "variablename", "width"])
     return wanted.withColumn("file", plain_key("file"))
 
 
@@ -86,14 +102,16 @@ def load_outputs(
     """Load the output lines of any number of runs and variables in one plan.
 
     ``dedupe`` adds every row that is not stored; ``watermark`` adds the rows
-    later than the last one loaded for their series.
+    later than the last one loaded for their series.  Lines and cells that
+    cannot be read go to ``timeseries_rejected`` with the reason, and their
+    columns are not marked as completed.
     """
     if mode not in (DEDUPE, WATERMARK):
         raise ValueError(f"unknown load mode {mode!r}")
     started = time.monotonic()
     ledger = checkpointed(read_table(spark, root, "ledger"))
     headers, body = split_output_lines(lines)
-    headers = with_file_names(headers)
+    headers = checkpointed(with_file_names(headers))
     wanted = checkpointed(wanted_columns(headers, runs, ledger if skip_completed else None))
     keys = (
         with_subvariable(
@@ -107,22 +125,38 @@ def load_outputs(
 
     batch = lines_to_long(body, wanted, year, timeresolution)
     batch = batch.withColumn("value", F.col("value").cast("float"))
-    stored = read_table(spark, root, "timeseriesdata")
-    buildings = buildings_of(wanted)
+    buildings, variables = buildings_of(wanted), variables_of(wanted)
+    # Only these can equal, or come before, rows of the batch.
+    stored = of_variables(read_table(spark, root, "timeseriesdata"), variables)
     if mode == DEDUPE:
-        fresh = new_rows(batch, stored, buildings)
+        fresh = new_rows(batch, of_year(stored, year), buildings)
     else:
-        fresh = after_watermark(with_subvariable(batch), ledger).select(*batch.columns)
+        marks = load_marks(ledger, with_subvariable(of_buildings(stored, buildings)))
+        fresh = after_watermark(with_subvariable(batch), marks).select(*batch.columns)
     append_rows(fresh, root, "timeseriesdata")
 
+    known_files = headers.select(plain_key("file")).distinct()
+    rejected = checkpointed(rejected_lines(body, known_files, wanted, year))
+    add_rejected(rejected, root, "timeseries_rejected")
+    unfit = (
+        with_subvariable(
+            rejected.filter("columns IS NOT NULL").select("buildingid", "variablename", F.inline("columns"))
+        )
+        .select(*LEDGER_KEY)
+        .distinct()
+        .withColumn("unfit", F.lit(True))
+    )
+
     elapsed = int(time.monotonic() - started)
-    facts = with_subvariable(of_buildings(read_table(spark, root, "timeseriesdata"), buildings))
+    facts = with_subvariable(
+        of_buildings(of_variables(read_table(spark, root, "timeseriesdata"), variables), buildings)
+    )
     loaded = facts.groupBy(*LEDGER_KEY).agg(
         F.max("datetime").alias("last_datetime"), F.count(F.lit(1)).alias("n_rows")
     )
-    done = keys.join(loaded, LEDGER_KEY, "left").select(
+    done = keys.join(loaded, LEDGER_KEY, "left").join(unfit, LEDGER_KEY, "left").select(
         *LEDGER_KEY,
-        F.lit(UPLOAD_COMPLETED).alias("status"),
+        F.when(F.col("unfit"), UPLOAD_STARTED).otherwise(UPLOAD_COMPLETED).alias("status"),
         "last_datetime",
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
         F.lit(elapsed).cast("long").alias("elapsed_seconds"),
@@ -139,15 +173,25 @@ def load_variable(spark, root, path, buildingid, year, timeresolution, mode=WATE
 
 
 def load_eio(spark, root, lines, runs):
-    """Load the report lines of any number of runs."""
-    headers = lookup_join(with_run_name(section_headers(lines)), runs, "run", "inner")
-    headers = headers.withColumn("file", plain_key("file"))
-    sections = pad_sections(match_sections(lines, checkpointed(headers)))
-    batch = sections_to_long(sections, keys=("buildingid",))
+    """Load the report lines of any number of runs.
+
+    Rows that are longer than their header, or of a section without a header or
+    a zone column, go to ``eio_rejected`` with the reason.
+    """
+    found = checkpointed(with_run_name(section_headers(lines)))
+    headers = lookup_join(found, runs, "run", "inner").withColumn("file", plain_key("file"))
+    headers = checkpointed(headers)
+    matched = match_sections(lines, headers)
+    batch = sections_to_long(pad_sections(matched), keys=("buildingid",))
     stored = read_table(spark, root, "eiotabledata")
     append_rows(
         new_report_rows(batch, of_buildings(stored, buildings_of(runs))), root, "eiotabledata"
     )
+    headless = lookup_join(with_run_name(without_header(lines, found)), runs, "run", "inner")
+    buildings = headers.select("file", "buildingid").distinct()
+    rejected = lookup_join(quarantined(matched), buildings, "file", "inner").unionByName(headless.drop("run"))
+    rejected = rejected.withColumn("value", F.concat_ws(",", "cells"))
+    add_rejected(rejected, root, "eio_rejected")
 
 
 def local_path(path):
@@ -170,6 +214,17 @@ def register_buildings(spark, root, manifest, models_root):
     return checkpointed(numbered.select("run", MANIFEST_KEY, "buildingid"))
 
 
+# Run folders are named in the path up to this many.
+MAX_LISTED_RUNS = 5_000
+
+
+def run_folders(runs):
+    """Path pattern of the runs' folders; ``*`` if they are too many or cannot be written in one."""
+    names = sorted({r[0] for r in runs.select("run").distinct().limit(MAX_LISTED_RUNS + 1).collect()})
+    plain = all(re.fullmatch(r"[\w .+=@-]+", name or "") for name in names)
+    return "{" + ",".join(names) + "}" if names and plain and len(names) <= MAX_LISTED_RUNS else "*"
+
+
 def load_all(
     spark,
     root,
@@ -180,11 +235,15 @@ def load_all(
     timeresolution,
     mode=DEDUPE,
     with_reports=True,
+    skip_completed=True,
 ):
     """Load all runs of the manifest that are not uploaded yet, in one plan.
 
     Buildings get their ids, series and reports are loaded, and the manifest
-    is written back with ids and states.
+    is written back with ids and states.  Only the folders of those runs are
+    read.  A run whose state is ``Uploaded`` is never read again; this job
+    leaves that state to its user and writes ``Complete``, as such a run may
+    grow.  ``skip_completed=False`` takes the new lines of grown files.
     """
     ensure_tables(spark, root)
     manifest = checkpointed(read_manifest(spark, manifest_path))
@@ -197,10 +256,13 @@ def load_all(
     write_manifest(manifest, manifest_path)
 
     runs = buildings.select("run", "buildingid")
-    output = read_output_lines(spark, f"{results_root}/*/TimeSeriesData/*.csv")
-    load_outputs(spark, root, output, runs, year, timeresolution, mode)
+    if runs.isEmpty():
+        return
+    folders = run_folders(runs)
+    output = read_output_lines(spark, f"{results_root}/{folders}/TimeSeriesData/*.csv")
+    load_outputs(spark, root, output, runs, year, timeresolution, mode, skip_completed)
     if with_reports:
-        load_eio(spark, root, read_eio(spark, f"{results_root}/*/OutputFiles/*.eio"), runs)
+        load_eio(spark, root, read_eio(spark, f"{results_root}/{folders}/OutputFiles/*.eio"), runs)
 
     states = building_status(read_table(spark, root, "ledger")).filter(
         F.col("building_status") == COMPLETE

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..functions.scalars import seconds_to_hhmmss
 from ..operators import reports
 from ..plans.jobs import load_eio, load_outputs
-from ..schemas import LEDGER_CSV, MANIFEST_COLUMNS
+from ..schemas import LEDGER_CSV, LEDGER_KEY, MANIFEST_COLUMNS, UPLOAD_STARTED
 from ..session import scratch_path
 from ..sources import files, tables
 from . import standins as s
@@ -159,6 +159,99 @@ def q_column_names(spark, sf_dir):
     return spark.read.text(f"{root}/names").join(F.broadcast(used))
 
 
+def _faulty_lines(spark, sf_dir):
+    """Output lines of one run per return flag, some of which cannot be loaded.
+
+    The header stands after a blank and has a quoted name with a comma.
+    """
+    items = table(spark, sf_dir, "lineitem")
+    kind = F.col("l_linenumber")
+    path = F.concat(F.lit("/run"), "l_returnflag", F.lit("/TimeSeriesData/"))
+    cell = F.concat(F.col("l_orderkey").cast("string"), F.lit("."), kind.cast("string"))
+    body = items.select(
+        F.concat(path, F.when(kind == 7, "Site_Air.csv").otherwise("Zone_Air.csv")).alias("file"),
+        F.concat(
+            F.when(kind == 2, "someday").otherwise(F.format_string(" 01/02  %02d:00:00", kind)),
+            F.lit(","),
+            cell,
+            F.lit(","),
+            F.when(kind == 4, "oops").when(kind == 3, "1,2").otherwise("0.5"),
+        ).alias("value"),
+    )
+    header = items.select(
+        F.concat(path, F.lit("Zone_Air.csv")).alias("file"),
+        F.lit(' Date/Time,"Z,A:Zone Air [C]",Z B:Zone Air [C]').alias("value"),
+    )
+    return header.distinct().unionByName(body)
+
+
+def _load_faulty(spark, sf_dir, label, mode="dedupe"):
+    """(tables' folder, runs) after the faulty lines were loaded twice."""
+    root = scratch_path(spark, label)
+    runs = (
+        table(spark, sf_dir, "lineitem")
+        .select(F.concat(F.lit("run"), "l_returnflag").alias("run"), F.ascii("l_returnflag").cast("long").alias("buildingid"))
+        .distinct()
+    )
+    tables.ensure_tables(spark, root)
+    for _ in range(2):
+        load_outputs(spark, root, _faulty_lines(spark, sf_dir), runs, 2000, 60, mode, skip_completed=False)
+    return root
+
+
+@query("""
+    SELECT CASE WHEN l_linenumber <> 7 THEN CAST(ascii(l_returnflag) AS BIGINT) ELSE -1 END AS buildingid,
+           CASE l_linenumber WHEN 2 THEN 'unreadable time' WHEN 3 THEN 'more cells than the header'
+                WHEN 4 THEN 'unreadable number' ELSE 'no header' END AS reason,
+           CAST(count(DISTINCT l_orderkey || l_returnflag) AS BIGINT) AS n_lines
+    FROM lineitem WHERE l_linenumber IN (2, 3, 4, 7) GROUP BY ALL""")
+def q_rejected_outputs(spark, sf_dir):
+    """Different output lines that could not be loaded, by building (-1: unknown) and reason."""
+    root = _load_faulty(spark, sf_dir, "rejected")
+    found = tables.read_rejected(spark, root, "timeseries_rejected")
+    building = F.coalesce("buildingid", F.lit(-1)).alias("buildingid")
+    return found.groupBy(building, "reason").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@query("""
+    WITH kept AS (
+        SELECT CAST(ascii(l_returnflag) AS BIGINT) AS buildingid, l_linenumber, zonename
+        FROM lineitem, (VALUES ('Z,A'), ('Z B')) z(zonename)
+        WHERE l_linenumber NOT IN (2, 3, 7) AND NOT (l_linenumber = 4 AND zonename = 'Z B'))
+    SELECT buildingid, zonename AS subvariable, 'Upload Started' AS status, CAST(count(*) AS BIGINT) AS n_rows
+    FROM kept GROUP BY ALL""")
+def q_faulty_ledger(spark, sf_dir):
+    """Ledger of columns with rejected lines: their good rows are stored, they are not completed."""
+    root = _load_faulty(spark, sf_dir, "faulty")
+    ledger = tables.read_table(spark, root, "ledger")
+    return ledger.select("buildingid", "subvariable", "status", "n_rows")
+
+
+@query(_outputs_sql("CAST(CAST({} AS FLOAT) AS DOUBLE)"))
+def q_reload_after_break(spark, sf_dir):
+    """A load by time that broke off before its ledger was written, run again: each row once."""
+    root = scratch_path(spark, "broken")
+    lines = files.read_output_lines(spark, _write_outputs(spark, sf_dir, root))
+    runs = spark.createDataFrame(
+        [(f"run{flag}", i) for i, flag in enumerate(_FLAGS, 1)], "run string, buildingid long"
+    )
+    tables.ensure_tables(spark, f"{root}/tables")
+    load_outputs(spark, f"{root}/tables", lines, runs, 2000, 60, "watermark")
+    begun = tables.read_table(spark, f"{root}/tables", "ledger").select(
+        *LEDGER_KEY,
+        F.lit(UPLOAD_STARTED).alias("status"),
+        F.lit(None).cast("timestamp_ntz").alias("last_datetime"),
+        F.lit(None).cast("long").alias("n_rows"),
+        F.lit(None).cast("long").alias("elapsed_seconds"),
+    )
+    tables.replace_table(begun, f"{root}/tables", "ledger")
+    load_outputs(spark, f"{root}/tables", lines, runs, 2000, 60, "watermark")
+    stored = tables.read_table(spark, f"{root}/tables", "timeseriesdata")
+    return _as_double(stored.join(F.broadcast(runs), "buildingid")).select(
+        "run", "datetime", "variablename", "zonename", "value"
+    )
+
+
 @query(_FLOAT_FACTS.replace("CAST(CAST(value AS FLOAT) AS DOUBLE)", "value"))
 def q_bundle(spark, sf_dir):
     """Facts written as a bundle, split by building, and read back."""
@@ -211,6 +304,36 @@ def q_load_reports(spark, sf_dir):
     return _as_double(stored.drop("eiotabledataid"), "floatvalue")
 
 
+@query(f"""
+    SELECT CAST(p_size AS BIGINT) AS buildingid, {s.SECTION_SQL} AS tablename, 'row longer than header' AS reason,
+           CAST(count(*) AS BIGINT) AS n_rows
+    FROM part WHERE p_name LIKE 'new %' GROUP BY ALL
+    UNION ALL
+    SELECT CAST(p_size AS BIGINT), 'HotWaterEquipment Internal Gains Nominal', 'no header', CAST(count(*) AS BIGINT)
+    FROM part GROUP BY ALL""")
+def q_rejected_reports(spark, sf_dir):
+    """Report rows that could not be loaded, by building, section and reason."""
+    root = scratch_path(spark, "rejected")
+    headless = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("run"), F.col("p_size").cast("string")).alias("file"),
+        (-F.col("p_partkey")).alias("line_no"),
+        F.concat(F.lit(" HotWaterEquipment Internal Gains Nominal,Z,"), F.col("p_partkey").cast("string")).alias("value"),
+    )
+    lines = report_lines(spark, sf_dir).unionByName(headless)
+    lines = lines.withColumn("file", F.concat(F.lit("/"), "file", F.lit("/OutputFiles/report.eio")))
+    runs = (
+        table(spark, sf_dir, "part")
+        .select(F.col("p_size").cast("long").alias("buildingid"))
+        .distinct()
+        .withColumn("run", F.concat(F.lit("run"), F.col("buildingid").cast("string")))
+    )
+    tables.ensure_tables(spark, root)
+    for _ in range(2):
+        load_eio(spark, root, lines, runs)
+    found = tables.read_rejected(spark, root, "eio_rejected")
+    return found.groupBy("buildingid", "tablename", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("""
     SELECT split_part(p_name, ' ', 2) AS buildingtype, 'Zone Information,' || p_name || ',' || p_brand || ','
            || repeat(p_size || ',', 26) || 'Yes,end' AS value

@@ -96,6 +96,9 @@ LEDGER_CSV = _fields(
     ]
 )
 
+# Column that tells the six-column text form from it.
+LEDGER_LAST_TIME = "Last Uploaded Datetime"
+
 ZONE_MAP = _fields([("buildingid", _L), ("zonename", _S), ("aggregation_zone", _I)])
 
 UPLOAD_STARTED = "Upload Started"

@@ -12,7 +12,7 @@ from ..functions.scalars import (
     normalise_weather,
 )
 from ..operators.reshape import DATE_COLUMN, quoted, split_output_lines
-from ..schemas import LEDGER, LEDGER_CSV, MANIFEST
+from ..schemas import LEDGER, LEDGER_CSV, LEDGER_LAST_TIME, MANIFEST, UPLOAD_STARTED
 
 # Folders of the model and weather files, per kind of model.
 MODEL_FOLDER = {
@@ -154,14 +154,28 @@ def write_manifest(manifest, path):
 
 
 def read_ledger(spark, path):
-    """Published load ledger in the form of ``schemas.LEDGER``."""
-    raw = spark.read.csv(path, schema=LEDGER_CSV, header=True)
-    values = {
+    """Load ledger in the form of ``schemas.LEDGER``, from either published form.
+
+    One form has a status and a duration per line, the other the last time that
+    was uploaded; which it is stands in the header line.
+    """
+    raw = spark.read.csv(path, header=True)  # all columns as text
+    if LEDGER_LAST_TIME in raw.columns:
+        sub = "SubVariable Name"
+        last = F.col(LEDGER_LAST_TIME).try_cast("timestamp_ntz")
+        # The last time alone does not tell that a series is complete.
+        values = {"last_datetime": last, "status": F.lit(UPLOAD_STARTED)}
+    else:
+        raw = spark.read.csv(path, schema=LEDGER_CSV, header=True)
+        sub = "Subvariable Name"
+        values = {
+            "status": F.col("Upload Status"),
+            "elapsed_seconds": hhmmss_to_seconds(F.col("Upload Time")),
+        }
+    values |= {
         "buildingid": F.col("BuildingID"),
         "variablename": F.col("Variable Name"),
-        "subvariable": F.col("Subvariable Name"),
-        "status": F.col("Upload Status"),
-        "elapsed_seconds": hhmmss_to_seconds(F.col("Upload Time")),
+        "subvariable": F.col(sub),
     }
     return raw.select(
         *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER]

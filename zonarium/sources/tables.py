@@ -23,6 +23,11 @@ SCHEMAS = {
     "eiotabledata": EIO,
     "ledger": LEDGER,
 }
+# What could not be loaded, and why; made when the first such line is met.
+REJECTED = {
+    "timeseries_rejected": "file string, buildingid long, variablename string, value string, reason string",
+    "eio_rejected": "file string, buildingid long, tablename string, value string, reason string",
+}
 PARTITIONED = {"timeseriesdata": ["buildingid"], "eiotabledata": ["buildingid"]}
 ID_COLUMN = {"timeseriesdata": "timeseriesdataid", "eiotabledata": "eiotabledataid"}
 KEY_COLUMNS = {"timeseriesdata": TIMESERIES_KEY, "eiotabledata": EIO_KEY}
@@ -103,6 +108,22 @@ def append_rows(df, root, name):
     )
 
 
+def read_rejected(spark, root, name):
+    """Rows of a table of rejected lines; none if there is no such table."""
+    path = f"{root.rstrip('/')}/{name}"
+    exists, _ = path_state(spark, path, REJECTED[name])
+    return spark.read.schema(REJECTED[name]).parquet(path) if exists else spark.createDataFrame([], REJECTED[name])
+
+
+def add_rejected(df, root, name):
+    """Add rejected lines that are not stored yet, each once."""
+    spark = df.sparkSession
+    existing = read_rejected(spark, root, name)
+    fresh = checkpointed(minus_existing(df.select(*existing.columns), existing, keep_copies=False))
+    if not fresh.isEmpty():
+        fresh.write.mode("append").parquet(f"{root.rstrip('/')}/{name}")
+
+
 def append_jdbc(df, url, table, properties=None):
     """Append rows to a database table over JDBC, in batched inserts."""
     df.write.jdbc(url, table, mode="append", properties=properties or {})
