@@ -37,7 +37,7 @@ TREES = 12
 DEPTH = 6
 TARGET_RECALL = 0.9995
 #: Members of a prefix group that one task compares with each other.
-BLOCK = 1024
+BLOCK = 512
 _RNG = np.random.default_rng(20240917)
 _MUL = _RNG.integers(1, 1 << 63, 4096, dtype=np.uint64) | np.uint64(1)
 
