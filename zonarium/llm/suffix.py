@@ -198,10 +198,12 @@ def _with_counts(rows, kinds):
     The counts are written first: both sides of the join are then plain exchanges
     that Spark can split where one key is very common.
     """
+    kinds = stored(kinds, "kinds")
     keys = kinds.groupBy(F.col("key").alias("of")).agg(
         F.count("*").alias("kinds"), F.sum("n").alias("of_key"), F.count_if(F.col("n") == 1).alias("singles")
     )
-    counts = stored(kinds.join(keys, F.col("key") == F.col("of")).filter("of_key > 1").drop("of"), "counts")
+    keys = stored(keys.filter("of_key > 1"), "keys")
+    counts = stored(kinds.join(keys, F.col("key") == F.col("of")).drop("of"), "counts")
     return rows.join(counts, ["key", "whole"])
 
 
