@@ -54,6 +54,8 @@ def to_long(wide, variablename, year=None, timeresolution=None, value_columns=No
     with ``year``.  The name of each value column up to its first colon gives
     the schedule, zone, surface or node, by the family of ``variablename``.
     Unpivoting is one ``Expand`` and no shuffle; empty cells stay, as NULL.
+    For a list of variable names the frame is scanned, and its times are read,
+    once; each row is then repeated for every name.
     """
     if value_columns is None:
         fixed = {"buildingid", "datetime", "timeresolution", DATE_COLUMN}
@@ -65,9 +67,10 @@ def to_long(wide, variablename, year=None, timeresolution=None, value_columns=No
     resolution = (
         F.col("timeresolution") if "timeresolution" in wide.columns else F.lit(timeresolution)
     )
-    name = F.lit(variablename)
-    family = variable_family(name)
-    if variablename.replace("_", " ").strip().startswith(SITE_PREFIXES):
+    names = [variablename] if isinstance(variablename, str) else list(variablename)
+    one_series = [n.replace("_", " ").strip().startswith(SITE_PREFIXES) for n in names]
+    first = value_columns[0] if value_columns else None
+    if all(one_series):
         value_columns = value_columns[:1]  # nothing else is scanned
 
     narrow = wide.select(
@@ -82,11 +85,25 @@ def to_long(wide, variablename, year=None, timeresolution=None, value_columns=No
         "_column",
         "value",
     )
-    return long.filter(family.isNotNull()).select(
+    kinds = F.array(
+        *[
+            F.struct(
+                normalise_variable(F.lit(n)).alias("name"),
+                variable_family(F.lit(n)).alias("family"),
+                F.lit(one).alias("one"),
+            )
+            for n, one in zip(names, one_series)
+        ]
+    )
+    family = F.col("kind.family")
+    named = long.select("*", F.explode(kinds).alias("kind")).filter(
+        family.isNotNull() & (~F.col("kind.one") | (F.col("_column") == F.lit(first)))
+    )
+    return named.select(
         "buildingid",
         "datetime",
         "timeresolution",
-        normalise_variable(name).alias("variablename"),
+        F.col("kind.name").alias("variablename"),
         *subvariable_columns(family, subvariable(F.col("_column"))),
         "value",
     )

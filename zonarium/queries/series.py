@@ -68,10 +68,8 @@ _FAMILIES = {
 )
 def q_wide_families(spark, sf_dir):
     wide = _wide_lineitem(spark, sf_dir)
-    out = to_long(wide, "Boiler_Rate", 2000, 15)  # unknown family, no rows
-    for variable in _FAMILIES:
-        out = out.unionByName(to_long(wide, variable, 2000, 15))
-    return out
+    # the first is of an unknown family and has no rows
+    return to_long(wide, ["Boiler_Rate", *_FAMILIES], 2000, 15)
 
 
 @query(f"""
@@ -432,10 +430,9 @@ _TYPES = ["click", "error", "purchase", "signup", "view"]
            {", ".join(f"max(value) FILTER (variablename = 'Zone {t}') AS {t}" for t in _TYPES)}
     FROM {s.DAILY_SQL} JOIN {s.ZONE_MAP_SQL} USING (buildingid, zonename) GROUP BY ALL""")
 def q_zone_pivot(spark, sf_dir):
-    aggregated = aggregate.aggregate_zones(
-        s.daily_zone_series(spark, sf_dir), s.zone_map(spark, sf_dir), "max"
+    wide = aggregate.aggregate_zone_table(
+        s.daily_zone_series(spark, sf_dir), s.zone_map(spark, sf_dir), [f"Zone {t}" for t in _TYPES], "max"
     )
-    wide = aggregate.zone_series_table(aggregated, [f"Zone {t}" for t in _TYPES])
     return wide.select(
         "buildingid", "zonename", "datetime", *[F.col(f"Zone {t}").alias(t) for t in _TYPES]
     )
