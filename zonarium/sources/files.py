@@ -13,6 +13,7 @@ from ..functions.scalars import (
 )
 from ..operators.reshape import DATE_COLUMN, quoted, split_output_lines
 from ..schemas import LEDGER, LEDGER_CSV, LEDGER_LAST_TIME, MANIFEST, UPLOAD_STARTED
+from .folders import replace_folder, settle
 
 # Folders of the model and weather files, per kind of model.
 MODEL_FOLDER = {
@@ -146,11 +147,13 @@ def model_heating(spark, path):
 
 def read_manifest(spark, path):
     """Manifest of runs, all columns as text."""
+    settle(spark, path.rstrip("/"))
     return spark.read.csv(path, schema=MANIFEST, header=True)
 
 
 def write_manifest(manifest, path):
-    manifest.write.mode("overwrite").csv(path, header=True)
+    """Replace the manifest; the old one goes when the new one is complete."""
+    replace_folder(manifest.sparkSession, path, lambda new: manifest.write.csv(new, header=True))
 
 
 def read_ledger(spark, path):

@@ -16,6 +16,7 @@ from ..schemas import (
     TIMESERIES_KEY,
 )
 from ..session import checkpointed
+from .folders import replace_folder, settle
 
 SCHEMAS = {
     "buildingids": BUILDINGS,
@@ -28,6 +29,8 @@ REJECTED = {
     "timeseries_rejected": "file string, buildingid long, variablename string, value string, reason string",
     "eio_rejected": "file string, buildingid long, tablename string, value string, reason string",
 }
+# Tables that are replaced as a whole (see ``folders``).
+REPLACED = {"ledger"}
 PARTITIONED = {"timeseriesdata": ["buildingid"], "eiotabledata": ["buildingid"]}
 ID_COLUMN = {"timeseriesdata": "timeseriesdataid", "eiotabledata": "eiotabledataid"}
 KEY_COLUMNS = {"timeseriesdata": TIMESERIES_KEY, "eiotabledata": EIO_KEY}
@@ -46,6 +49,8 @@ def table_path(root, name):
 
 def read_table(spark, root, name):
     """Rows of a table, with its fixed schema."""
+    if name in REPLACED:
+        settle(spark, table_path(root, name))
     return spark.read.schema(SCHEMAS[name]).parquet(table_path(root, name))
 
 
@@ -66,6 +71,8 @@ def path_state(spark, path, schema=None):
 
 def table_state(spark, root, name):
     """(exists, is_empty) of a table."""
+    if name in REPLACED:
+        settle(spark, table_path(root, name))
     return path_state(spark, table_path(root, name), SCHEMAS[name])
 
 
@@ -132,10 +139,11 @@ def append_jdbc(df, url, table, properties=None):
 def replace_table(df, root, name):
     """Replace a small state table by a frame that may read it.
 
-    The new rows are checkpointed first, so the old files can go.
+    The new rows are checkpointed first, so the old files can go; they go only
+    when the new ones are complete.
     """
     stored = checkpointed(df.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name]]))
-    stored.write.mode("overwrite").parquet(table_path(root, name))
+    replace_folder(df.sparkSession, table_path(root, name), stored.write.parquet)
 
 
 def number_buildings(candidates, existing):
