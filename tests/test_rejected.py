@@ -19,7 +19,7 @@ from zonarium.operators.reshape import (
 from zonarium.operators.retrieve import retrieve_timeseries
 from zonarium.plans.jobs import run_folders
 from zonarium.schemas import MANIFEST, TIMESERIES
-from zonarium.sources.files import read_ledger
+from zonarium.sources.files import read_ledger, write_zone_info
 
 
 def test_quoted_cells(spark):
@@ -93,3 +93,13 @@ def test_ledger_with_last_times(spark, tmp_path):
     (tmp_path / "l.csv").write_text(text + "3,Zone Air,zone,ZA,2012-01-01 00:00:00,2012-01-02 03:00:00\n4,Site Air,site,NA,x,None\n")
     got = rows(read_ledger(spark, str(tmp_path)).select("buildingid", "subvariable", "status", F.col("last_datetime").cast("string")))
     assert got == [(3, "ZA", "Upload Started", "2012-01-02 03:00:00"), (4, "NA", "Upload Started", None)]
+
+
+def test_zone_table_starts_with_its_header(spark, tmp_path):
+    zones = spark.createDataFrame([(f"a_b_c_{k}", ["Zone Information", f"Z{i}"]) for k in "xy" for i in range(9)], "run string, cells array<string>")
+    heads = spark.createDataFrame([(f"a_b_c_{k}", ["! <Zone Information>", "Zone Name"]) for k in "xyx"], "run string, cells array<string>")
+    write_zone_info(zones, str(tmp_path / "z"), heads)
+    for k in "xy":
+        parts = sorted((tmp_path / "z" / f"buildingtype={k}").glob("part-*"))
+        lines = [line for p in parts for line in p.read_text().splitlines()]
+        assert lines == ["! <Zone Information>,Zone Name"] + [f"Zone Information,Z{i}" for i in range(9)]

@@ -7,8 +7,13 @@ from ..session import checkpointed
 
 
 def row_id(columns):
-    """Id of a fact row: a hash of its business columns, needing no shuffle."""
-    return F.xxhash64(*columns)
+    """Id of a fact row: a hash of its business columns, needing no shuffle.
+
+    Repeated rows share it.  Which columns are NULL is hashed too, as the hash
+    itself passes over NULLs.
+    """
+    nulls = F.concat(*[F.isnull(c).cast("string") for c in columns])
+    return F.xxhash64(*columns, nulls)
 
 
 def serial_ids(df, id_column, order, start=0):

@@ -180,6 +180,14 @@ def zone_table_rows(lines):
     )
 
 
+def zone_header_rows(lines):
+    """Header line of the zone section of each file, as ``file``, ``line_no`` and trimmed ``cells``."""
+    line = strip(F.col("value"))
+    found = lines.filter(line.startswith("!") & line.contains(f"<{ZONE_INFORMATION}>"))
+    cells = F.transform(F.split(line, ","), strip)
+    return last_by(found.select("file", "line_no", cells.alias("cells")), ["file"], "line_no", ["line_no", "cells"])
+
+
 def zone_count_check(lines):
     """Per file: number of zones announced and number of zone rows found."""
     line = strip(F.col("value"))

@@ -38,6 +38,21 @@ def q_store_series(spark, sf_dir):
     return _as_double(stored.select(*s.FACT_COLUMNS))
 
 
+@query(f"""
+    SELECT buildingid, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT
+        (datetime, timeresolution, variablename, schedulename, zonename, surfacename, systemnodename, value)) AS BIGINT) AS n_ids
+    FROM ({_FLOAT_FACTS}) GROUP BY buildingid""")
+def q_fact_ids(spark, sf_dir):
+    """Ids of stored facts are hashes of the row: as many as different rows."""
+    root = scratch_path(spark, "ids")
+    tables.ensure_tables(spark, root)
+    tables.append_rows(s.facts(spark, sf_dir), root, "timeseriesdata")
+    stored = tables.read_table(spark, root, "timeseriesdata")
+    return stored.groupBy("buildingid").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("timeseriesdataid").alias("n_ids")
+    )
+
+
 _NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -337,13 +352,21 @@ def q_rejected_reports(spark, sf_dir):
 @query("""
     SELECT split_part(p_name, ' ', 2) AS buildingtype, 'Zone Information,' || p_name || ',' || p_brand || ','
            || repeat(p_size || ',', 26) || 'Yes,end' AS value
-    FROM part WHERE p_type NOT IN ('SMALL', 'LARGE')""")
+    FROM part WHERE p_type NOT IN ('SMALL', 'LARGE')
+    UNION ALL
+    SELECT DISTINCT split_part(p_name, ' ', 2), '! <Zone Information>,Zone Name,Brand' FROM part""")
 def q_zone_info_files(spark, sf_dir):
-    """Zone rows written per building type and read back."""
+    """Zone rows under their header line, written per building type and read back."""
     path = scratch_path(spark, "zones")
+    part = table(spark, sf_dir, "part")
+    run = F.concat(F.lit("ASHRAE_2013_Rome_"), F.element_at(F.split("p_name", " "), -1))
+    header = part.select(
+        run.alias("file"), (-F.col("p_partkey")).alias("line_no"), F.lit(" ! <Zone Information>, Zone Name,Brand").alias("value")
+    )
+    headers = reports.zone_header_rows(header).withColumn("run", F.col("file"))
     rows = reports.zone_information(reports.zone_table_rows(_zone_lines(spark, sf_dir)))
     word = F.element_at(F.split(F.get("cells", F.lit(1)), " "), -1)
-    files.write_zone_info(rows.withColumn("run", F.concat(F.lit("ASHRAE_2013_Rome_"), word)), path)
+    files.write_zone_info(rows.withColumn("run", F.concat(F.lit("ASHRAE_2013_Rome_"), word)), path, headers)
     return spark.read.text(path)
 
 

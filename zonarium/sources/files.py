@@ -234,14 +234,21 @@ def write_column_names(headers, path, distinct=True):
     (names.distinct() if distinct else names).write.mode("overwrite").text(path)
 
 
-def write_zone_info(rows, path):
+def write_zone_info(rows, path, headers=None):
     """Zone rows as comma-separated text, one folder per building type.
 
     ``rows`` has ``run`` and the array ``cells``; the building type is the
-    fourth part of the run name.
+    fourth part of the run name.  ``headers`` has the same columns; each
+    different header line stands once before the rows of its building type.
+    Lines are dealt by ranges of type and text, so a large type is split.
     """
-    kind = F.get(F.split("run", "_"), F.lit(3))
-    rows.select(kind.alias("buildingtype"), F.concat_ws(",", "cells").alias("value")).write.mode(
+    kind = F.get(F.split("run", "_"), F.lit(3)).alias("buildingtype")
+    line = F.concat_ws(",", "cells").alias("value")
+    lines = rows.select(kind, F.lit(1).alias("place"), line)
+    if headers is not None:
+        lines = lines.unionByName(headers.select(kind, F.lit(0).alias("place"), line).distinct())
+    order = ["buildingtype", "place", "value"]
+    lines.repartitionByRange(*order).sortWithinPartitions(*order).drop("place").write.mode(
         "overwrite"
     ).partitionBy("buildingtype").text(path)
 
