@@ -1,5 +1,7 @@
+import functools
 import html
 import re
+import time
 
 import pyarrow.parquet as pq
 
@@ -72,3 +74,52 @@ def test_nulls_and_empties(make):
     assert (got[1].text, got[1].n_chars, got[2].text, got[2].url) == ("", 0, "", None)
     assert len(got) == 4
     assert htmltext.extract_main_text(pages.limit(0)).collect() == []
+
+
+@functools.cache
+def fitted():
+    return htmltext.fit_pages(pq.read_table(PAGES)["html"].to_pylist()[:120])
+
+
+def extracted(page):
+    trees = fitted()
+    nodes, blocks = dom.parse(page)
+    return htmltext.main_text(nodes, blocks, trees.log_odds(__import__("numpy").array(dom.feature_rows(nodes), float)))
+
+
+SENTENCES = [f"Sentence number {k} of this page, with some words, and a few more of them here." for k in range(8)]
+
+
+def test_missing_end_tags_do_not_cut_the_page():
+    for start in ("<datalist><option>A<option>B</datalist>", "<option>A", "<button>Menu", "<object data=x>", "<svg><path d='M0 0'>",
+                  "<math><mi>x", "<video src=x>", "<audio>", "<canvas>", "<template>", "<noscript>", "<select><option>A"):
+        for before, inside in ((start, ""), ("", start)):
+            page = f"<body>{before}<article>" + "".join(f"<p>{s}</p>{inside if k == 2 else ''}" for k, s in enumerate(SENTENCES))
+            for again in ("", "<button>Late</button><svg></svg><object></object><option>C</option>"):
+                text = extracted(page + "</article>" + again + "</body>")
+                assert [s for s in SENTENCES if s in text] == SENTENCES, (start, before, again)
+
+
+def test_formulas_and_objects_inside_an_article_stay():
+    page = "<body><article>" + "".join(f"<p>{s}</p>" for s in SENTENCES)
+    page += "<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math>, then see <object data=f>the file of <b>all</b> figures</object> for more.</p></article></body>"
+    assert extracted(page).endswith("\n\nLet x=2, then see the file of all figures for more.")
+
+
+def test_nodes_inside_a_line_do_not_split_it():
+    nodes, blocks = dom.parse("<p>One <svg><path/></svg>two<button>Share</button>, three <select><option>A<option>B</select> four</p>")
+    line = "".join(t.replace(dom.GLUED, "") for _, t in blocks)
+    assert line == "One twoShare, three A B four" and nodes[blocks[0][0]].tag == "p"
+    odds = [-9.0 if n.tag in ("button", "option", "select") else 9.0 for n in nodes]
+    assert htmltext.main_text(nodes, blocks, odds) == "One two, three four"
+
+
+def test_raw_text_is_still_skipped():
+    _, blocks = dom.parse("<title>t</title><p>a<script>if (a<b) '<p>'</script><style>p{}</style><textarea><p>x</textarea><iframe><p>y</iframe>b")
+    assert [t for _, t in blocks] == ["ab"]
+
+
+def test_missing_end_tags_cost_no_quadratic_time():
+    began = time.monotonic()
+    dom.parse("<option>a" * 40_000 + "<button>b<svg>" * 20_000)
+    assert time.monotonic() - began < 10

@@ -1,19 +1,32 @@
 """A tolerant reader of HTML: block elements, their text blocks and features.
 
-Only elements that make a block are nodes; inline markup belongs to the block it
-stands in.  Missing end tags are implied as browsers do; stray ones are ignored.
+Elements that make a block are nodes, as are controls and embedded objects inside
+a line; other inline markup, formulas included, belongs to the block it stands in.
+Missing end tags are implied as browsers do; stray ones are ignored.  Only the
+content of RAW elements is skipped; all other text is in some block.
 """
 
 import html
 import math
 import re
+import sys
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg select option button object audio video canvas math".split())
+RAW = frozenset("script style textarea title iframe".split())
+#: Nodes that stand in a line: they do not end the run of text around them.
+IN_LINE = frozenset("audio button canvas noscript object optgroup option select svg template video".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp small "
-    "span strike strong sub sup time tt u var wbr".split()
+    "span strike strong sub sup time tt u var wbr "
+    # Formulas are read as text of the block they stand in.
+    "math annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom "
+    "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
+)
+#: Elements of drawings; their text belongs to the drawing.
+DRAWING = frozenset(
+    "animate circle clippath defs desc ellipse filter g image line lineargradient marker mask metadata path pattern polygon "
+    "polyline radialgradient rect stop switch symbol text textpath tspan use view".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -29,7 +42,7 @@ ENDS = {
     "th": ({"td", "th"}, {"tr", "table"}),
 }
 # Names that tell what a part of a page is for.
-ASIDE_TAGS = frozenset("nav footer aside form header".split())
+ASIDE_TAGS = frozenset("nav footer aside form header button select option".split())
 MAIN_TAGS = frozenset("article main".split())
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies disqus footer form "
@@ -45,6 +58,10 @@ _TAG = re.compile(
 _ATTR = re.compile(r"""([^\s=/"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 _WORD = re.compile(r"[a-z]+")
 _MARKS = re.compile(r"[.,;:!?]")
+_START = {name: re.compile(rf"<{name}(?=[\s/>])", re.I) for name in IN_LINE}
+_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in IN_LINE | RAW}
+#: First character of a block's text that goes on in the line of the block before, without and with a space.
+GLUED, SPACED = "\x1f", " "
 
 
 class Node:
@@ -71,30 +88,64 @@ def attribute_words(attributes):
     return tuple(out)
 
 
+def _next(pattern, page, at, past=False):
+    """Place of the next match, or of its end; past every page if there is none."""
+    found = pattern.search(page, at)
+    return (found.end() if past else found.start()) if found else sys.maxsize
+
+
 def parse(page):
-    """(nodes, blocks) of a page: nodes in page order, blocks as (node, text)."""
+    """(nodes, blocks) of a page: nodes in page order, blocks as (node, text).
+
+    A run of text with nodes inside the line gives several blocks; all but the
+    first begin with GLUED or SPACED.
+    """
     nodes = [Node("#page", -1, 0, (), 0, 0)]
     stack, blocks, pieces = [0], [], []
-    total, link, link_pieces = 0, 0, 0
+    total, link = 0, 0
+    #: Nodes inside a line whose end tag is missing: the next block ends them.
+    loose, ahead = set(), {}
 
     def flush():
-        nonlocal total, link_pieces
-        if pieces:
-            text = " ".join("".join(pieces).split())
-            pieces.clear()
+        nonlocal total
+        at, begun, space = 0, False, False
+        while at < len(pieces):
+            own, upto = pieces[at][0], at
+            while upto < len(pieces) and pieces[upto][0] == own:
+                upto += 1
+            raw = "".join(text for _, text, _ in pieces[at:upto])
+            text = " ".join(raw.split())
+            space = space or raw[:1].isspace()
             if text:
-                node = nodes[stack[-1]]
+                node = nodes[own]
                 node.own += len(text)
-                node.links += min(link_pieces, len(text))
+                node.links += min(sum(len(t) for _, t, linked in pieces[at:upto] if linked), len(text))
                 node.marks += len(_MARKS.findall(text))
-                blocks.append((stack[-1], text))
+                blocks.append((own, ((SPACED if space else GLUED) if begun else "") + text))
                 total += len(text)
-        link_pieces = 0
+                begun, space = True, raw[-1:].isspace()
+            at = upto
+        pieces.clear()
 
     def close(depth):
-        flush()
+        if any(nodes[at].tag not in IN_LINE for at in stack[depth:]):
+            flush()
         del stack[depth:]
 
+    def open_node(name, attributes):
+        parent = nodes[stack[-1]]
+        parent.children.append(len(nodes))
+        nodes.append(Node(name, stack[-1], len(stack), attribute_words(attributes), total, len(parent.children) - 1))
+        stack.append(len(nodes) - 1)
+
+    def unclosed(name, at):
+        """True if no end tag follows before the next start tag of this name."""
+        found = ahead.get(name, (-1, -1))
+        if min(found) < at:
+            nexts = [place if place >= at else _next(pattern, page, at) for place, pattern in zip(found, (_START[name], _END[name]))]
+            found = ahead[name] = tuple(nexts)
+        return found[0] <= found[1]
+
     at, end, last = 0, len(page), page.rfind(">")
     if page.rfind("<!--") > last:
         last = end
@@ -103,10 +154,7 @@ def parse(page):
         found = _TAG.search(page, at) if at < last else None
         upto = found.start() if found else end
         if upto > at:
-            text = html.unescape(page[at:upto])
-            pieces.append(text)
-            if link:
-                link_pieces += len(text)
+            pieces.append((stack[-1], html.unescape(page[at:upto]), link))
         if not found:
             break
         at = found.end()
@@ -124,21 +172,37 @@ def parse(page):
                     close(depth)
                     break
             continue
-        if name in RAW:
+        if name in RAW and not (name == "title" and any(nodes[k].tag == "svg" for k in stack)):
             if not found.group(3).endswith("/") or name in ("script", "style"):
-                stop = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                at = stop.end() if stop else end
+                # As in browsers, an element of raw text without an end tag is the rest of the page.
+                at = min(_next(_END[name], page, at, past=True), end)
             continue
         if name in INLINE:
             nodes[stack[-1]].tags += 1
             if name == "a":
                 link = 1
             elif name in ("br", "img", "wbr"):
-                pieces.append(" ")
+                pieces.append((stack[-1], " ", 0))
+            continue
+        if name in DRAWING or name == "title":
+            pieces.append((stack[-1], " ", 0))
+            continue
+        if name in IN_LINE:
+            for ended in {"option": ("option",), "optgroup": ("option", "optgroup"), "button": ("button",)}.get(name, ()):
+                if nodes[stack[-1]].tag == ended:
+                    del stack[-1]
+            if name in ("option", "optgroup", "select"):
+                pieces.append((stack[-1], " ", 0))
+            if not (name == "svg" and found.group(3).endswith("/")):
+                open_node(name, found.group(3))
+                if unclosed(name, at):
+                    loose.add(stack[-1])
             continue
         if name in VOID:
             flush()
             continue
+        while stack[-1] in loose:
+            del stack[-1]
         if name in CLOSES_P:
             for depth in range(len(stack) - 1, 0, -1):
                 tag = nodes[stack[depth]].tag
@@ -159,12 +223,7 @@ def parse(page):
                         break
         flush()
         link = 0
-        parent = nodes[stack[-1]]
-        parent.children.append(len(nodes))
-        nodes.append(
-            Node(name, stack[-1], len(stack), attribute_words(found.group(3)), total, len(parent.children) - 1)
-        )
-        stack.append(len(nodes) - 1)
+        open_node(name, found.group(3))
     flush()
     for node in reversed(nodes):
         node.chars += node.own

@@ -10,6 +10,7 @@ without them are judged by their structure.
 Decoding is hierarchical: going up the tree, a node is kept if its own log odds,
 weighted by its text, and the best of its children add up to more than dropping
 it; a dropped node drops all below it.  So no kept node stands in a dropped one.
+Beforehand only the content of script, style, textarea, title and iframe is skipped.
 
 Defined results: a null or empty page has an empty text and 0 characters, as has
 a page of which nothing is kept; with no labelled sample nodes are judged by
@@ -144,7 +145,16 @@ def decode(nodes, odds):
 
 def main_text(nodes, blocks, odds):
     kept = decode(nodes, odds)
-    return "\n\n".join(text for at, text in blocks if kept[at] and nodes[at].tag not in WHOLE | {"head"})
+    out, begun, space = [], False, False
+    for at, text in blocks:
+        goes_on = text[0] in (dom.GLUED, dom.SPACED)
+        begun, space = begun and goes_on, goes_on and (space or text[0] == dom.SPACED)
+        if kept[at] and nodes[at].tag not in WHOLE | {"head"}:
+            if out:
+                out.append("\n\n" if not begun else " " if space else "")
+            out.append(text[1:] if goes_on else text)
+            begun, space = True, False
+    return "".join(out)
 
 
 def page_sample(pages, html="html", most=SAMPLE_PAGES):
