@@ -123,3 +123,26 @@ def test_missing_end_tags_cost_no_quadratic_time():
     began = time.monotonic()
     dom.parse("<option>a" * 40_000 + "<button>b<svg>" * 20_000)
     assert time.monotonic() - began < 10
+
+
+def test_text_directly_in_the_body():
+    bare = "<br><br>".join(s.replace("page", '<b>page</b> of a <a href="x">site</a>') for s in SENTENCES)
+    want = " ".join(s.replace("page", "page of a site") for s in SENTENCES)
+    nav = "<nav><a href=a>Home</a> <a href=b>About</a></nav>"
+    page = f"<html><head><title>t</title></head><body>{nav}{bare}<hr>{bare}<footer>All rights reserved</footer></body></html>"
+    assert extracted(page) == want + "\n\n" + want
+    assert extracted(f"<html><body>{bare}</body></html>") == want
+    assert extracted(bare) == want
+    assert extracted(f"{bare}<p>{SENTENCES[0]}</p>") == want + "\n\n" + SENTENCES[0]
+
+
+def test_plain_text_and_decisions_on_it(make):
+    text = "\n\n".join(SENTENCES)
+    assert extracted(text) == " ".join(SENTENCES)
+    rows = [(1, "u", text), (2, "u", f"<html><body>{text}</body></html>"), (3, "u", "   ")]
+    got = {r.page_id: r.text for r in htmltext.extract_main_text(make(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: " ".join(SENTENCES), 2: " ".join(SENTENCES), 3: ""}
+    for page in (text, f"<body><p>a</p>{text}<p>b</p></body>"):
+        nodes, blocks = dom.parse(page)
+        odds = [-9.0 if n.tag == dom.BARE else 9.0 for n in nodes]
+        assert " ".join(SENTENCES) not in htmltext.main_text(nodes, blocks, odds)

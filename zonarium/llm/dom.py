@@ -3,7 +3,8 @@
 Elements that make a block are nodes, as are controls and embedded objects inside
 a line; other inline markup, formulas included, belongs to the block it stands in.
 Missing end tags are implied as browsers do; stray ones are ignored.  Only the
-content of RAW elements is skipped; all other text is in some block.
+content of RAW elements is skipped; all other text is in some block.  A run of
+text that stands directly in the page, html or body is a node of its own (BARE).
 """
 
 import html
@@ -41,6 +42,9 @@ ENDS = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
 }
+#: Elements that hold the whole page, and the name of a node for text that stands directly in one of them.
+WHOLE = frozenset(["#page", "html", "body"])
+BARE = "#text"
 # Names that tell what a part of a page is for.
 ASIDE_TAGS = frozenset("nav footer aside form header button select option".split())
 MAIN_TAGS = frozenset("article main".split())
@@ -138,6 +142,17 @@ def parse(page):
         nodes.append(Node(name, stack[-1], len(stack), attribute_words(attributes), total, len(parent.children) - 1))
         stack.append(len(nodes) - 1)
 
+    def line():
+        """The block that text read here belongs to."""
+        if nodes[stack[-1]].tag in WHOLE:
+            open_node(BARE, "")
+        return stack[-1]
+
+    def end_line():
+        flush()
+        while stack[-1] in loose or nodes[stack[-1]].tag == BARE:
+            del stack[-1]
+
     def unclosed(name, at):
         """True if no end tag follows before the next start tag of this name."""
         found = ahead.get(name, (-1, -1))
@@ -154,7 +169,8 @@ def parse(page):
         found = _TAG.search(page, at) if at < last else None
         upto = found.start() if found else end
         if upto > at:
-            pieces.append((stack[-1], html.unescape(page[at:upto]), link))
+            text = html.unescape(page[at:upto])
+            pieces.append((stack[-1] if text.isspace() else line(), text, link))
         if not found:
             break
         at = found.end()
@@ -188,6 +204,7 @@ def parse(page):
             pieces.append((stack[-1], " ", 0))
             continue
         if name in IN_LINE:
+            line()
             for ended in {"option": ("option",), "optgroup": ("option", "optgroup"), "button": ("button",)}.get(name, ()):
                 if nodes[stack[-1]].tag == ended:
                     del stack[-1]
@@ -199,10 +216,9 @@ def parse(page):
                     loose.add(stack[-1])
             continue
         if name in VOID:
-            flush()
+            end_line()
             continue
-        while stack[-1] in loose:
-            del stack[-1]
+        end_line()
         if name in CLOSES_P:
             for depth in range(len(stack) - 1, 0, -1):
                 tag = nodes[stack[depth]].tag
@@ -221,14 +237,18 @@ def parse(page):
                     close(depth)
                     if name != "tr":
                         break
-        flush()
         link = 0
         open_node(name, found.group(3))
     flush()
+    if [node.tag for node in nodes] == ["#page", BARE]:
+        # A page of one run is that block itself.
+        whole, nodes = nodes[1], nodes[1:]
+        whole.parent, whole.depth = -1, 0
+        blocks = [(0, text) for _, text in blocks]
     for node in reversed(nodes):
         node.chars += node.own
         node.tags += 1
-        node.paragraphs += node.tag == "p"
+        node.paragraphs += node.tag in ("p", BARE)
         node.items += node.tag == "li"
         if node.parent >= 0:
             above = nodes[node.parent]
@@ -275,7 +295,7 @@ def feature_rows(nodes):
                 log(node.paragraphs), log(node.items), node.marks / (chars or 1), chars / whole, node.start / whole,
                 node.place / len(siblings), log(len(siblings)), log(before.chars) if before else -1,
                 log(after.chars) if after else -1, parent.chars / whole, parent.links / (parent.chars or 1),
-                log(parent.paragraphs), node.tag == "p", node.tag in ("li", "a", "ul", "ol", "dl", "td", "th"),
+                log(parent.paragraphs), node.tag in ("p", BARE), node.tag in ("li", "a", "ul", "ol", "dl", "td", "th"),
                 node.tag in ("h1", "h2", "h3", "h4", "h5", "h6"),
             ]
         )

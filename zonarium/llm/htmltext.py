@@ -1,6 +1,7 @@
 """Main text of web pages: gradient-boosted trees over DOM nodes, decoded by tree.
 
-Every block element is a node with features: density of its subtree (text, tags,
+Every block element, and every run of text that stands directly in the body or in
+no element, is a node with features: density of its subtree (text, tags,
 links, punctuation), words of its attributes, depth, place and siblings.  Boosted
 trees give each node the log odds of being main text.  They are fitted on a
 bounded sample of pages whose telling names (``article``, ``nav``, class words)
@@ -30,7 +31,7 @@ SAMPLE_PAGES = 400
 TREES, DEPTH, BINS = 40, 3, 32
 RATE, DAMPING, LEAST_ROWS = 0.3, 1.0, 20
 #: Nodes whose own judgement is not asked: they hold the whole page.
-WHOLE = frozenset(["#page", "html", "body"])
+WHOLE = dom.WHOLE
 
 
 class BoostedTrees:
@@ -138,8 +139,7 @@ def decode(nodes, odds):
             gain[node.parent] += gain[i]
     kept = [True] * len(nodes)
     for i, node in enumerate(nodes):
-        if i:
-            kept[i] = kept[node.parent] and (gain[i] > 0 or node.tag in WHOLE)
+        kept[i] = (node.parent < 0 or kept[node.parent]) and (gain[i] > 0 or node.tag in WHOLE)
     return kept
 
 
@@ -149,7 +149,7 @@ def main_text(nodes, blocks, odds):
     for at, text in blocks:
         goes_on = text[0] in (dom.GLUED, dom.SPACED)
         begun, space = begun and goes_on, goes_on and (space or text[0] == dom.SPACED)
-        if kept[at] and nodes[at].tag not in WHOLE | {"head"}:
+        if kept[at] and nodes[at].tag != "head":
             if out:
                 out.append("\n\n" if not begun else " " if space else "")
             out.append(text[1:] if goes_on else text)
