@@ -66,6 +66,22 @@ def test_target_recall_sets_the_depth():
     assert jaccard.prefix_depth(0.8, 12, 6, 0.5) > jaccard.prefix_depth(0.8, 12, 6, 0.9999)
 
 
+def test_pairs_at_the_threshold_meet():
+    length = jaccard.prefix_depth()
+    assert (1 - jaccard.THRESHOLD**length) ** jaccard.TREES < 1e-6
+    rng = np.random.default_rng(4)
+    missed = 0
+    for _ in range(30_000):
+        # 8 of 10 shingles are shared.
+        values = rng.integers(0, 1 << 63, 10, dtype=np.uint64)
+        one, two = (
+            jaccard.tree_prefixes(jaccard.signature(part, jaccard.TREES * length), jaccard.TREES, length)
+            for part in (values[:9], values[1:])
+        )
+        missed += not (one == two).any()
+    assert missed == 0
+
+
 def test_empty(make):
     docs = make(documents(), SCHEMA).limit(0)
     assert jaccard.jaccard_join(docs).collect() == []
