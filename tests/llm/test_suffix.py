@@ -79,3 +79,20 @@ def test_empty(make):
     docs = make(documents(), SCHEMA).limit(0)
     assert suffix.removal_report(docs).collect() == []
     assert suffix.remove_repeats(docs).collect() == []
+
+
+def test_passage_at_a_start_and_after_a_nul():
+    rng = np.random.default_rng(6)
+    text = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes()
+    passage = text(60)
+    for texts in (
+        [text(9), passage + text(5), b"q\0" + passage + text(8)],
+        [b"q\0" + passage, text(3), passage],
+        [text(4) + b"\0" + passage + b"\0\0", b"\0" + passage + text(3), passage],
+    ):
+        spans = np.array([(0, len(t)) for t in texts])
+        marked, owner, place = suffix.mark_repeats(texts, spans, 20)
+        seen = Counter(t[i : i + 20] for t in texts for i in range(len(t) - 19))
+        for k, t in enumerate(texts):
+            got = place[(owner == k) & marked].tolist()
+            assert got == [i for i in range(len(t) - 19) if seen[t[i : i + 20]] > 1]

@@ -170,12 +170,12 @@ def suffix_array(text, buckets=None):
     return _sorted_suffixes(text, buckets, ordered, small)
 
 
-def permuted_lcp(data, order):
+def permuted_lcp(data, order, symbols=None):
     """For each position, the common prefix with the suffix before it in the suffix array.
 
     Computed where it cannot be inferred (the symbols before the two suffixes
     differ), eight bytes at a time; elsewhere it is one less than at the position
-    before.  ``data``: bytes as uint8.
+    before.  ``data``: bytes as uint8; ``symbols``: what was sorted, if not the bytes.
     """
     n = len(data)
     out = np.zeros(n, np.int64)
@@ -189,7 +189,9 @@ def permuted_lcp(data, order):
         words[:n] |= padded[k : n + k].astype(np.uint64) << np.uint64(8 * k)
     kept = np.ones(n, bool)
     inner = np.flatnonzero(before[1:] > 0) + 1
-    kept[inner] = data[inner - 1] != data[before[inner] - 1]
+    # Prefixes are inferred in the order of the symbols: a byte may be equal where its symbol is not.
+    symbols = data if symbols is None else symbols
+    kept[inner] = symbols[inner - 1] != symbols[before[inner] - 1]
     at = np.flatnonzero(kept & (before >= 0))
     other = before[at]
     length = np.zeros(len(at), np.int64)

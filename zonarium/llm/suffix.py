@@ -156,7 +156,7 @@ def mark_repeats(texts, spans, length):
     symbols = data.astype(np.int64) + 1
     symbols[base + sizes - 1] = 0  # the end of a text is less than any byte
     order = suffix_array(symbols, 257)
-    common = permuted_lcp(data, order)
+    common = permuted_lcp(data, order, symbols)
     own = np.zeros(len(data), bool)
     owner = np.repeat(np.arange(len(texts)), sizes)
     place = np.arange(len(data)) - base[owner]
