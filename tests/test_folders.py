@@ -4,7 +4,7 @@ import shutil
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from zonarium.sources.folders import replace_folder, settle
 
 

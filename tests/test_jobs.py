@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from zonarium.plans import jobs
 from zonarium.schemas import MANIFEST, MANIFEST_KEY, TIMESERIES_KEY
 from zonarium.session import scratch_path, shared_dir

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from zonarium.operators import loading
 from zonarium.schemas import LEDGER, TIMESERIES, TIMESERIES_KEY
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from zonarium.operators import manifest as m
 from zonarium.plans.jobs import build_manifest
 from zonarium.schemas import MANIFEST, MANIFEST_KEY

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from zonarium.operators import aggregate
 from zonarium.operators.retrieve import retrieve_eio, retrieve_timeseries, training_rows
 from zonarium.plans.jobs import build_training_set

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from zonarium.functions.scalars import is_number, split_cells
 from zonarium.operators.manifest import pending_runs
 from zonarium.operators.reshape import (

@@ -2,7 +2,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from zonarium.operators import reports
 from zonarium.sources.files import read_eio, with_run_name, write_zone_info
 from zonarium.schemas import EIO

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from zonarium.operators import joins
 from zonarium.operators.ids import serial_ids
 from zonarium.operators.rows import first_by, last_by, minus_existing, repeat_rows

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from zonarium.operators import joins, loading, rows as row_ops
 from zonarium.operators.aggregate import aggregate_zones
 
