@@ -4,7 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from zonarium.llm import ann, bpe, chat, common, fingerprint, htmltext, jaccard, langid, maxent, packing, suffix
+from zonarium.llm import ann, bpe, chat, common, fingerprint, htmltext, jaccard, langid, maxent, packing, simhash, suffix
 
 #: Vocabulary of op9; None: the file of the installed public vocabularies.
 VOCABULARY = None
@@ -66,6 +66,10 @@ def op10_chat_perspectives(spark, sf_dir):
     return chat.rotate_perspectives(common.read(spark, sf_dir, "conversations"))
 
 
+def op13_simhash(spark, sf_dir):
+    return simhash.near_duplicates(common.read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_lm_scoring": op2_lm_scoring,
@@ -77,5 +81,6 @@ QUERIES = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_bpe": op9_bpe,
     "op10_chat_perspectives": op10_chat_perspectives,
+    "op13_simhash": op13_simhash,
 }
 ORACLES = {"op10_chat_perspectives": chat.ORACLE}
