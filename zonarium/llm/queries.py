@@ -4,7 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from zonarium.llm import ann, bpe, chat, common, fingerprint, htmltext, jaccard, langid, maxent, packing, simhash, suffix
+from zonarium.llm import ann, audit, bpe, chat, common, fingerprint, htmltext, jaccard, langid, maxent, packing, simhash, suffix
 
 #: Vocabulary of op9; None: the file of the installed public vocabularies.
 VOCABULARY = None
@@ -66,6 +66,11 @@ def op10_chat_perspectives(spark, sf_dir):
     return chat.rotate_perspectives(common.read(spark, sf_dir, "conversations"))
 
 
+def op12_filter_audit(spark, sf_dir):
+    docs = common.read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return audit.filter_audit(docs, common.read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
 def op13_simhash(spark, sf_dir):
     return simhash.near_duplicates(common.read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -81,6 +86,7 @@ QUERIES = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_bpe": op9_bpe,
     "op10_chat_perspectives": op10_chat_perspectives,
+    "op12_filter_audit": op12_filter_audit,
     "op13_simhash": op13_simhash,
 }
-ORACLES = {"op10_chat_perspectives": chat.ORACLE}
+ORACLES = {"op10_chat_perspectives": chat.ORACLE, "op12_filter_audit": audit.ORACLE}
