@@ -15,7 +15,6 @@ from os.path import commonprefix
 from zlib import crc32
 
 import pyarrow as pa
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from zonarium.llm.common import stored
@@ -28,7 +27,7 @@ AHEAD = 32
 HEAD = 256
 #: Bytes of texts in a range at most (unless copies of one text hold more), and below which none is cut.
 RANGE_BYTES = 64 << 20
-LEAST_RANGE = 256 << 10
+LEAST_RANGE = 4 << 20
 #: What a row weighs besides its text.
 ROW_BYTES = 64
 #: Bytes of different texts that a task holds before it sends them on.
@@ -148,17 +147,14 @@ def prefix_cuts(texts, limit=None):
             heads = heads_of(texts.filter(_under(opened)), size)
         counted = heads.mapInArrow(
             _children(sorted(opened.items())), "open int, child binary, weight long, low binary, high binary"
-        ).groupBy("open", "child").agg(F.sum("weight").alias("weight"), F.min("low").alias("low"), F.max("high").alias("high"))
-        # The children of a prefix are at most 256^STEP and one row each.
-        order = Window.partitionBy("open").orderBy("child")
-        heavy = F.col("weight") > limit
-        marked = (
-            counted.withColumn("heavy", heavy)
-            .withColumn("slot", F.floor(F.sum(F.when(heavy, 0).otherwise(F.col("weight"))).over(order) / limit))
-            .withColumn("was", F.lag(F.struct("heavy", "slot")).over(order))
         )
-        starts = marked.filter("heavy OR was IS NULL OR was.heavy OR was.slot <> slot")
-        found = starts.select("open", "child", "heavy", "low", "high").collect()  # in proportion to total / limit
+        # The children of a prefix are at most 256^STEP, each from a task once.
+        starts = (
+            counted.repartitionById(len(opened), "open")
+            .sortWithinPartitions("open", "child")
+            .mapInArrow(_starts(limit), "open int, child binary, heavy boolean, low binary, high binary")
+        )
+        found = starts.collect()  # in proportion to total / limit
         cuts += [bytes(r.child) for r in found]
         last, opened = sorted(opened.items()), {}
         for r in found:
@@ -221,6 +217,45 @@ def _children(opened):
     return run
 
 
+_STARTS = pa.schema(
+    [("open", pa.int32()), ("child", pa.binary()), ("heavy", pa.bool_()), ("low", pa.binary()), ("high", pa.binary())]
+)
+
+
+def _starts(limit):
+    """Of the children of each prefix, in order, those at which a range starts."""
+
+    def run(batches):
+        now, slots, found = None, None, []
+
+        def close():
+            """Puts the child that has been summed up into the range before it, or starts one."""
+            nonlocal slots
+            opened, child, weight, low, high = now
+            heavy = weight > limit
+            before = slots if slots and slots[0] == opened else None
+            total = (before[1] if before else 0) + (0 if heavy else weight)
+            if heavy or before is None or before[2] or total // limit != before[1] // limit:
+                found.append((opened, child, heavy, low, high))
+            slots = (opened, total, heavy)
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if now is not None and row[:2] == (now[0], now[1]):
+                    now = [*row[:2], now[2] + row[2], min(now[3], row[3]), max(now[4], row[4])]
+                    continue
+                if now is not None:
+                    close()
+                now = list(row)
+            yield _batch(found, _STARTS)
+            found.clear()
+        if now is not None:
+            close()
+        yield _batch(found, _STARTS)
+
+    return run
+
+
 _SENT = pa.schema(
     [("range", pa.int32()), ("doc_id", pa.int64()), ("part", pa.string()), ("mask", pa.int32()), ("n", pa.int64()), ("text", pa.binary())]
 )
