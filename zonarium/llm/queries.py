@@ -4,7 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from zonarium.llm import ann, audit, bpe, chat, common, fingerprint, htmltext, jaccard, langid, maxent, packing, simhash, suffix
+from zonarium.llm import ann, audit, bpe, chat, common, fingerprint, htmltext, jaccard, langid, maxent, packing, prefixtrie, simhash, suffix
 
 #: Vocabulary of op9; None: the file of the installed public vocabularies.
 VOCABULARY = None
@@ -66,6 +66,10 @@ def op10_chat_perspectives(spark, sf_dir):
     return chat.rotate_perspectives(common.read(spark, sf_dir, "conversations"))
 
 
+def op11_conversation_trie(spark, sf_dir):
+    return prefixtrie.conversation_trie(common.read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op12_filter_audit(spark, sf_dir):
     docs = common.read(spark, sf_dir, "documents", "doc_id", "text", "lang")
     return audit.filter_audit(docs, common.read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
@@ -86,7 +90,12 @@ QUERIES = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_bpe": op9_bpe,
     "op10_chat_perspectives": op10_chat_perspectives,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_filter_audit": op12_filter_audit,
     "op13_simhash": op13_simhash,
 }
-ORACLES = {"op10_chat_perspectives": chat.ORACLE, "op12_filter_audit": audit.ORACLE}
+ORACLES = {
+    "op10_chat_perspectives": chat.ORACLE,
+    "op11_conversation_trie": prefixtrie.ORACLE,
+    "op12_filter_audit": audit.ORACLE,
+}
