@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from pyspark.sql import functions as F
@@ -37,6 +38,18 @@ def test_held_out_accuracy_and_rejection(make):
     assert got[1003].lang_pred == "en"
 
 
+def test_letters_of_no_learnt_language_are_rejected(make):
+    rows, _, docs = documents(make)
+    model = langid.fit(docs, F.lit(True))
+    rng = random.Random(4)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(6))
+    strange = [" ".join(word(letters) for _ in range(40)) for letters in ["абвгдежзиклмн", "qxzjkvwp", "一二三四五六七"] for _ in range(30)]
+    got = langid.predict(make([(i, t) for i, t in enumerate(strange)], "doc_id long, text string"), model).collect()
+    assert sum(r.rejected for r in got) >= 0.9 * len(strange)
+    long_text = make([(1, "the house of the water " * 50_000), (1, "the house"), (1, "the house")], "doc_id long, text string")
+    assert [(r.lang_pred, r.rejected) for r in langid.predict(long_text, model).collect()] == [("en", False)] * 3
+
+
 def test_repeatable_and_clashing_columns(make):
     _, _, docs = documents(make)
     model = langid.fit(docs, F.lit(True))

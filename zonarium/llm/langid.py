@@ -38,8 +38,6 @@ SNIPPETS = 6
 EPOCHS = 4
 RATE = 0.5
 REJECT_SHARE = 0.001
-#: No threshold above this many times the score of a blind guess.
-REJECT_MOST = 1.5
 MEMO_WORDS = 400_000
 UNDETERMINED = "und"
 
@@ -187,7 +185,7 @@ def train(texts, labels, seed=7):
 
         model.temperature = min(np.geomspace(0.05, 5, 40), key=loss)
         best = model.probabilities(sums, counts).max(axis=1)
-        model.threshold = float(min(np.quantile(best, REJECT_SHARE), REJECT_MOST / k))
+        model.threshold = float(np.quantile(best, REJECT_SHARE))
     return model
 
 
