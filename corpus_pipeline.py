@@ -23,8 +23,11 @@ def near_duplicates(spark, docs, sf_dir):
 
 
 def repeated_passages(spark, docs, sf_dir):
-    """Texts without the byte strings that also start elsewhere; n_chars follows."""
-    cut = suffix.remove_repeats(docs)
+    """Texts without the passages of over 50 words that also stand elsewhere; n_chars follows.
+
+    A passage is made of repeated strings of 200 bytes; 51 words that have fewer bytes stay.
+    """
+    cut = suffix.remove_repeats(docs, length=suffix.PASSAGE_LENGTH, least_words=suffix.PASSAGE_WORDS)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

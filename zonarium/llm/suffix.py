@@ -37,6 +37,9 @@ from zonarium.llm.common import blocks_of, stored, text_or_empty
 from zonarium.llm.sais import permuted_lcp, suffix_array
 
 LENGTH = 400
+#: A passage: over 50 words, and as many bytes as 51 words rarely fall short of.
+PASSAGE_LENGTH = 200
+PASSAGE_WORDS = 51
 GRAM = 128
 #: Different pieces of one anchor that go to one shard.
 MOST = 512
@@ -392,20 +395,30 @@ def removal_report(documents, doc_id="doc_id", text="text", length=LENGTH, most=
     )
 
 
-def remove_repeats(documents, doc_id="doc_id", text="text", length=LENGTH, most=MOST):
+def of_words(data, spans, least):
+    """Those of the spans that hold at least so many words."""
+    return [(a, b) for a, b in spans if len(data[a:b].split()) >= least]
+
+
+def remove_repeats(documents, doc_id="doc_id", text="text", length=LENGTH, most=MOST, least_words=0):
     """The documents with repeated strings taken out of their text; all columns stay.
 
-    Bytes of a character that is cut are dropped with it; a null text stays null.
+    A run of bytes that repeated strings cover is taken out if it holds at least
+    ``least_words`` words.  Bytes of a character that is cut are dropped with it; a
+    null text stays null.
     """
     joined = _with_spans(documents, doc_id, text, length, most)
 
+    def rest(body, spans):
+        data = body.encode()
+        taken = of_words(data, merged([(x["begin"], x["end"]) for x in spans]), least_words)
+        return kept_bytes(data, taken).decode("utf-8", errors="ignore") if taken else body
+
     @F.pandas_udf("string")
     def cut(body: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series(
             [
-                b
-                if b is None or s is None or not len(s)
-                else kept_bytes(b.encode(), merged([(x["begin"], x["end"]) for x in s])).decode("utf-8", errors="ignore")
+                b if b is None or s is None or not len(s) else rest(b, s)
                 for b, s in zip(body, spans)
             ],
             dtype=object,
