@@ -11,8 +11,9 @@ from zonarium.operators.reshape import (
     LONG_LINE,
     NO_HEADER,
     collect_columns,
+    good_rows,
     header_columns,
-    lines_to_long,
+    parsed_cells,
     rejected_lines,
     split_output_lines,
 )
@@ -58,16 +59,16 @@ def test_faulty_lines_are_found(spark):
         {"buildingid": F.lit(1).cast("long"), "variablename": F.lit("Zone Air"), "width": F.size("header")}
     )
     wanted = collect_columns(header_columns(headers), ["file", "buildingid", "variablename", "width"])
-    long = rows(lines_to_long(body, wanted, 2012, 5).select("zonename", F.hour("datetime"), "value"))
+    cells = parsed_cells(body, headers, wanted, 2012)
+    long = rows(good_rows(cells, 5).select("zonename", F.hour("datetime"), "value"))
     assert long == sorted(
         [("Z,A", 1, 1.0), ("ZB", 1, 2.0), ("Z,A", 2, 1.0), ("Z,A", 3, None), ("ZB", 3, 2.0)], key=repr
     )
-    bad = rejected_lines(body, headers.select("file"), wanted, 2012)
-    got = rows(bad.select("file", "reason", F.sort_array(F.col("columns.zonename"))))
-    assert got == sorted(
-        [("f", BAD_NUMBER, ["ZB"]), ("f", BAD_TIME, ["Z,A", "ZB"]), ("f", LONG_LINE, ["Z,A", "ZB"]), ("g", NO_HEADER, None)],
-        key=repr,
-    )
+    got = rows(rejected_lines(cells).select("file", "reason"))
+    assert got == sorted([("f", BAD_NUMBER), ("f", BAD_TIME), ("f", LONG_LINE), ("g", NO_HEADER)])
+    bad = cells.filter("reason IS NOT NULL").groupBy("reason").agg(F.sort_array(F.collect_list("zonename")))
+    both = ["Z,A", "ZB"]
+    assert rows(bad) == sorted([(BAD_NUMBER, ["ZB"]), (BAD_TIME, both), (LONG_LINE, both), (NO_HEADER, [])], key=repr)
 
 
 def test_a_run_without_state_is_pending(spark):

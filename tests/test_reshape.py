@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from helpers import rows
 from zonarium.operators.reshape import (
     collect_columns,
+    good_rows,
     header_columns,
-    lines_to_long,
+    parsed_cells,
     pivot_variables,
     split_output_lines,
     to_long,
@@ -108,10 +109,11 @@ def test_lines_with_a_header_per_file(spark):
     headers = headers.withColumn("variablename", pairs[F.col("file")]).withColumn(
         "buildingid", F.lit(3).cast("long")
     )
-    wanted = collect_columns(header_columns(headers), ["file", "buildingid", "variablename"])
-    got = rows(
-        lines_to_long(body, wanted, 2012, 5).select("variablename", "zonename", "datetime", "value")
-    )
+    columns = header_columns(headers.withColumn("width", F.size("header")))
+    wanted = collect_columns(columns, ["file", "buildingid", "variablename", "width"])
+    cells = parsed_cells(body, headers, wanted, 2012)
+    assert cells.filter("reason IS NOT NULL").count() == 0
+    got = rows(good_rows(cells, 5).select("variablename", "zonename", "datetime", "value"))
     assert got == sorted(
         [
             ("Zone Mean", "ZA", T1, 20.5),

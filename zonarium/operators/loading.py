@@ -72,14 +72,30 @@ def last_datetime(facts, keys=LEDGER_KEY):
     return facts.groupBy(*keys).agg(F.max("datetime").alias("last_datetime"))
 
 
-def load_marks(ledger, facts, keys=LEDGER_KEY):
-    """Last loaded time per key, from the ledger and, unless it says completed, from the facts.
+def open_keys(keys, ledger):
+    """Keys whose last load did not end, or whose ledger line lacks the number of rows."""
+    return not_loaded(keys, ledger.filter(F.col("n_rows").isNotNull()))
 
-    A load that broke off after its rows were stored has no mark in the ledger.
+
+def series_state(keys, ledger, facts, keys_open=None):
+    """Last loaded time and number of stored rows of each of ``keys`` that has any.
+
+    Of a completed series both stand in the ledger; a load that broke off after
+    its rows were stored has no line there, so open series are counted in the
+    facts.  ``facts`` is a function of the open keys and is not called if there
+    are none: then no fact is read.
     """
-    open_facts = not_loaded(last_datetime(facts, keys), ledger, keys)
-    marks = ledger.select(*keys, "last_datetime").unionByName(open_facts.select(*keys, "last_datetime"))
-    return marks.groupBy(*keys).agg(F.max("last_datetime").alias("last_datetime"))
+    still = open_keys(keys, ledger) if keys_open is None else keys_open
+    known = lookup_join(
+        lookup_join(ledger.select(*LEDGER_KEY, "last_datetime", "n_rows"), keys, LEDGER_KEY, "left_semi"),
+        still, LEDGER_KEY, "left_anti",
+    )
+    if still.isEmpty():
+        return known
+    counted = lookup_join(with_subvariable(facts(still)), still, LEDGER_KEY, "left_semi", spread=["datetime"])
+    return known.unionByName(
+        counted.groupBy(*LEDGER_KEY).agg(F.max("datetime").alias("last_datetime"), F.count(F.lit(1)).alias("n_rows"))
+    )
 
 
 def last_ledger_line(ledger, keys, order, columns=("last_datetime",)):

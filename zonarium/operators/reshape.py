@@ -1,5 +1,6 @@
 """Wide output frames to the long time-series form, and back."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import (
@@ -116,92 +117,135 @@ def split_output_lines(lines):
     """Lines of output files as (headers, body).
 
     A line that starts with ``Date/Time``, perhaps after blanks, a byte order
-    mark or a quote, is the header of its file.  Names may be quoted.  Files
-    may be cut anywhere between lines, so nothing depends on the line order.
-    ``headers`` has one row per file with the array ``header`` and the columns
-    that come from the file's path; ``body`` has the other lines.
+    mark or a quote, is a header.  Names may be quoted.  ``headers`` has a row
+    per header with the array ``header`` and the columns that come from the
+    file's path; ``body`` has the other lines.
+
+    A file may hold several outputs, one after another.  Where the lines have
+    ``line_no``, a header counts from its place, ``since``, up to the next one
+    of its file, ``until`` (NULL: to the end), also where the file is read in
+    several splits: only header lines are moved and sorted.  Lines without
+    places are read under the one header of their file.
     """
     is_header = F.col("value").contains(DATE_COLUMN) & F.col("value").rlike(_HEADER)
-    keys = [c for c in lines.columns if c != "value"]
-    headers = (
-        lines.filter(is_header)
-        .groupBy(*keys)
-        .agg(F.first(split_cells(F.col("value"))).alias("header"))
-    )
+    keys = [c for c in lines.columns if c not in ("value", "line_no")]
+    found = lines.filter(is_header).withColumn("header", split_cells(F.col("value")))
+    if "line_no" in lines.columns:
+        order = Window.partitionBy("file").orderBy("line_no")
+        headers = found.select(
+            *keys, F.col("line_no").alias("since"), F.lead("line_no").over(order).alias("until"), "header"
+        )
+    else:
+        headers = found.select(*keys, "header").distinct()
     body = lines.filter(~is_header & (F.trim("value") != ""))
     return headers, body
 
 
 NO_HEADER = "no header"
+MANY_HEADERS = "more than one header"
 BAD_TIME = "unreadable time"
 LONG_LINE = "more cells than the header"
 BAD_NUMBER = "unreadable number"
-
-
-def _lines_with_cells(lines, headers, year):
-    """Lines joined to their headers: cells, datetime, and ``fault`` of the whole line or NULL."""
-    joined = lookup_join(lines.select("file", "value"), headers, "file", how="inner")
-    split = joined.withColumn("cells", split_cells(F.col("value")))
-    timed = split.withColumn("datetime", format_datetime(year, F.get("cells", F.lit(0))))
-    too_long = F.size("cells") > F.col("width") if "width" in headers.columns else F.lit(False)
-    return timed.withColumn(
-        "fault", F.when(F.col("datetime").isNull(), BAD_TIME).when(too_long, LONG_LINE)
-    )
+UNKNOWN_RUN = "unknown run"
+UNKNOWN_VARIABLE = "unknown variable"
 
 
 def _is_bad_number(cell):
     return (F.trim(cell) != "") & F.trim(cell).try_cast("double").isNull()
 
 
-def lines_to_long(lines, headers, year, timeresolution):
-    """Body lines of many output files to long rows.
+def header_sections(headers, wanted):
+    """One row per file: ``sections``, each header's place with what is wanted of it.
 
-    ``lines`` has ``file`` and ``value``.  ``headers`` has ``file``,
-    ``buildingid``, ``variablename`` and ``columns``, the value columns that
-    are wanted (see ``collect_columns``), and perhaps ``width``, the number of
-    cells of the header.  Only whole lines are moved when the headers are too
-    many to broadcast; the time is read once per line, and a cell costs one
-    array access and one cast.  An empty cell is NULL; what cannot be read is
-    left out here and found by ``rejected_lines``.
+    ``columns`` of a section is NULL where nothing of its header is wanted.
+    """
+    place = ["since", "until"] if "since" in headers.columns else []
+    keys = ["file", *place[:1]]
+    columns = ["buildingid", "variablename", "width", "columns"]
+    joined = headers.select("file", *place).join(wanted.select(*keys, *columns), keys, "left")
+    sections = joined.groupBy(F.concat("file", F.lit("")).alias("file"))
+    return sections.agg(F.collect_list(F.struct(*place, *columns)).alias("sections"))
+
+
+def parsed_cells(lines, headers, wanted, year):
+    """Body lines of many output files as one row per wanted cell, good or not.
+
+    ``headers`` are those of ``split_output_lines``; ``wanted`` has ``file``
+    (and ``since``), ``buildingid``, ``variablename``, ``width``, the number of
+    cells of the header, and ``columns``, the value columns that are wanted
+    (see ``collect_columns``).  ``reason`` is NULL for a cell that can be
+    stored; else ``file`` and ``line`` say where it comes from.  A line that is
+    bad as a whole has a row for each wanted column, or one if it has no header.
+
+    A line finds its header in the list of its file, so that lines are not
+    multiplied; only whole lines are moved when the headers are too many to
+    broadcast.  The time is read once per line.
     """
-    per_line = _lines_with_cells(lines, headers, year).filter("fault IS NULL")
+    ordered = "since" in headers.columns
+    place = ["line_no"] if ordered else []
+    joined = lookup_join(lines.select("file", "value", *place), header_sections(headers, wanted), "file", how="left")
+    if ordered:
+
+        def here(x):
+            return (x["since"] < F.col("line_no")) & (x["until"].isNull() | (F.col("line_no") < x["until"]))
+
+        section, many = F.get(F.filter("sections", here), F.lit(0)), F.lit(False)
+    else:
+        section, many = F.get("sections", F.lit(0)), F.coalesce(F.size("sections") > 1, F.lit(False))
+    found = joined.select("file", "value", section.alias("section"), many.alias("many"))
+    lost = F.when(F.col("many"), MANY_HEADERS).when(F.col("section").isNull(), NO_HEADER)
+    # Where the header is known and nothing of it is wanted, nothing is left to do.
+    used = found.withColumn("lost", lost).filter("lost IS NOT NULL OR section.columns IS NOT NULL")
+    split = used.withColumn("cells", split_cells(F.col("value")))
+    timed = split.withColumn("datetime", format_datetime(year, F.get("cells", F.lit(0))))
+    fault = (
+        F.when(F.col("lost").isNotNull(), F.col("lost"))
+        .when(F.col("datetime").isNull(), BAD_TIME)
+        .when(F.size("cells") > F.col("section.width"), LONG_LINE)
+    )
+    each = timed.withColumn("fault", fault).select(
+        "file", "value", "datetime", "cells", "fault", "section.buildingid", "section.variablename",
+        F.explode_outer(F.when(F.col("lost").isNull(), F.col("section.columns"))).alias("column"),
+    )
     cell = F.get(F.col("cells"), F.col("column.position"))
-    return (
-        per_line.select(
-            "buildingid", "datetime", "variablename", "cells", F.explode("columns").alias("column")
-        )
-        .filter(~F.coalesce(_is_bad_number(cell), F.lit(False)))
-        .select(
-            "buildingid",
-            "datetime",
-            F.lit(timeresolution).cast("int").alias("timeresolution"),
-            "variablename",
-            *[F.col(f"column.{c}").alias(c) for c in SUBVARIABLE_COLUMNS],
-            F.trim(cell).try_cast("double").alias("value"),
-        )
+    reason = F.coalesce("fault", F.when(_is_bad_number(cell), BAD_NUMBER))
+    bad = F.col("reason").isNotNull()
+    return each.withColumn("reason", reason).select(
+        "buildingid",
+        "variablename",
+        "datetime",
+        *[F.col(f"column.{c}").alias(c) for c in SUBVARIABLE_COLUMNS],
+        F.when(~bad, F.trim(cell).try_cast("double")).alias("value"),
+        "reason",
+        F.when(bad, F.col("file")).alias("file"),
+        F.when(bad, F.col("value")).alias("line"),
     )
 
 
-def rejected_lines(lines, known_files, headers, year):
-    """Lines that ``lines_to_long`` leaves out wholly or in part, with the reason.
+def good_rows(parsed, timeresolution):
+    """Long rows of the cells of ``parsed_cells`` that can be stored; an empty cell is NULL."""
+    rows = parsed.filter("reason IS NULL").withColumn("timeresolution", F.lit(timeresolution).cast("int"))
+    return rows.select(*LONG_COLUMNS)
 
-    ``known_files`` holds ``file`` of every file that has a header.  The array
-    ``columns`` holds the value columns concerned: all wanted ones of a line
-    without a readable time or with too many cells, else those of the cells
-    that hold no number.  It is NULL for files without a header.
-    """
-    headless = lookup_join(lines.select("file", "value"), known_files, "file", how="left_anti")
-    read = _lines_with_cells(lines, headers, year)
-    bad = F.filter(
-        "columns", lambda c: F.coalesce(_is_bad_number(F.get(F.col("cells"), c["position"])), F.lit(False))
+
+def rejected_lines(parsed):
+    """Lines of ``parsed_cells`` that are not stored wholly or in part, with the reason."""
+    lines = parsed.filter("reason IS NOT NULL").select(
+        "file", "buildingid", "variablename", F.col("line").alias("value"), "reason"
     )
-    faulty = read.withColumn("columns", F.when(F.col("fault").isNull(), bad).otherwise(F.col("columns")))
-    faulty = faulty.filter("fault IS NOT NULL OR size(columns) > 0")
-    return faulty.select(
-        "file", "buildingid", "variablename", "value", F.coalesce("fault", F.lit(BAD_NUMBER)).alias("reason"), "columns"
-    ).unionByName(
-        headless.select("file", "value", F.lit(NO_HEADER).alias("reason")), allowMissingColumns=True
+    return lines.distinct()
+
+
+def rejected_files(headers, runs):
+    """Files, by their header lines, of a run or of a kind of variable that is not known."""
+    known = runs.select("run", F.lit(True).alias("known")).distinct()
+    reason = F.when(F.col("known").isNull(), UNKNOWN_RUN).when(
+        variable_family(F.col("variablename")).isNull(), UNKNOWN_VARIABLE
     )
+    found = lookup_join(headers, known, "run", "left").withColumn("reason", reason).filter("reason IS NOT NULL")
+    return found.select(
+        "file", F.lit(None).cast("long").alias("buildingid"), "variablename", F.concat_ws(",", "header").alias("value"), "reason"
+    ).distinct()
 
 
 def header_columns(headers):
@@ -222,7 +266,7 @@ def header_columns(headers):
 
 
 def collect_columns(columns, keys):
-    """Rows of ``header_columns`` back to one row per file, for ``lines_to_long``.
+    """Rows of ``header_columns`` back to one row per header, for ``parsed_cells``.
 
     The four sub-name columns are settled here, once per column of a header.
     """

@@ -6,18 +6,19 @@ import time
 from pyspark.sql import functions as F
 
 from ..functions.names import with_building_attributes
+from ..functions.scalars import basename
 from ..operators.aggregate import aggregate_zones
 from ..operators.joins import lookup_join, plain_key
 from ..operators.loading import (
     after_watermark,
     building_status,
     buildings_of,
-    load_marks,
     new_rows,
     not_loaded,
     of_buildings,
     of_variables,
     of_year,
+    series_state,
     upsert_ledger,
     variables_of,
     with_subvariable,
@@ -42,9 +43,11 @@ from ..operators.reports import (
 )
 from ..operators.reshape import (
     collect_columns,
+    good_rows,
     header_columns,
-    lines_to_long,
+    parsed_cells,
     pivot_variables,
+    rejected_files,
     rejected_lines,
     split_output_lines,
 )
@@ -59,7 +62,7 @@ from ..schemas import (
     UPLOAD_COMPLETED,
     UPLOAD_STARTED,
 )
-from ..session import checkpointed
+from ..session import checkpointed, written
 from ..sources.files import (
     list_models,
     list_weather,
@@ -71,6 +74,7 @@ from ..sources.files import (
     with_run_name,
     write_manifest,
 )
+from ..sources.folders import any_path
 from ..sources.tables import (
     add_buildings,
     add_rejected,
@@ -84,16 +88,16 @@ DEDUPE, WATERMARK = "dedupe", "watermark"
 
 
 def wanted_columns(headers, runs, ledger=None):
-    """Value columns to load per file: those of known runs, not completed yet.
+    """Value columns to load per header: those of known runs, not completed yet.
 
     ``runs`` has ``run`` and ``buildingid``.
     """
+    place = ["since"] if "since" in headers.columns else []
     headers = headers.withColumn("width", F.size("header"))
     columns = header_columns(lookup_join(headers, runs, "run", "inner"))
     if ledger is not None:
         columns = not_loaded(columns, ledger)
-    wanted = collect_columns(columns, ["file", "buildingid", "variablename", "width"])
-    return wanted.withColumn("file", plain_key("file"))
+    return collect_columns(columns, ["file", *place, "buildingid", "variablename", "width"])
 
 
 def load_outputs(
@@ -104,7 +108,13 @@ def load_outputs(
     ``dedupe`` adds every row that is not stored; ``watermark`` adds the rows
     later than the last one loaded for their series.  Lines and cells that
     cannot be read go to ``timeseries_rejected`` with the reason, and their
-    columns are not marked as completed.
+    columns are not marked as completed; a file of an unknown run or kind of
+    variable goes there by its header line.
+
+    The lines are read twice, for the headers and for the cells.  The parsed
+    cells are written to the shared folder; facts, rejected lines, last times
+    and numbers of rows all come from there.  Facts are read only if some are
+    stored for these buildings and variables.
     """
     if mode not in (DEDUPE, WATERMARK):
         raise ValueError(f"unknown load mode {mode!r}")
@@ -113,7 +123,7 @@ def load_outputs(
     headers, body = split_output_lines(lines)
     headers = checkpointed(with_file_names(headers))
     wanted = checkpointed(wanted_columns(headers, runs, ledger if skip_completed else None))
-    keys = (
+    keys = checkpointed(
         with_subvariable(
             wanted.select("buildingid", "variablename", F.inline("columns"))
         )
@@ -123,42 +133,47 @@ def load_outputs(
     begun = keys.withColumn("status", F.lit(UPLOAD_STARTED))
     replace_table(upsert_ledger(ledger, begun), root, "ledger")
 
-    batch = lines_to_long(body, wanted, year, timeresolution)
-    batch = batch.withColumn("value", F.col("value").cast("float"))
-    buildings, variables = buildings_of(wanted), variables_of(wanted)
-    # Only these can equal, or come before, rows of the batch.
-    stored = of_variables(read_table(spark, root, "timeseriesdata"), variables)
-    if mode == DEDUPE:
-        fresh = new_rows(batch, of_year(stored, year), buildings)
+    cells = written(parsed_cells(body, headers, wanted, year), "cells")
+    batch = good_rows(cells, timeresolution).withColumn("value", F.col("value").cast("float"))
+
+    def facts_of(some):
+        """Facts of some series' buildings and variables: no others can equal or come before theirs."""
+        facts = of_variables(read_table(spark, root, "timeseriesdata"), variables_of(some))
+        return of_buildings(facts, buildings_of(some))
+
+    before = None
+    if not facts_of(keys).isEmpty():
+        before = checkpointed(series_state(keys, ledger, facts_of))
+    if before is None:
+        fresh = batch
+    elif mode == DEDUPE:
+        fresh = written(new_rows(batch, of_year(facts_of(keys), year)), "fresh")
     else:
-        marks = load_marks(ledger, with_subvariable(of_buildings(stored, buildings)))
-        fresh = after_watermark(with_subvariable(batch), marks).select(*batch.columns)
+        fresh = after_watermark(with_subvariable(batch), before).select(*batch.columns)
+    # Counted before the append, as a series' marks are those of the time before.
+    added = checkpointed(
+        with_subvariable(fresh)
+        .groupBy(*LEDGER_KEY)
+        .agg(F.max("datetime").alias("added_last"), F.count(F.lit(1)).alias("added"))
+    )
     append_rows(fresh, root, "timeseriesdata")
 
-    known_files = headers.select(plain_key("file")).distinct()
-    rejected = checkpointed(rejected_lines(body, known_files, wanted, year))
+    rejected = rejected_lines(cells).unionByName(rejected_files(headers, runs))
     add_rejected(rejected, root, "timeseries_rejected")
     unfit = (
-        with_subvariable(
-            rejected.filter("columns IS NOT NULL").select("buildingid", "variablename", F.inline("columns"))
-        )
+        with_subvariable(cells.filter("reason IS NOT NULL AND buildingid IS NOT NULL"))
         .select(*LEDGER_KEY)
         .distinct()
         .withColumn("unfit", F.lit(True))
     )
-
     elapsed = int(time.monotonic() - started)
-    facts = with_subvariable(
-        of_buildings(of_variables(read_table(spark, root, "timeseriesdata"), variables), buildings)
-    )
-    loaded = facts.groupBy(*LEDGER_KEY).agg(
-        F.max("datetime").alias("last_datetime"), F.count(F.lit(1)).alias("n_rows")
-    )
-    done = keys.join(loaded, LEDGER_KEY, "left").join(unfit, LEDGER_KEY, "left").select(
+    done = keys.join(added, LEDGER_KEY, "left").join(unfit, LEDGER_KEY, "left")
+    empty = spark.createDataFrame([], "buildingid long, variablename string, subvariable string, last_datetime timestamp_ntz, n_rows long")
+    done = done.join(empty if before is None else before, LEDGER_KEY, "left").select(
         *LEDGER_KEY,
         F.when(F.col("unfit"), UPLOAD_STARTED).otherwise(UPLOAD_COMPLETED).alias("status"),
-        "last_datetime",
-        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        F.greatest("last_datetime", "added_last").alias("last_datetime"),
+        (F.coalesce("n_rows", F.lit(0)) + F.coalesce("added", F.lit(0))).alias("n_rows"),
         F.lit(elapsed).cast("long").alias("elapsed_seconds"),
     )
     replace_table(upsert_ledger(read_table(spark, root, "ledger"), done), root, "ledger")
@@ -200,8 +215,12 @@ def local_path(path):
 
 
 def register_buildings(spark, root, manifest, models_root):
-    """Give every run of the manifest its building; returns ``run`` and ``buildingid``."""
-    heating = model_heating(spark, models_root).select(
+    """Give every run of the manifest its building; returns ``run`` and ``buildingid``.
+
+    Only the models that the manifest names are read.
+    """
+    names = manifest.select(basename(F.col("IDF Filepath")).alias("name"))
+    heating = model_heating(spark, models_root, listed(names, "name")).select(
         local_path(F.col("file")).alias("IDF Filepath"), "heating"
     )
     runs = manifest.select(
@@ -218,13 +237,18 @@ def register_buildings(spark, root, manifest, models_root):
 MAX_LISTED_RUNS = 5_000
 
 
-def run_folders(runs):
-    """Path pattern of the runs' folders; ``*`` if they are too many or cannot be written in one."""
-    names = sorted({r[0] for r in runs.select("run").distinct().limit(MAX_LISTED_RUNS + 1).collect()})
-    plain = all(re.fullmatch(r"[\w .+=@-]+", name or "") for name in names)
+def listed(rows, column):
+    """Path pattern of the names in a column; ``*`` if they are too many or cannot be written in one."""
+    names = sorted({r[0] or "" for r in rows.select(column).distinct().limit(MAX_LISTED_RUNS + 1).collect()})
+    plain = all(re.fullmatch(r"[\w .+=@-]+", name) for name in names)
     return "{" + ",".join(names) + "}" if names and plain and len(names) <= MAX_LISTED_RUNS else "*"
 
 
+def run_folders(runs):
+    """Path pattern of the runs' folders."""
+    return listed(runs, "run")
+
+
 def load_all(
     spark,
     root,
@@ -240,14 +264,17 @@ def load_all(
     """Load all runs of the manifest that are not uploaded yet, in one plan.
 
     Buildings get their ids, series and reports are loaded, and the manifest
-    is written back with ids and states.  Only the folders of those runs are
-    read.  A run whose state is ``Uploaded`` is never read again; this job
+    is written back with ids and states.  Only the folders and models of those
+    runs are read; folders that are not there yet are no error, and a run
+    without results stays ``Incomplete``.  A run whose state is ``Uploaded`` is never read again; this job
     leaves that state to its user and writes ``Complete``, as such a run may
     grow.  ``skip_completed=False`` takes the new lines of grown files.
     """
     ensure_tables(spark, root)
     manifest = checkpointed(read_manifest(spark, manifest_path))
     pending = pending_runs(manifest)
+    if pending.isEmpty():
+        return
     buildings = register_buildings(spark, root, pending, models_root)
     ids = buildings.select(MANIFEST_KEY, F.col("buildingid").cast("string").alias("value"))
     begun = buildings.select(MANIFEST_KEY, F.lit(INCOMPLETE).alias("value"))
@@ -256,13 +283,13 @@ def load_all(
     write_manifest(manifest, manifest_path)
 
     runs = buildings.select("run", "buildingid")
-    if runs.isEmpty():
-        return
     folders = run_folders(runs)
-    output = read_output_lines(spark, f"{results_root}/{folders}/TimeSeriesData/*.csv")
-    load_outputs(spark, root, output, runs, year, timeresolution, mode, skip_completed)
-    if with_reports:
-        load_eio(spark, root, read_eio(spark, f"{results_root}/{folders}/OutputFiles/*.eio"), runs)
+    outputs = f"{results_root}/{folders}/TimeSeriesData/*.csv"
+    if any_path(spark, outputs):
+        load_outputs(spark, root, read_output_lines(spark, outputs), runs, year, timeresolution, mode, skip_completed)
+    reports = f"{results_root}/{folders}/OutputFiles/*.eio"
+    if with_reports and any_path(spark, reports):
+        load_eio(spark, root, read_eio(spark, reports), runs)
 
     states = building_status(read_table(spark, root, "ledger")).filter(
         F.col("building_status") == COMPLETE

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import seconds_to_hhmmss
 from ..operators import reports
-from ..plans.jobs import load_eio, load_outputs
-from ..schemas import LEDGER_CSV, LEDGER_KEY, MANIFEST_COLUMNS, UPLOAD_STARTED
+from ..plans.jobs import load_all, load_eio, load_outputs
+from ..schemas import LEDGER_CSV, LEDGER_KEY, MANIFEST_COLUMNS, MANIFEST_KEY, UPLOAD_STARTED
 from ..session import scratch_path
 from ..sources import files, tables
 from . import standins as s
@@ -78,10 +78,16 @@ def q_table_state(spark, sf_dir):
     )
 
 
-# Output files: per return flag one run with two variables of different headers.
-_FLAGS = ["A", "N", "R"]
+def _runs(spark, sf_dir):
+    """A run and its building per return flag."""
+    flag = F.col("l_returnflag")
+    runs = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("run"), flag).alias("run"), F.ascii(flag).cast("long").alias("buildingid")
+    )
+    return runs.distinct()
 
 
+# Output files: per return flag one run with two variables of different headers.
 def _write_outputs(spark, sf_dir, root):
     time = F.concat(
         F.lit(" "), F.date_format("l_shipdate", "MM/dd"), F.lit("  "),
@@ -95,7 +101,8 @@ def _write_outputs(spark, sf_dir, root):
         F.nullif(F.col("l_tax"), F.lit(0.0)).alias("Z B:Zone Air [C](TimeStep)"),
     )
     site = items.select("l_returnflag", "Date/Time", F.col("l_extendedprice").alias("Env:x"), F.col("l_discount").alias("Other:x"))
-    for flag in _FLAGS:
+    flags = [r[0] for r in items.select("l_returnflag").distinct().collect()]  # one folder for each
+    for flag in flags:
         for name, frame in (("Zone_Air", zone), ("Site_Air", site)):
             (
                 frame.filter(F.col("l_returnflag") == flag)
@@ -126,9 +133,7 @@ def q_load_outputs(spark, sf_dir):
     """Wide output files loaded twice into a table; the second load adds nothing."""
     root = scratch_path(spark, "outputs")
     pattern = _write_outputs(spark, sf_dir, root)
-    runs = spark.createDataFrame(
-        [(f"run{flag}", i) for i, flag in enumerate(_FLAGS, 1)], "run string, buildingid long"
-    )
+    runs = _runs(spark, sf_dir)
     tables.ensure_tables(spark, f"{root}/tables")
     for _ in range(2):
         load_outputs(
@@ -149,9 +154,7 @@ def q_load_ledger(spark, sf_dir):
     """Ledger written by a load in watermark mode."""
     root = scratch_path(spark, "ledger")
     pattern = _write_outputs(spark, sf_dir, root)
-    runs = spark.createDataFrame(
-        [(f"run{flag}", i) for i, flag in enumerate(_FLAGS, 1)], "run string, buildingid long"
-    )
+    runs = _runs(spark, sf_dir)
     tables.ensure_tables(spark, f"{root}/tables")
     load_outputs(
         spark, f"{root}/tables", files.read_output_lines(spark, pattern), runs, 2000, 60, "watermark"
@@ -197,17 +200,22 @@ def _faulty_lines(spark, sf_dir):
         F.concat(path, F.lit("Zone_Air.csv")).alias("file"),
         F.lit(' Date/Time,"Z,A:Zone Air [C]",Z B:Zone Air [C]').alias("value"),
     )
-    return header.distinct().unionByName(body)
+    return header.distinct().unionByName(body).unionByName(_strange_files(items, path))
+
+
+def _strange_files(items, path):
+    """Files of a run, and of a kind of variable, that are not known: a header and a line each."""
+    names = F.array(
+        F.concat(F.lit("/other"), "l_returnflag", F.lit("/TimeSeriesData/Zone_Air.csv")), F.concat(path, F.lit("Boiler_Rate.csv"))
+    )
+    found = items.select("l_returnflag").distinct().select(F.explode(names).alias("file"))
+    return found.select("file", F.explode(F.array(F.lit("Date/Time,Z:x"), F.lit(" 01/02  01:00:00,1"))).alias("value"))
 
 
 def _load_faulty(spark, sf_dir, label, mode="dedupe"):
     """(tables' folder, runs) after the faulty lines were loaded twice."""
     root = scratch_path(spark, label)
-    runs = (
-        table(spark, sf_dir, "lineitem")
-        .select(F.concat(F.lit("run"), "l_returnflag").alias("run"), F.ascii("l_returnflag").cast("long").alias("buildingid"))
-        .distinct()
-    )
+    runs = _runs(spark, sf_dir)
     tables.ensure_tables(spark, root)
     for _ in range(2):
         load_outputs(spark, root, _faulty_lines(spark, sf_dir), runs, 2000, 60, mode, skip_completed=False)
@@ -219,9 +227,14 @@ def _load_faulty(spark, sf_dir, label, mode="dedupe"):
            CASE l_linenumber WHEN 2 THEN 'unreadable time' WHEN 3 THEN 'more cells than the header'
                 WHEN 4 THEN 'unreadable number' ELSE 'no header' END AS reason,
            CAST(count(DISTINCT l_orderkey || l_returnflag) AS BIGINT) AS n_lines
-    FROM lineitem WHERE l_linenumber IN (2, 3, 4, 7) GROUP BY ALL""")
+    FROM lineitem WHERE l_linenumber IN (2, 3, 4, 7) GROUP BY ALL
+    UNION ALL
+    SELECT -1, unnest(['unknown run', 'unknown variable']), CAST(count(DISTINCT l_returnflag) AS BIGINT) FROM lineitem""")
 def q_rejected_outputs(spark, sf_dir):
-    """Different output lines that could not be loaded, by building (-1: unknown) and reason."""
+    """Different output lines that could not be loaded, by building (-1: unknown) and reason.
+
+    Files of an unknown run or kind of variable are listed once, by their header line.
+    """
     root = _load_faulty(spark, sf_dir, "rejected")
     found = tables.read_rejected(spark, root, "timeseries_rejected")
     building = F.coalesce("buildingid", F.lit(-1)).alias("buildingid")
@@ -242,14 +255,83 @@ def q_faulty_ledger(spark, sf_dir):
     return ledger.select("buildingid", "subvariable", "status", "n_rows")
 
 
+@query("""
+    SELECT CAST(ascii(l_returnflag) AS BIGINT) AS buildingid, CASE WHEN l_linenumber < 4 THEN 'ZA' ELSE 'ZB' END AS zonename,
+           make_timestamp(2000, 1, 2, 0, 0, 0.0) + to_hours(CAST(l_linenumber AS BIGINT)) AS datetime,
+           CAST(CAST(l_extendedprice AS FLOAT) AS DOUBLE) AS value
+    FROM lineitem WHERE l_linenumber <> 1
+    UNION ALL
+    SELECT -1, 'no header', NULL, CAST(count(DISTINCT l_returnflag || '/' || l_extendedprice) AS DOUBLE)
+    FROM lineitem WHERE l_linenumber = 1""")
+def q_two_headers(spark, sf_dir):
+    """Outputs of two kinds appended to one file: each line is read under the last header before it.
+
+    What stands before the first header is rejected; its lines are counted in a row of their own.
+    """
+    root = scratch_path(spark, "headers")
+    items = table(spark, sf_dir, "lineitem")
+    file = F.concat(F.lit("/run"), "l_returnflag", F.lit("/TimeSeriesData/Zone_Air.csv"))
+    place = lambda block, row: F.struct(
+        F.lit(block).cast("long").alias("block") if isinstance(block, int) else block.cast("long").alias("block"),
+        row.cast("long").alias("row"),
+    )
+    body = items.select(
+        file.alias("file"),
+        F.format_string(" 01/02  %02d:00:00,%s", F.col("l_linenumber"), F.col("l_extendedprice").cast("string")).alias("value"),
+        place(F.col("l_linenumber"), F.col("l_orderkey")).alias("line_no"),
+    )
+    files_ = items.select(file.alias("file")).distinct()
+    headers = [
+        files_.select("file", F.lit(f"Date/Time,{zone}:Zone Air [C]").alias("value"), place(block, F.lit(-1)).alias("line_no"))
+        for block, zone in ((2, "ZA"), (4, "ZB"))
+    ]
+    runs = _runs(spark, sf_dir)
+    tables.ensure_tables(spark, root)
+    load_outputs(spark, root, headers[0].unionByName(headers[1]).unionByName(body), runs, 2000, 60)
+    stored = _as_double(tables.read_table(spark, root, "timeseriesdata"))
+    lost = tables.read_rejected(spark, root, "timeseries_rejected").groupBy("reason").agg(F.count(F.lit(1)).cast("double").alias("value"))
+    return stored.select("buildingid", "zonename", "datetime", "value").unionByName(
+        lost.select(
+            F.lit(-1).cast("long").alias("buildingid"), F.col("reason").alias("zonename"),
+            F.lit(None).cast("timestamp_ntz").alias("datetime"), "value",
+        )
+    )
+
+
+@query("""
+    SELECT 'run' || l_returnflag AS run, 'Complete' AS state, CAST(3 * count(*) AS BIGINT) AS n_rows FROM lineitem GROUP BY ALL
+    UNION ALL SELECT 'runDone', 'Uploaded', CAST(0 AS BIGINT) FROM lineitem HAVING count(*) > 0
+    UNION ALL SELECT 'runLate', 'Incomplete', CAST(0 AS BIGINT) FROM lineitem HAVING count(*) > 0""")
+def q_load_all(spark, sf_dir):
+    """All runs of a manifest loaded twice, by state and stored rows.
+
+    One run is uploaded already, one has no results yet, and there are neither models nor reports.
+    """
+    root = scratch_path(spark, "all")
+    _write_outputs(spark, sf_dir, f"{root}/results")
+    flags = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("run"), "l_returnflag").alias("run")).distinct()
+    others = spark.createDataFrame([("runDone",), ("runLate",)], "run string")
+    state = F.when(F.col("run") == "runDone", "Uploaded").otherwise("Not Started")
+    values = [F.lit("NA"), F.lit("/models/m.idf"), F.lit("w"), F.concat(F.lit(f"{root}/results/"), "run"), state]
+    manifest = flags.unionByName(others).select(*[v.alias(c) for v, c in zip(values, MANIFEST_COLUMNS)])
+    files.write_manifest(manifest, f"{root}/manifest")
+    for _ in range(2):
+        load_all(spark, f"{root}/tables", f"{root}/manifest", f"{root}/results", f"{root}/models", 2000, 60)
+    counts = tables.read_table(spark, f"{root}/tables", "timeseriesdata").groupBy("buildingid").agg(F.count(F.lit(1)).alias("n"))
+    runs = files.read_manifest(spark, f"{root}/manifest").select(
+        F.element_at(F.split(MANIFEST_KEY, "/"), -1).alias("run"),
+        F.col("Simulation Status").alias("state"),
+        F.col("BuildingID").try_cast("long").alias("buildingid"),
+    )
+    return runs.join(counts, "buildingid", "left").select("run", "state", F.coalesce("n", F.lit(0)).alias("n_rows"))
+
+
 @query(_outputs_sql("CAST(CAST({} AS FLOAT) AS DOUBLE)"))
 def q_reload_after_break(spark, sf_dir):
     """A load by time that broke off before its ledger was written, run again: each row once."""
     root = scratch_path(spark, "broken")
     lines = files.read_output_lines(spark, _write_outputs(spark, sf_dir, root))
-    runs = spark.createDataFrame(
-        [(f"run{flag}", i) for i, flag in enumerate(_FLAGS, 1)], "run string, buildingid long"
-    )
+    runs = _runs(spark, sf_dir)
     tables.ensure_tables(spark, f"{root}/tables")
     load_outputs(spark, f"{root}/tables", lines, runs, 2000, 60, "watermark")
     begun = tables.read_table(spark, f"{root}/tables", "ledger").select(

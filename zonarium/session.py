@@ -55,3 +55,10 @@ def checkpointed(df):
     """``df`` stored once in the shared folder, with its lineage cut."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df, label):
+    """``df`` written once as Parquet in the shared folder and read again, some columns at a time."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,7 +13,7 @@ from ..functions.scalars import (
 )
 from ..operators.reshape import DATE_COLUMN, quoted, split_output_lines
 from ..schemas import LEDGER, LEDGER_CSV, LEDGER_LAST_TIME, MANIFEST, UPLOAD_STARTED
-from .folders import replace_folder, settle
+from .folders import any_path, replace_folder, settle
 
 # Folders of the model and weather files, per kind of model.
 MODEL_FOLDER = {
@@ -54,13 +54,22 @@ def _lines(reader, path):
     return reader.load(path).select("value", F.col("_metadata.file_path").alias("file"))
 
 
+def _line_no():
+    """Place of a line in its file: start of its split, then row in the task."""
+    return F.struct(
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
+    ).alias("line_no")
+
+
 def read_output_lines(spark, path):
-    """Lines of wide output files: ``value`` and ``file``.
+    """Lines of wide output files: ``value``, ``file`` and ``line_no``.
 
     Each file has its own header, so the files are read as text; big files are
-    split like any text file.
+    split like any text file.  ``line_no`` orders the lines of one file, also
+    over its splits.
     """
-    return _lines(spark.read.format("text"), path)
+    lines = spark.read.format("text").load(path)
+    return lines.select("value", F.col("_metadata.file_path").alias("file"), _line_no())
 
 
 def with_file_names(files):
@@ -97,14 +106,7 @@ def read_eio(spark, path):
         .option("sep", _NO_SEPARATOR)
         .option("quote", "")
     )
-    return reader.load(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("line_no"),
-    )
+    return reader.load(path).select("value", F.col("_metadata.file_path").alias("file"), _line_no())
 
 
 def with_run_name(rows):
@@ -124,16 +126,19 @@ def read_model_text(spark, path):
     )
 
 
-def model_heating(spark, path):
-    """Heating tags per model file, found line by line.
+def model_heating(spark, path, names="*.idf"):
+    """Heating tags per model file, found line by line; ``names`` is a pattern of file names.
 
-    The markers are single lines, so files of any size are read in splits and
+    No file is read, and none is missed, where there is no such folder.  The markers are single lines, so files of any size are read in splits and
     only one flag per marker is shuffled.
     """
+    if not any_path(spark, path):
+        return spark.createDataFrame([], "file string, heating string")
+    names = names if names != "*" else "*.idf"
     lines = _lines(
         spark.read.format("text")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.idf"),
+        .option("pathGlobFilter", names),
         path,
     )
     found = lines.groupBy("file").agg(

@@ -40,3 +40,9 @@ def replace_folder(spark, path, write):
         fs.rename(at, old)
     fs.rename(new, at)
     fs.delete(old, True)
+
+
+def any_path(spark, pattern):
+    """Whether a path, or a pattern of paths, names anything."""
+    fs, at = _at(spark, pattern)
+    return bool(fs.globStatus(at))

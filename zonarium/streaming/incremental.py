@@ -14,7 +14,9 @@ def output_stream(spark, path, max_files=None):
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path).select("value", F.col("_metadata.file_path").alias("file"))
+    return reader.load(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    )
 
 
 def start_incremental_load(
@@ -24,6 +26,8 @@ def start_incremental_load(
 
     def load(lines, _batch):
         # series may grow file by file, so completed ones are not skipped
+        place = F.struct("block", F.monotonically_increasing_id().alias("row"))
+        lines = lines.withColumn("line_no", place).drop("block")
         load_outputs(
             lines.sparkSession, root, lines, runs, year, timeresolution, mode, skip_completed=False
         )
