@@ -19,7 +19,6 @@ from ..operators.loading import (
     of_variables,
     of_year,
     series_state,
-    upsert_ledger,
     variables_of,
     with_subvariable,
 )
@@ -79,9 +78,9 @@ from ..sources.tables import (
     add_buildings,
     add_rejected,
     append_rows,
+    change_ledger,
     ensure_tables,
     read_table,
-    replace_table,
 )
 
 DEDUPE, WATERMARK = "dedupe", "watermark"
@@ -131,7 +130,7 @@ def load_outputs(
         .distinct()
     )
     begun = keys.withColumn("status", F.lit(UPLOAD_STARTED))
-    replace_table(upsert_ledger(ledger, begun), root, "ledger")
+    change_ledger(begun, root)
 
     cells = written(parsed_cells(body, headers, wanted, year), "cells")
     batch = good_rows(cells, timeresolution).withColumn("value", F.col("value").cast("float"))
@@ -176,7 +175,7 @@ def load_outputs(
         (F.coalesce("n_rows", F.lit(0)) + F.coalesce("added", F.lit(0))).alias("n_rows"),
         F.lit(elapsed).cast("long").alias("elapsed_seconds"),
     )
-    replace_table(upsert_ledger(read_table(spark, root, "ledger"), done), root, "ledger")
+    change_ledger(done, root)
 
 
 def load_variable(spark, root, path, buildingid, year, timeresolution, mode=WATERMARK):

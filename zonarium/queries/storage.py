@@ -349,6 +349,36 @@ def q_reload_after_break(spark, sf_dir):
     )
 
 
+@query("""
+    SELECT o_custkey AS buildingid, o_orderpriority AS variablename, 'NA' AS subvariable,
+           CASE WHEN bool_or(o_orderkey % 3 = 1) THEN 'Upload Completed' WHEN bool_or(o_orderkey % 3 = 0) THEN 'Upload Started'
+                ELSE 'None' END AS status,
+           max(CASE WHEN o_orderkey % 3 = 1 THEN o_orderdate END) AS last_datetime,
+           max(CASE WHEN o_orderkey % 3 = 2 THEN o_orderkey END) AS n_rows,
+           'same' AS compacted
+    FROM orders GROUP BY ALL""")
+def q_ledger_log(spark, sf_dir):
+    """Ledger made of several changes, each with some keys and fields, before and after its log is folded."""
+    root = scratch_path(spark, "log")
+    tables.ensure_tables(spark, root)
+    orders = table(spark, sf_dir, "orders").withColumn("kind", F.col("o_orderkey") % 3)
+    key = [F.col("o_custkey").alias("buildingid"), F.col("o_orderpriority").alias("variablename"), F.lit(None).cast("string").alias("subvariable")]
+    keys = ["buildingid", "variablename", "subvariable"]
+    tables.change_ledger(orders.filter("kind = 0").select(*key).distinct().withColumn("status", F.lit(UPLOAD_STARTED)), root)
+    counted = orders.filter("kind = 2").select(*key, "o_orderkey").groupBy(*keys).agg(F.max("o_orderkey").alias("n_rows"))
+    tables.change_ledger(counted, root)
+    dated = orders.filter("kind = 1").select(*key, "o_orderdate").groupBy(*keys).agg(F.max("o_orderdate").alias("last_datetime"))
+    tables.change_ledger(dated.withColumn("status", F.lit("Upload Completed")), root)
+    columns = [*LEDGER_KEY, "status", "last_datetime", "n_rows"]
+    before = tables.read_table(spark, root, "ledger").select(*columns)
+    kept = scratch_path(spark, "before")
+    before.write.parquet(kept)
+    tables.compact_ledger(spark, root)
+    after = tables.read_table(spark, root, "ledger").select(*columns)
+    both = spark.read.parquet(kept).withColumn("side", F.lit(1)).unionByName(after.withColumn("side", F.lit(2)))
+    return both.groupBy(*columns).agg(F.when(F.sum("side") == 3, "same").otherwise("other").alias("compacted"))
+
+
 @query(_FLOAT_FACTS.replace("CAST(CAST(value AS FLOAT) AS DOUBLE)", "value"))
 def q_bundle(spark, sf_dir):
     """Facts written as a bundle, split by building, and read back."""

@@ -27,14 +27,19 @@ def settle(spark, path):
         fs.rename(old, at)
 
 
-def replace_folder(spark, path, write):
-    """Replace ``path`` by what ``write`` makes of the path it is given."""
+def replace_folder(spark, path, write, note=None):
+    """Replace ``path`` by what ``write`` makes of the path it is given.
+
+    A ``note`` is kept with the content, as the name of an empty file (see ``note_of``).
+    """
     path = path.rstrip("/")
     settle(spark, path)
     fs, at = _at(spark, path)
     new, old = _path(spark, f"{path}.new"), _path(spark, f"{path}.old")
     fs.delete(new, True)
     write(f"{path}.new")
+    if note is not None:
+        fs.create(_path(spark, f"{path}.new/_note={note}")).close()
     fs.delete(old, True)
     if fs.exists(at):
         fs.rename(at, old)
@@ -46,3 +51,22 @@ def any_path(spark, pattern):
     """Whether a path, or a pattern of paths, names anything."""
     fs, at = _at(spark, pattern)
     return bool(fs.globStatus(at))
+
+
+def note_of(spark, path):
+    """The note that was kept with a replaced folder, or None."""
+    fs, _ = _at(spark, path)
+    found = fs.globStatus(_path(spark, f"{path.rstrip('/')}/_note=*"))
+    return found[0].getPath().getName().partition("=")[2] if found else None
+
+
+def folders_in(spark, path, prefix):
+    """Names of the completely written folders in ``path`` that start with ``prefix``, sorted."""
+    fs, _ = _at(spark, path)
+    found = fs.globStatus(_path(spark, f"{path.rstrip('/')}/{prefix}*/_SUCCESS"))
+    return sorted(f.getPath().getParent().getName() for f in found or ())
+
+
+def remove_folder(spark, path):
+    fs, at = _at(spark, path)
+    fs.delete(at, True)

@@ -12,11 +12,13 @@ from ..schemas import (
     EIO,
     EIO_KEY,
     LEDGER,
+    LEDGER_KEY,
+    NA,
     TIMESERIES,
     TIMESERIES_KEY,
 )
 from ..session import checkpointed
-from .folders import replace_folder, settle
+from .folders import folders_in, note_of, remove_folder, replace_folder, settle
 
 SCHEMAS = {
     "buildingids": BUILDINGS,
@@ -29,8 +31,10 @@ REJECTED = {
     "timeseries_rejected": "file string, buildingid long, variablename string, value string, reason string",
     "eio_rejected": "file string, buildingid long, tablename string, value string, reason string",
 }
-# Tables that are replaced as a whole (see ``folders``).
+# Tables that are a snapshot, replaced as a whole (see ``folders``), and a log of later changes.
 REPLACED = {"ledger"}
+# Changes in the log, from which on it is folded into a new snapshot.
+LOG_BATCHES = 64
 PARTITIONED = {"timeseriesdata": ["buildingid"], "eiotabledata": ["buildingid"]}
 ID_COLUMN = {"timeseriesdata": "timeseriesdataid", "eiotabledata": "eiotabledataid"}
 KEY_COLUMNS = {"timeseriesdata": TIMESERIES_KEY, "eiotabledata": EIO_KEY}
@@ -50,7 +54,7 @@ def table_path(root, name):
 def read_table(spark, root, name):
     """Rows of a table, with its fixed schema."""
     if name in REPLACED:
-        settle(spark, table_path(root, name))
+        return _ledger(spark, root)[0]
     return spark.read.schema(SCHEMAS[name]).parquet(table_path(root, name))
 
 
@@ -73,7 +77,10 @@ def table_state(spark, root, name):
     """(exists, is_empty) of a table."""
     if name in REPLACED:
         settle(spark, table_path(root, name))
-    return path_state(spark, table_path(root, name), SCHEMAS[name])
+    state = path_state(spark, table_path(root, name), SCHEMAS[name])
+    if name in REPLACED and state == (True, True):
+        return True, read_table(spark, root, name).isEmpty()
+    return state
 
 
 def ensure_tables(spark, root):
@@ -91,7 +98,10 @@ def truncate_table(spark, root, name):
     the largest one stored.
     """
     empty = spark.createDataFrame([], SCHEMAS[name])
-    empty.write.mode("overwrite").parquet(table_path(root, name))
+    if name in REPLACED:
+        replace_table(empty, root, name)
+    else:
+        empty.write.mode("overwrite").parquet(table_path(root, name))
 
 
 def append_rows(df, root, name):
@@ -136,14 +146,78 @@ def append_jdbc(df, url, table, properties=None):
     df.write.jdbc(url, table, mode="append", properties=properties or {})
 
 
+def _log_path(root, batch=None):
+    path = f"{root.rstrip('/')}/ledger_log"
+    return path if batch is None else f"{path}/{_log_name(batch)}"
+
+
+def _log_name(batch):
+    return f"change-{batch:012d}"
+
+
+def _ledger(spark, root):
+    """(rows, number of the last change, changes in the log) of the ledger.
+
+    The snapshot is noted with the last change it holds; changes up to that
+    one, and changes that were not written to the end, are passed over.
+    """
+    path = table_path(root, "ledger")
+    settle(spark, path)
+    upto = int(note_of(spark, path) or 0)
+    names = [n for n in folders_in(spark, _log_path(root), "change-") if n > _log_name(upto)]
+    snapshot = spark.read.schema(LEDGER).parquet(path)
+    if not names:
+        return snapshot, upto, 0
+    order, fields = "_change", [f.name for f in LEDGER if f.name not in LEDGER_KEY]
+    number = F.regexp_extract("_metadata.file_path", r"/change-(\d+)/", 1).cast("long").alias(order)
+    log = spark.read.schema(LEDGER).parquet(*[f"{_log_path(root)}/{n}" for n in names]).select("*", number)
+    both = snapshot.withColumn(order, F.lit(upto).cast("long")).unionByName(log)
+    # Of each field the value of the last change that sets it.
+    last = {c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))) for c in fields}
+    last["status"] = F.coalesce(last["status"], F.lit("None"))
+    merged = both.groupBy(*LEDGER_KEY).agg(*[last[c].alias(c) for c in fields])
+    return merged.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER]), int(names[-1].partition("-")[2]), len(names)
+
+
+def change_ledger(updates, root):
+    """Add changes to the ledger: a field that is left NULL, or out, keeps its value.
+
+    Only the changed keys are written, to a folder of their own that counts
+    once it is complete.  One load at a time may change a ledger.  After
+    ``LOG_BATCHES`` changes the log is folded into a new snapshot.
+    """
+    spark = updates.sparkSession
+    _, last, n = _ledger(spark, root)
+    rows = updates.withColumn("subvariable", F.coalesce("subvariable", F.lit(NA)))
+    columns = [
+        (F.col(f.name) if f.name in updates.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER
+    ]
+    rows.select(*columns).write.mode("overwrite").parquet(_log_path(root, last + 1))
+    if n + 1 >= LOG_BATCHES:
+        compact_ledger(spark, root)
+
+
+def compact_ledger(spark, root):
+    """Fold the log into a new snapshot; readers find the old state or the new one, which are equal."""
+    rows, _, n = _ledger(spark, root)
+    if n:
+        replace_table(rows, root, "ledger")
+
+
 def replace_table(df, root, name):
     """Replace a small state table by a frame that may read it.
 
     The new rows are checkpointed first, so the old files can go; they go only
-    when the new ones are complete.
+    when the new ones are complete.  The log of changes that came before goes
+    after that.
     """
+    spark = df.sparkSession
     stored = checkpointed(df.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name]]))
-    replace_folder(df.sparkSession, table_path(root, name), stored.write.parquet)
+    names = folders_in(spark, _log_path(root), "change-")
+    last = max([int(note_of(spark, table_path(root, name)) or 0), *(int(n.partition("-")[2]) for n in names)])
+    replace_folder(spark, table_path(root, name), stored.write.parquet, last)
+    for n in names:
+        remove_folder(spark, f"{_log_path(root)}/{n}")
 
 
 def number_buildings(candidates, existing):
