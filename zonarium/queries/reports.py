@@ -242,7 +242,7 @@ def q_equipment_schedules(spark, sf_dir):
         "stringvalue",
         F.when(
             F.col("variablename") == "Schedule Name",
-            F.concat(F.lit("Z"), F.substring("stringvalue", 2, 99)),
+            F.concat(F.lit("Z"), F.substring("stringvalue", F.lit(2), F.length("stringvalue"))),
         ).otherwise(F.col("stringvalue")),
     )
     return aggregate.equipment_schedules(s.facts(spark, sf_dir), report).select(

@@ -491,7 +491,7 @@ def q_surface_aggregate(spark, sf_dir):
     daily = s.facts(spark, sf_dir).withColumn(
         "datetime", F.date_trunc("day", "datetime").cast("timestamp_ntz")
     )
-    number = F.substring("surfacename", 2, 9).try_cast("int")
+    number = F.substring("surfacename", F.lit(2), F.length("surfacename")).try_cast("int")
     mapping = (
         daily.filter("surfacename <> 'NA'")
         .select("buildingid", "surfacename")

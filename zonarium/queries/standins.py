@@ -49,7 +49,7 @@ def zone_map(spark, sf_dir):
     zones = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("buildingid"), _zone().alias("zonename")
     )
-    number = F.substring("zonename", 2, 9).try_cast("int")
+    number = F.substring("zonename", F.lit(2), F.length("zonename")).try_cast("int")
     return zones.distinct().withColumn(
         "aggregation_zone", (F.floor(number / 25) + 1).cast("int")
     )
