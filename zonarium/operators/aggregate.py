@@ -24,6 +24,9 @@ ZONE_TABLE = "Zone Information"
 # Report variables that weigh a zone.
 WEIGHT_VARIABLE = {"area": "Floor Area {m2}", "volume": "Volume {m3}"}
 
+SCHEDULE = "Schedule Value"
+
+# The first parts of output zone names.
 SERIES_STEM = "Aggregation_Zone_"
 EQUIPMENT_STEM = "Aggregation_Zone_Equipment_"
 
@@ -43,15 +46,39 @@ def zone_weights(eio):
 
 
 def with_aggregation_zone(rows, zone_map):
-    """Rows of mapped zones with ``aggregation_zone``; others drop out."""
-    mapping = zone_map.select("buildingid", "zonename", "aggregation_zone")
-    return lookup_join(rows, mapping, ["buildingid", "zonename"], "inner")
+    """Rows of mapped zones with ``aggregation_zone`` (and its weights, if the map has them); others drop out."""
+    kept = ["buildingid", "zonename", "aggregation_zone", *[k for k in WEIGHT_VARIABLE if k in zone_map.columns]]
+    return lookup_join(rows, zone_map.select(*kept), ["buildingid", "zonename"], "inner")
 
 
 SIMPLE = {"mean": F.avg, "sum": F.sum, "min": F.min, "max": F.max}
 WEIGHTED = {f"{kind}_weighted": kind for kind in WEIGHT_VARIABLE}
 
 
+def modes_of(how, weights):
+    """The modes in ``how``, one or a list of them; an unknown one, or one that lacks its weights, is an error."""
+    modes = [how] if isinstance(how, str) else list(how)
+    unknown = [m for m in modes if m not in SIMPLE and m not in WEIGHTED]
+    if unknown:
+        raise ValueError(f"unknown aggregation {unknown}")
+    if weights is None and any(m in WEIGHTED for m in modes):
+        raise ValueError(f"{modes} needs weights")
+    return modes
+
+
+def combined(mode, value):
+    """Aggregate of ``value`` by one mode; a weighted one finds the weights in the row."""
+    return SIMPLE[mode](value) if mode in SIMPLE else weighted_mean(value, F.col(WEIGHTED[mode]))
+
+
+def weighted_map(zone_map, weights, modes):
+    """``zone_map`` with the weights that the modes need, stored once, as they come from the report rows."""
+    if not any(m in WEIGHTED for m in modes):
+        return zone_map
+    sizes = weights.select("buildingid", "zonename", *WEIGHT_VARIABLE)
+    return checkpointed(zone_map.join(sizes, ["buildingid", "zonename"], "left"))
+
+
 def aggregate_zones(ts, zone_map, how="mean", weights=None, name="zonename"):
     """One series per aggregation zone and variable.
 
@@ -65,28 +92,10 @@ def aggregate_zones(ts, zone_map, how="mean", weights=None, name="zonename"):
     without a weight, and a missing value, count in neither sum.  Every mode
     is a plain aggregate that is combined before the shuffle.
     """
-    modes = [how] if isinstance(how, str) else list(how)
-    unknown = [m for m in modes if m not in SIMPLE and m not in WEIGHTED]
-    if unknown:
-        raise ValueError(f"unknown aggregation {unknown}")
-    if any(m in WEIGHTED for m in modes):
-        if weights is None:
-            raise ValueError(f"{modes} needs weights")
-        # stored once, as the weights come from the report rows
-        zone_map = checkpointed(
-            zone_map.join(
-                weights.select("buildingid", "zonename", *WEIGHT_VARIABLE),
-                ["buildingid", "zonename"],
-                "left",
-            )
-        )
+    modes = modes_of(how, weights)
+    zone_map = weighted_map(zone_map, weights, modes)
     value = F.col("value").cast("double")
-    results = [
-        (SIMPLE[m](value) if m in SIMPLE else weighted_mean(value, F.col(WEIGHTED[m]))).alias(
-            "value" if isinstance(how, str) else m
-        )
-        for m in modes
-    ]
+    results = [combined(m, value).alias("value" if isinstance(how, str) else m) for m in modes]
     rows = lookup_join(ts, zone_map, ["buildingid", name], "inner", spread=["datetime"])
     series = rows.groupBy("buildingid", "aggregation_zone", "variablename", "datetime").agg(*results)
     return series.select(
@@ -94,21 +103,21 @@ def aggregate_zones(ts, zone_map, how="mean", weights=None, name="zonename"):
     )
 
 
-def aggregate_zone_table(ts, zone_map, variables, how="mean", name="zonename"):
+def aggregate_zone_table(ts, zone_map, variables, how="mean", name="zonename", weights=None):
     """``aggregate_zones`` with one column per variable, in one shuffle.
 
-    ``how`` is mean, sum, min or max.  Each variable is an aggregate over its
-    own rows, so nothing is grouped twice.
+    ``how`` is one of its modes.  Each variable is an aggregate over its own
+    rows, so nothing is grouped twice.
     """
-    if how not in SIMPLE:
-        raise ValueError(f"unknown aggregation {how!r}")
+    modes = modes_of([how], weights)
+    zone_map = weighted_map(zone_map, weights, modes)
     value = F.col("value").cast("double")
     rows = lookup_join(
         ts.filter(F.col("variablename").isin(list(variables))), zone_map, ["buildingid", name], "inner", spread=["datetime"]
     )
     # Zones and times of other variables only have no line here.
     table = rows.groupBy("buildingid", "aggregation_zone", "datetime").agg(
-        *[SIMPLE[how](F.when(F.col("variablename") == v, value)).alias(v) for v in variables]
+        *[combined(how, F.when(F.col("variablename") == v, value)).alias(v) for v in variables]
     )
     return table.select("buildingid", zone_label(), "datetime", *[f"`{v}`" for v in variables])
 
@@ -154,31 +163,69 @@ def equipment_levels(eio, zone_map, variable, equipment=tuple(EQUIPMENT)):
     )
 
 
+def schedule_users(eio):
+    """The zones that use each schedule, by kind of equipment: ``buildingid``, ``schedulename``, ``_zone``, ``_kind``."""
+    tables = [e + GAINS for e in EQUIPMENT]
+    named = eio.filter(F.col("tablename").isin(tables) & (F.col("variablename") == "Schedule Name"))
+    return named.select(
+        "buildingid",
+        strip(F.col("stringvalue")).alias("schedulename"),
+        F.col("zonename").alias("_zone"),
+        F.replace(F.col("tablename"), F.lit(GAINS), F.lit("")).alias("_kind"),
+    ).distinct()
+
+
+def schedule_series(ts):
+    return ts.filter((F.col("variablename") == SCHEDULE) & (F.col("schedulename") != NA))
+
+
 def equipment_schedules(ts, eio):
     """Schedule series given to the zones that use them, one variable per equipment.
 
     The report names the schedule of each piece of equipment.  The rows come
     back with the zone filled in and the variable ``Schedule Value <Equipment>``,
-    ready for ``aggregate_zones``.
+    once for each zone.  To aggregate them, ``aggregate_schedules`` is the
+    shorter way.
     """
-    tables = [e + GAINS for e in EQUIPMENT]
-    users = checkpointed(
-        eio.filter(F.col("tablename").isin(tables) & (F.col("variablename") == "Schedule Name"))
-        .select(
-            "buildingid",
-            strip(F.col("stringvalue")).alias("schedulename"),
-            F.col("zonename").alias("_zone"),
-            F.replace(F.col("tablename"), F.lit(GAINS), F.lit("")).alias("_kind"),
-        )
-        .distinct()
-    )
-    series = ts.filter((F.col("variablename") == "Schedule Value") & (F.col("schedulename") != NA))
+    users = checkpointed(schedule_users(eio))
     joined = lookup_join(
-        series, users, ["buildingid", "schedulename"], "inner", spread=["datetime"]
+        schedule_series(ts), users, ["buildingid", "schedulename"], "inner", spread=["datetime"]
     )
     return joined.withColumns(
         {
             "zonename": F.col("_zone"),
-            "variablename": F.concat(F.lit("Schedule Value "), F.col("_kind")),
+            "variablename": F.concat(F.lit(f"{SCHEDULE} "), F.col("_kind")),
         }
     ).select(*ts.columns)
+
+
+def aggregate_schedules(ts, eio, zone_map, how="mean", weights=None):
+    """``aggregate_zones`` of ``equipment_schedules``, without a row for each zone.
+
+    All zones that share a schedule share its values.  So the zones are first
+    counted, and their weights summed, per schedule, equipment and aggregation
+    zone; a series row is joined once with each of these, however many zones
+    there are, and counts as often as they say.
+    """
+    modes = modes_of(how, weights)
+    users = with_aggregation_zone(
+        schedule_users(eio).withColumnRenamed("_zone", "zonename"), weighted_map(zone_map, weights, modes)
+    )
+    kinds = [WEIGHTED[m] for m in modes if m in WEIGHTED]
+    shares = checkpointed(
+        users.groupBy("buildingid", "schedulename", "_kind", "aggregation_zone").agg(
+            F.count(F.lit(1)).alias("_zones"), *[F.sum(k).alias(k) for k in kinds]
+        )
+    )
+    rows = lookup_join(
+        schedule_series(ts), shares, ["buildingid", "schedulename"], "inner", spread=["datetime"]
+    )
+    value = F.col("value").cast("double")
+    counted = {"mean": weighted_mean(value, F.col("_zones")), "sum": F.sum(value * F.col("_zones"))}
+    results = [
+        (counted[m] if m in counted else combined(m, value)).alias("value" if isinstance(how, str) else m)
+        for m in modes
+    ]
+    variable = F.concat(F.lit(f"{SCHEDULE} "), F.col("_kind")).alias("variablename")
+    series = rows.groupBy("buildingid", "aggregation_zone", variable, "datetime").agg(*results)
+    return series.select("buildingid", zone_label(), "variablename", "datetime", *series.columns[4:])

@@ -22,31 +22,27 @@ def match_weather(models, weather, on_kind=True):
     """Each model with every weather file whose path contains its location.
 
     ``models`` has ``location`` (and ``kind``), ``weather`` has
-    ``weather_path`` (and ``kind``).  Instead of testing all pairs, each path
-    is cut into its substrings of the lengths that occur, and those are joined
-    with the distinct locations by equality.  Locations are plain words, so
-    this equals a pattern search.  Locations and pairs are
+    ``weather_path`` (and ``kind``).  Instead of testing all pairs, the distinct
+    locations are keyed by their first letters, as many as the shortest of them
+    has.  Each path gives its different grams of that one length, no more than
+    it has letters; those are joined with the keys by equality and the whole
+    location is tested after that.  Locations are plain words, so this equals a
+    pattern search; an empty one is in every path.  Locations and pairs are
     small and used more than once, so each is stored.
     """
-    on = ["kind", "location"] if on_kind else ["location"]
-    locations = checkpointed(models.select(*on).filter(F.col("location").isNotNull()).distinct())
-    shortest, longest = locations.agg(
-        F.min(F.length("location")), F.max(F.length("location"))
-    ).first()
-    if shortest is None:
-        shortest = longest = 0
+    on = ["kind"] if on_kind else []
+    length = F.length("location")
+    locations = checkpointed(models.select(*on, "location").filter(F.col("location").isNotNull()).distinct())
+    n = locations.agg(F.min(F.when(length > 0, length))).first()[0] or 1
+    keyed = locations.withColumn("_gram", F.substring("location", 1, n))
     path = F.col("weather_path")
-    kind = ["kind"] if on_kind else []
-    words = (
-        weather.select(*kind, "weather_path")
-        .distinct()
-        .select("*", F.explode(F.sequence(F.lit(1), F.greatest(F.length(path), F.lit(1)))).alias("at"))
-        .select("*", F.explode(F.sequence(F.lit(shortest), F.lit(longest))).alias("n"))
-        .select(*kind, "weather_path", F.substring(path, F.col("at"), F.col("n")).alias("location"))
-    )
-    # a word may stand in a path more than once
-    pairs = checkpointed(lookup_join(words, locations, on, "inner").distinct())
-    return lookup_join(models, pairs, on, "inner")
+    starts = F.sequence(F.lit(1), F.greatest(F.length(path) - n + 1, F.lit(1)))
+    grams = F.transform(starts, lambda at: F.substring(path, at, F.lit(n)))
+    grams = F.array_union(grams, F.array(F.lit("")))
+    paths = weather.select(*on, "weather_path").distinct().withColumn("_gram", F.explode(grams))
+    # A location has one key and a path each gram once, so a pair comes up once.
+    pairs = lookup_join(paths, keyed, [*on, "_gram"], "inner").filter(F.contains(path, F.col("location")))
+    return lookup_join(models, checkpointed(pairs.drop("_gram")), [*on, "location"], "inner")
 
 
 def manifest_rows(matched, results_root):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import with_building_attributes
 from ..functions.scalars import basename
-from ..operators.aggregate import aggregate_zones
+from ..operators.aggregate import combined, modes_of, weighted_map
 from ..operators.joins import lookup_join, plain_key
 from ..operators.loading import (
     after_watermark,
@@ -45,7 +45,6 @@ from ..operators.reshape import (
     good_rows,
     header_columns,
     parsed_cells,
-    pivot_variables,
     rejected_files,
     rejected_lines,
     split_output_lines,
@@ -312,19 +311,30 @@ def build_training_set(
     """One row per time for one aggregation zone, one column per variable.
 
     Series of the zone's members are aggregated; series that belong to no
-    schedule, zone, surface or node are taken as they are.
+    schedule, zone, surface or node are taken as they are (the largest value, if
+    one has several at a time).  Both come from one conditional aggregate.  A
+    variable of both kinds shows the zone's value where it has one.
     """
     rows = retrieve_rows(facts, buildingid, start, end)
-    columns = ["buildingid", "variablename", "datetime", "value"]
-    of_zone = zone_map.filter(F.col("aggregation_zone") == zone)
-    zonal = aggregate_zones(rows, of_zone, how, weights).select(*columns)
-    general = rows
+    modes = modes_of([how], weights)
+    members = zone_map.filter(F.col("aggregation_zone") == zone).withColumn("_member", F.lit(True))
+    general = F.lit(True)
     for name in SUBVARIABLE_COLUMNS:
-        general = general.filter(F.col(name) == NA)
-    general = general.withColumn("value", F.col("value").cast("double")).select(*columns)
-    return pivot_variables(
-        zonal.unionByName(general), ["buildingid", "datetime"], variables
-    )
+        general = general & (F.col(name) == NA)
+    rows = lookup_join(
+        rows.filter((F.col("zonename") != NA) | general),
+        weighted_map(members, weights, modes).drop("aggregation_zone"),
+        ["buildingid", "zonename"],
+        "left",
+        spread=["datetime"],
+    ).filter(F.col("_member") | general)
+
+    def column(variable):
+        value = F.when(F.col("variablename") == variable, F.col("value").cast("double"))
+        zonal = combined(how, F.when(F.col("_member"), value))
+        return F.coalesce(zonal, F.max(F.when(general, value))).alias(variable)
+
+    return rows.groupBy("buildingid", "datetime").agg(*[column(v) for v in variables])
 
 
 __all__ = [

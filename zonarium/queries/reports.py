@@ -224,6 +224,17 @@ def q_equipment_levels(spark, sf_dir):
     )
 
 
+def _schedule_report(spark, sf_dir):
+    """Report rows whose schedule "S<n>" is named like the series, "Z<n>"."""
+    return _report(spark, sf_dir).withColumn(
+        "stringvalue",
+        F.when(
+            F.col("variablename") == "Schedule Name",
+            F.concat(F.lit("Z"), F.substring("stringvalue", F.lit(2), F.length("stringvalue"))),
+        ).otherwise(F.col("stringvalue")),
+    )
+
+
 _SCHEDULE_SQL = f"(SELECT * FROM {s.FACTS_SQL} WHERE variablename = 'Schedule Value')"
 _USERS_SQL = f"""(
     SELECT DISTINCT buildingid, 'Z' || substr(stringvalue, 2) AS schedulename, zonename AS zone,
@@ -237,14 +248,37 @@ _USERS_SQL = f"""(
            zone AS zonename, datetime, value
     FROM {_SCHEDULE_SQL} f JOIN {_USERS_SQL} u USING (buildingid, schedulename)""")
 def q_equipment_schedules(spark, sf_dir):
-    # schedule "S<n>" of the report is series "Z<n>"
-    report = _report(spark, sf_dir).withColumn(
-        "stringvalue",
-        F.when(
-            F.col("variablename") == "Schedule Name",
-            F.concat(F.lit("Z"), F.substring("stringvalue", F.lit(2), F.length("stringvalue"))),
-        ).otherwise(F.col("stringvalue")),
-    )
-    return aggregate.equipment_schedules(s.facts(spark, sf_dir), report).select(
+    return aggregate.equipment_schedules(s.facts(spark, sf_dir), _schedule_report(spark, sf_dir)).select(
         "timeseriesdataid", "buildingid", "variablename", "schedulename", "zonename", "datetime", "value"
     )
+
+
+# Sizes of the zones that use a schedule; a zone of several parts has the largest.
+_AREAS_SQL = f"""(
+    SELECT CAST(p_size AS BIGINT) AS buildingid, p_name AS zone,
+           CAST(max(CAST(p_retailprice AS FLOAT)) AS DOUBLE) AS area
+    FROM part WHERE {s.SECTION_SQL} = 'Zone Information' GROUP BY ALL)"""
+
+
+@query(f"""
+    SELECT f.buildingid, 'Aggregation_Zone_' || aggregation_zone AS zonename,
+           'Schedule Value ' || kind AS variablename, datetime, round(avg(value), 8) AS mean,
+           round(sum(value), 6) AS sum, min(value) AS min, max(value) AS max,
+           round(sum(value * area) / sum(area), 6) AS area_weighted
+    FROM {_SCHEDULE_SQL} f JOIN {_USERS_SQL} u USING (buildingid, schedulename)
+         JOIN (SELECT buildingid, zonename AS zone, aggregation_zone FROM {_MAP_SQL}) USING (buildingid, zone)
+         LEFT JOIN {_AREAS_SQL} USING (buildingid, zone)
+    GROUP BY ALL""")
+def q_schedule_aggregate(spark, sf_dir):
+    """Schedules rolled up into aggregation zones, each counted as often as zones use it."""
+    report = _schedule_report(spark, sf_dir)
+    out = aggregate.aggregate_schedules(
+        s.facts(spark, sf_dir),
+        report,
+        _part_zone_map(spark, sf_dir),
+        ["mean", "sum", "min", "max", "area_weighted"],
+        aggregate.zone_weights(report),
+    )
+    return out.withColumns(
+        {"mean": F.round("mean", 8), "sum": F.round("sum", 6), "area_weighted": F.round("area_weighted", 6)}
+    )

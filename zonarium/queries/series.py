@@ -438,6 +438,25 @@ def q_zone_pivot(spark, sf_dir):
     )
 
 
+@query(f"""
+    SELECT buildingid, {_LABEL_SQL} AS zonename, datetime,
+           {", ".join(f"round(sum(value * {_WEIGHT}) FILTER (variablename = 'Zone {t}') / sum({_WEIGHT}) FILTER (variablename = 'Zone {t}'), 6) AS {t}" for t in _TYPES)}
+    FROM {s.DAILY_SQL} JOIN {s.ZONE_MAP_SQL} USING (buildingid, zonename)
+         JOIN {_SIZES_SQL} USING (buildingid, zonename) GROUP BY ALL""")
+def q_zone_weighted_pivot(spark, sf_dir):
+    """Weighted zone means with one column per variable, in one shuffle of the series."""
+    wide = aggregate.aggregate_zone_table(
+        s.daily_zone_series(spark, sf_dir),
+        s.zone_map(spark, sf_dir),
+        [f"Zone {t}" for t in _TYPES],
+        "area_weighted",
+        weights=aggregate.zone_weights(_sizes(spark, sf_dir)),
+    )
+    return wide.select(
+        "buildingid", "zonename", "datetime", *[F.round(F.col(f"Zone {t}"), 6).alias(t) for t in _TYPES]
+    )
+
+
 @query(f"""
     SELECT buildingid, datetime,
            max(value) FILTER (variablename = 'Zone Mean Air Temperature') AS zone_temperature,
