@@ -62,6 +62,7 @@ from ..schemas import (
 )
 from ..session import checkpointed, written
 from ..sources.files import (
+    decoded,
     list_models,
     list_weather,
     model_heating,
@@ -72,7 +73,7 @@ from ..sources.files import (
     with_run_name,
     write_manifest,
 )
-from ..sources.folders import any_path
+from ..sources.inventory import MODELS, OUTPUTS, REPORTS, files_found, files_to_read, lines_of, note_files
 from ..sources.tables import (
     add_buildings,
     add_rejected,
@@ -215,20 +216,39 @@ def local_path(path):
 def register_buildings(spark, root, manifest, models_root):
     """Give every run of the manifest its building; returns ``run`` and ``buildingid``.
 
-    Only the models that the manifest names are read.
+    Only the models that the manifest names are read, and of those only new or
+    changed ones: a run whose building is stored keeps it while its model is as
+    it was.
     """
-    names = manifest.select(basename(F.col("IDF Filepath")).alias("name"))
-    heating = model_heating(spark, models_root, listed(names, "name")).select(
+    runs = checkpointed(
+        manifest.select(
+            local_path(F.col("IDF Filepath")).alias("IDF Filepath"),
+            MANIFEST_KEY,
+            F.col("BuildingID").try_cast("long").alias("buildingid"),
+        ).dropDuplicates([MANIFEST_KEY])
+    )
+    names = runs.select(basename(F.col("IDF Filepath")).alias("name"))
+    pattern = listed(names, "name")
+    found = files_found(spark, models_root, pattern if pattern != "*" else "*.idf")
+    models = files_to_read(spark, root, MODELS, found)
+    changed = models.select(local_path(decoded(F.col("file"))).alias("IDF Filepath"))
+    stored = read_table(spark, root, "buildingids").select("buildingid")
+    kept = lookup_join(lookup_join(runs, stored, "buildingid", "left_semi"), changed, "IDF Filepath", "left_anti")
+    kept = checkpointed(kept.select(run_of_folder().alias("run"), MANIFEST_KEY, "buildingid"))
+    others = checkpointed(lookup_join(runs.drop("buildingid"), kept.select(MANIFEST_KEY), MANIFEST_KEY, "left_anti"))
+    if others.isEmpty():
+        return kept
+    names = listed(others.select(basename(F.col("IDF Filepath")).alias("name")), "name")
+    heating = model_heating(spark, models_root, names).select(
         local_path(F.col("file")).alias("IDF Filepath"), "heating"
     )
-    runs = manifest.select(
-        local_path(F.col("IDF Filepath")).alias("IDF Filepath"), MANIFEST_KEY
-    ).dropDuplicates([MANIFEST_KEY])
     described = with_building_attributes(
-        lookup_join(runs, heating, "IDF Filepath", "left"), MANIFEST_KEY, "heating"
+        lookup_join(others, heating, "IDF Filepath", "left"), MANIFEST_KEY, "heating"
     ).withColumn("run", run_of_folder())
-    numbered = add_buildings(spark, described, root)
-    return checkpointed(numbered.select("run", MANIFEST_KEY, "buildingid"))
+    numbered = add_buildings(spark, described, root).select("run", MANIFEST_KEY, "buildingid")
+    numbered = checkpointed(numbered)
+    note_files(models, root, MODELS)
+    return kept.unionByName(numbered)
 
 
 # Run folders are named in the path up to this many.
@@ -263,8 +283,9 @@ def load_all(
 
     Buildings get their ids, series and reports are loaded, and the manifest
     is written back with ids and states.  Only the folders and models of those
-    runs are read; folders that are not there yet are no error, and a run
-    without results stays ``Incomplete``.  A run whose state is ``Uploaded`` is never read again; this job
+    runs are looked at, and of their files only those are read that are new or changed
+    since a load that was as thorough (see ``sources.inventory``); folders that are not there yet are no
+    error, and a run without results stays ``Incomplete``.  A run whose state is ``Uploaded`` is never read again; this job
     leaves that state to its user and writes ``Complete``, as such a run may
     grow.  ``skip_completed=False`` takes the new lines of grown files.
     """
@@ -283,11 +304,18 @@ def load_all(
     runs = buildings.select("run", "buildingid")
     folders = run_folders(runs)
     outputs = f"{results_root}/{folders}/TimeSeriesData/*.csv"
-    if any_path(spark, outputs):
-        load_outputs(spark, root, read_output_lines(spark, outputs), runs, year, timeresolution, mode, skip_completed)
+    thorough = {"late": mode == DEDUPE, "completed": not skip_completed, "settings": f"{year} {timeresolution}"}
+    changed = files_to_read(spark, root, OUTPUTS, files_found(spark, outputs), **thorough)
+    if not changed.isEmpty():
+        lines = lines_of(read_output_lines, spark, outputs, changed)
+        load_outputs(spark, root, lines, runs, year, timeresolution, mode, skip_completed)
+        note_files(changed, root, OUTPUTS, **thorough)
     reports = f"{results_root}/{folders}/OutputFiles/*.eio"
-    if with_reports and any_path(spark, reports):
-        load_eio(spark, root, read_eio(spark, reports), runs)
+    if with_reports:
+        changed = files_to_read(spark, root, REPORTS, files_found(spark, reports))
+        if not changed.isEmpty():
+            load_eio(spark, root, lines_of(read_eio, spark, reports, changed), runs)
+            note_files(changed, root, REPORTS)
 
     states = building_status(read_table(spark, root, "ledger")).filter(
         F.col("building_status") == COMPLETE

@@ -61,14 +61,19 @@ def _line_no():
     ).alias("line_no")
 
 
-def read_output_lines(spark, path):
-    """Lines of wide output files: ``value``, ``file`` and ``line_no``.
+def _of_files(scan, only):
+    """Rows of some files of a scan, given by their paths as the scan writes them; others are not opened."""
+    return scan if only is None else scan.filter(F.col("_metadata.file_path").isin(list(only)))
+
+
+def read_output_lines(spark, path, only=None):
+    """Lines of wide output files: ``value``, ``file`` and ``line_no``; ``only`` names the files to read.
 
     Each file has its own header, so the files are read as text; big files are
     split like any text file.  ``line_no`` orders the lines of one file, also
     over its splits.
     """
-    lines = spark.read.format("text").load(path)
+    lines = _of_files(spark.read.format("text").load(path), only)
     return lines.select("value", F.col("_metadata.file_path").alias("file"), _line_no())
 
 
@@ -93,8 +98,8 @@ def read_output_frame(spark, path, columns, value_type="double"):
     return spark.read.csv(path, schema=", ".join(fields), header=True)
 
 
-def read_eio(spark, path):
-    """Lines of report files without the first line of each file.
+def read_eio(spark, path, only=None):
+    """Lines of report files without the first line of each file; ``only`` names the files to read.
 
     ``line_no`` orders the lines of one file, also when the file is read in
     several splits.
@@ -106,7 +111,8 @@ def read_eio(spark, path):
         .option("sep", _NO_SEPARATOR)
         .option("quote", "")
     )
-    return reader.load(path).select("value", F.col("_metadata.file_path").alias("file"), _line_no())
+    lines = _of_files(reader.load(path), only)
+    return lines.select("value", F.col("_metadata.file_path").alias("file"), _line_no())
 
 
 def with_run_name(rows):

@@ -18,6 +18,7 @@ from ..schemas import (
     TIMESERIES_KEY,
 )
 from ..session import checkpointed
+from . import inventory
 from .folders import folders_in, note_of, remove_folder, replace_folder, settle
 
 SCHEMAS = {
@@ -38,6 +39,13 @@ LOG_BATCHES = 64
 PARTITIONED = {"timeseriesdata": ["buildingid"], "eiotabledata": ["buildingid"]}
 ID_COLUMN = {"timeseriesdata": "timeseriesdataid", "eiotabledata": "eiotabledataid"}
 KEY_COLUMNS = {"timeseriesdata": TIMESERIES_KEY, "eiotabledata": EIO_KEY}
+# Files whose content was stored in a table, or marked there as loaded.
+FILES_OF = {
+    "timeseriesdata": inventory.OUTPUTS,
+    "ledger": inventory.OUTPUTS,
+    "eiotabledata": inventory.REPORTS,
+    "buildingids": inventory.MODELS,
+}
 # Order of the rows inside a file, so that row groups can be skipped.
 ROW_ORDER = {
     "timeseriesdata": ["buildingid", "variablename", "datetime"],
@@ -95,8 +103,9 @@ def truncate_table(spark, root, name):
     """Remove all rows of a table.
 
     Ids start over by themselves: fact ids are hashes, and building ids follow
-    the largest one stored.
+    the largest one stored.  The files that filled the table are read again.
     """
+    inventory.forget_files(spark, root, FILES_OF[name])
     empty = spark.createDataFrame([], SCHEMAS[name])
     if name in REPLACED:
         replace_table(empty, root, name)
