@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from zonarium.llm import fingerprint as fp
 
@@ -15,6 +16,31 @@ def test_chunks_partition_the_text():
         assert all(s >= fp.LEAST for s in sizes[:-1])
 
 
+def plain_ends(data):
+    """Boundaries found byte by byte with a running gear hash."""
+    ends, start, value = [], 0, 0
+    for i, byte in enumerate(data):
+        value = ((value << 1) + int(fp.GEAR[byte])) & 0xFFFFFFFF
+        size = i - start + 1
+        zeros = fp.BITS_BEFORE if size < fp.NORMAL else fp.BITS_AFTER
+        found = size >= fp.LEAST and value >> (32 - zeros) == 0
+        if found or size == fp.MOST or i == len(data) - 1:
+            ends.append(i + 1)
+            start = i + 1
+    return ends
+
+
+def test_boundaries_equal_those_found_byte_by_byte():
+    draw = random.Random(3)
+    for n in (0, 1, 15, 16, 17, 47, 48, 49, 191, 192, 193, 5000):
+        for letters in (b"a", b"ab", bytes(range(256))):
+            for _ in range(5):
+                data = bytes(draw.choice(letters) for _ in range(n))
+                assert fp.chunks(data) == plain_ends(data)
+    for text in (LONG, "aaaa" * 500, "é" * 300):
+        assert fp.chunks(text.encode()) == plain_ends(text.encode())
+
+
 def test_shifted_text_keeps_its_chunks():
     own = fp.chunk_set(LONG)
     assert fp.likeness(own, fp.chunk_set("a few words before it " + LONG)) > 0.98

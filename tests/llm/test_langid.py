@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from zonarium.llm import langid
@@ -72,3 +73,39 @@ def test_small_memory_gives_the_same():
     small, large = langid.Scorer(model, memo_words=2), langid.Scorer(model)
     for text in texts:
         assert abs(small.text_sums(text) - large.text_sums(text)).max() < 1e-9
+
+
+def plain_prediction(model, text):
+    """(language, score, rejected) from one subword at a time."""
+    letters = set(b"abcdefghijklmnopqrstuvwxyz<>") | set(range(128, 256))
+    sums, n = np.zeros(len(model.languages)), 0
+    for word in text.lower().encode().split():
+        word = b"<" + word.replace(b"<", b" ").replace(b">", b" ") + b">"
+        for size in langid.SIZES:
+            for start in range(len(word) - size + 1):
+                part = word[start : start + size]
+                if set(part) <= letters:
+                    value = 0
+                    for byte in part:
+                        value = (value * 0x100000001B3 & (1 << 64) - 1) ^ (byte + 1)
+                    sums += model.table[(value * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 48]
+                    n += 1
+    scores = (sums / max(n, 1) + model.bias) / model.temperature
+    p = np.exp(scores - scores.max())
+    p /= p.sum()
+    top = max(range(len(p)), key=lambda k: (p[k], -k))
+    return model.languages[top], p[top], p[top] < model.threshold
+
+
+def test_predictions_equal_those_of_a_plain_scorer(make):
+    rows, _, docs = documents(make)
+    model = langid.fit(docs, F.lit(True))
+    texts = [t for _, t, *_ in rows[:60]]
+    texts += ["Ünd <b>DER</b> x1y2 die", "a", "the\x00house\x1fin 東京 дом", "word" * 3000, " ".join(texts), "ß ß ß", "a<b>c"] + [texts[0]] * 3
+    made = make([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.predict(made, model).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        lang, score, rejected = plain_prediction(model, text)
+        assert (got[i].lang_pred, got[i].rejected) == (lang, rejected), text[:40]
+        assert abs(got[i].score - score) < 1e-9

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from zonarium.llm import packing
@@ -32,13 +34,65 @@ def test_pieces_cover_documents_and_bins_hold(make):
             assert capacity in packing.CAPACITIES and ends[-1] <= capacity and all(c < ends[-1] for c in smaller)
 
 
-def test_best_fit_by_hand():
-    placed = packing.pack([6, 5, 4, 3, 2], (4, 8, 10))
-    fill = {}
-    for n, (at, start, size) in zip([6, 5, 4, 3, 2], placed):
-        fill[at] = fill.get(at, 0) + n
-        assert start + n <= size
-    assert sum(fill.values()) == 20
+def plain_best_fit(lengths, capacities):
+    """Best fit with a look at every open bin: of equally tight ones the one that became so last."""
+    bins, clock = [], 0
+    placed = []
+    for k, n in enumerate(lengths):
+        open_bins = [(b["room"], -b["since"], at) for at, b in enumerate(bins) if b["room"] >= n]
+        if open_bins:
+            at = min(open_bins)[2]
+        else:
+            shorter = sum(lengths[k + 1 :])
+            room = min(
+                (c for c in sorted(capacities) if c >= n),
+                key=lambda c: packing.bin_cost(c) / min(c, n + shorter),
+            )
+            bins.append({"room": room, "used": 0})
+            at = len(bins) - 1
+        placed.append((at, bins[at]["used"]))
+        clock += 1
+        bins[at] = {"room": bins[at]["room"] - n, "used": bins[at]["used"] + n, "since": clock}
+    return [(at, start, min(c for c in capacities if c >= bins[at]["used"])) for at, start in placed]
+
+
+def test_every_placement_equals_a_plain_best_fit():
+    draw = random.Random(5)
+    for capacities in ((512, 1024, 2048, 4096), (4, 8, 10), (7,), (16, 64)):
+        for size in (0, 1, 2, 5, 60, 400):
+            for _ in range(8):
+                top = max(capacities)
+                lengths = sorted((draw.randint(1, draw.choice((top, max(1, top // 5)))) for _ in range(size)), reverse=True)
+                assert packing.pack(lengths, capacities) == plain_best_fit(lengths, capacities)
+
+
+def least_cost(lengths, capacities):
+    """Least cost of all ways to share pieces out to bins."""
+    best = float("inf")
+
+    def place(k, fills):
+        nonlocal best
+        if k == len(lengths):
+            best = min(best, sum(packing.bin_cost(min(c for c in capacities if c >= f)) for f in fills))
+            return
+        for at in range(len(fills) + 1):
+            more = fills[:at] + [(fills[at] if at < len(fills) else 0) + lengths[k]] + fills[at + 1 :]
+            if more[at] <= max(capacities):
+                place(k + 1, more)
+
+    place(0, [])
+    return best
+
+
+def test_cost_is_close_to_the_least():
+    draw = random.Random(6)
+    ratios = []
+    for _ in range(60):
+        lengths = sorted((draw.randint(1, 4096) for _ in range(draw.randint(1, 7))), reverse=True)
+        placed = packing.pack(lengths)
+        cost = sum(packing.bin_cost(size) for size in {at: size for at, _, size in placed}.values())
+        ratios.append(cost / least_cost(lengths, packing.CAPACITIES))
+    assert min(ratios) >= 1 - 1e-9 and max(ratios) <= 1.6 and sum(ratios) / len(ratios) <= 1.15
 
 
 def test_word_count(make):
