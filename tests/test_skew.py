@@ -76,3 +76,37 @@ def test_copies_of_one_row(spark):
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan
     assert row_ops.minus_existing(batch, same).count() == 100
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_a_key_with_half_the_rows(spark, how):
+    hot = F.col("id") % 2 == 0
+    # The types of the keys differ, and some keys are missing on either side.
+    big = spark.range(N).select(
+        F.when(hot, F.lit(7)).when(F.col("id") % 101 != 0, (F.col("id") % 5000).cast("int")).alias("k"), F.col("id").alias("v")
+    )
+    small = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    small = small.unionByName(spark.createDataFrame([(None, 1), (1 << 40, 1)], "k long, w long"))
+    plain = big.join(small, "k", how)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        joined = joins.lookup_join(big, small, "k", how, max_bytes=0)
+        assert joined.columns == plain.columns
+        assert rows(joined) == rows(plain)
+        if how != "left_anti":
+            parts = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert max(parts) < N / 10
+    finally:
+        for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_only_hot_keys_are_spread(spark):
+    big = spark.range(N).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 9999).alias("k"))
+    (key, pieces), = joins.hot_keys(big, ["k"])
+    assert key == spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).first()[0]
+    assert abs(pieces - 0.5 / joins.HOT_SHARE) <= 2
+    assert joins.hot_keys(big.limit(0), ["k"]) == []
