@@ -142,10 +142,14 @@ def read_rejected(spark, root, name):
 
 
 def add_rejected(df, root, name):
-    """Add rejected lines that are not stored yet, each once."""
+    """Add rejected lines that are not stored yet, each once; compared with those of the same files."""
     spark = df.sparkSession
     existing = read_rejected(spark, root, name)
-    fresh = checkpointed(minus_existing(df.select(*existing.columns), existing, keep_copies=False))
+    batch = checkpointed(df.select(*existing.columns))
+    if batch.isEmpty():
+        return
+    same = lookup_join(existing, batch.select("file").distinct(), "file", "left_semi")
+    fresh = checkpointed(minus_existing(batch, same, keep_copies=False))
     if not fresh.isEmpty():
         fresh.write.mode("append").parquet(f"{root.rstrip('/')}/{name}")
 
