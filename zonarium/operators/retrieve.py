@@ -33,13 +33,7 @@ def retrieve_timeseries(
         columns.append(subvariabletype)
     columns += ["datetime", "value"]
 
-    out = facts
-    if buildingid:
-        out = out.filter(F.col("buildingid") == buildingid)
-    if start:
-        out = out.filter(F.col("datetime") >= F.lit(start).cast("timestamp_ntz"))
-    if end:
-        out = out.filter(F.col("datetime") <= F.lit(end).cast("timestamp_ntz"))
+    out = retrieve_rows(facts, buildingid, start, end)
     if timeresolution:
         out = out.filter(F.col("timeresolution") == timeresolution)
     if variable:

@@ -173,8 +173,7 @@ def q_column_names(spark, sf_dir):
     root = scratch_path(spark, "names")
     headers, body = files.read_output_csv(spark, _write_outputs(spark, sf_dir, root))
     files.write_column_names(headers, f"{root}/names")
-    used = body.agg((F.count(F.lit(1)) > 0).alias("used"))
-    return spark.read.text(f"{root}/names").join(F.broadcast(used))
+    return spark.read.text(f"{root}/names").withColumn("used", F.lit(not body.isEmpty()))
 
 
 def _faulty_lines(spark, sf_dir):
@@ -398,7 +397,7 @@ def _write_reports(spark, sf_dir, root):
     intro = lines.select("folder").distinct().select(
         "folder", F.lit(-9).cast("long").alias("line_no"), F.lit("Zone Information,intro").alias("value")
     )
-    # range partitioned, so that a run's lines stay in order in few files
+    # a run's report is one file in the order of its lines, whose first line is an introduction
     ordered = lines.unionByName(intro).repartition("folder").sortWithinPartitions("folder", "line_no")
     ordered.select("folder", "value").write.partitionBy("folder").text(root)
 
