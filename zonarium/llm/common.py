@@ -1,7 +1,5 @@
 """Helpers the operators of this subpackage share."""
 
-import zlib
-
 from pyspark.sql import functions as F
 
 from zonarium.session import scratch_path
@@ -35,8 +33,3 @@ def text_or_empty(column):
 def blocks_of(rows, per_block, least=1):
     """Number of blocks that hold ``per_block`` rows each."""
     return max(least, -(-int(rows) // per_block))
-
-
-def mix64(value):
-    """Python-side 64-bit mix of an integer, for seeds."""
-    return zlib.crc32(str(value).encode()) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
