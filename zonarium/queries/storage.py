@@ -53,6 +53,30 @@ def q_fact_ids(spark, sf_dir):
     )
 
 
+@query(f"""
+    SELECT buildingid, datetime, timeresolution, variablename, schedulename, zonename, surfacename, systemnodename, value,
+           count(*) AS n_before, count(*) AS n_after, 'fewer' AS files
+    FROM ({_FLOAT_FACTS}) GROUP BY ALL""")
+def q_compacted(spark, sf_dir):
+    """Facts appended in three loads: rows and files before and after the folders are merged."""
+    root = scratch_path(spark, "compacted")
+    tables.ensure_tables(spark, root)
+    facts = s.facts(spark, sf_dir)
+    load = F.pmod(F.xxhash64(*s.FACT_COLUMNS), F.lit(3))
+    for n in range(3):
+        tables.append_rows(facts.filter(load == n), root, "timeseriesdata")
+    columns = ["buildingid", *[c for c in s.FACT_COLUMNS if c != "buildingid"]]
+    before = tables.read_table(spark, root, "timeseriesdata")
+    tables.compact_table(spark, root, "timeseriesdata")
+    after = tables.read_table(spark, root, "timeseriesdata")
+    both = before.withColumn("side", F.lit(0)).unionByName(after.withColumn("side", F.lit(1)))
+    rows = _as_double(both).groupBy(*columns).agg(
+        F.count(F.when(F.col("side") == 0, 1)).alias("n_before"), F.count(F.when(F.col("side") == 1, 1)).alias("n_after")
+    )
+    n_files = [frame.select("buildingid", "_metadata.file_path").distinct().groupBy().count().first()[0] for frame in (before, after)]
+    return rows.withColumn("files", F.lit("fewer" if n_files[1] < n_files[0] else "not fewer"))
+
+
 _NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 

@@ -70,3 +70,9 @@ def folders_in(spark, path, prefix):
 def remove_folder(spark, path):
     fs, at = _at(spark, path)
     fs.delete(at, True)
+
+
+def size_of(spark, path):
+    """Bytes of all files below ``path``."""
+    fs, at = _at(spark, path)
+    return fs.getContentSummary(at).getLength()

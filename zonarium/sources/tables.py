@@ -2,6 +2,7 @@
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.ids import row_id, serial_ids
 from ..operators.joins import lookup_join
@@ -19,7 +20,7 @@ from ..schemas import (
 )
 from ..session import checkpointed
 from . import inventory
-from .folders import folders_in, note_of, remove_folder, replace_folder, settle
+from .folders import any_path, folders_in, note_of, remove_folder, replace_folder, settle, size_of
 
 SCHEMAS = {
     "buildingids": BUILDINGS,
@@ -37,6 +38,10 @@ REPLACED = {"ledger"}
 # Changes in the log, from which on it is folded into a new snapshot.
 LOG_BATCHES = 64
 PARTITIONED = {"timeseriesdata": ["buildingid"], "eiotabledata": ["buildingid"]}
+# Folders of a fact table of about one size, from which on they are merged into one.
+MERGE_FOLDERS = 8
+# A folder up to this size is of the lowest class; each further class is ``MERGE_FOLDERS`` times larger.
+SMALL_FOLDER_BYTES = 256 << 20
 ID_COLUMN = {"timeseriesdata": "timeseriesdataid", "eiotabledata": "eiotabledataid"}
 KEY_COLUMNS = {"timeseriesdata": TIMESERIES_KEY, "eiotabledata": EIO_KEY}
 # Files whose content was stored in a table, or marked there as loaded.
@@ -63,6 +68,8 @@ def read_table(spark, root, name):
     """Rows of a table, with its fixed schema."""
     if name in REPLACED:
         return _ledger(spark, root)[0]
+    if name in PARTITIONED:
+        return _read_folders(spark, root, name, _live(_folders(spark, root, name)))
     return spark.read.schema(SCHEMAS[name]).parquet(table_path(root, name))
 
 
@@ -83,6 +90,9 @@ def path_state(spark, path, schema=None):
 
 def table_state(spark, root, name):
     """(exists, is_empty) of a table."""
+    if name in PARTITIONED:
+        exists = any_path(spark, table_path(root, name))
+        return exists, read_table(spark, root, name).isEmpty() if exists else None
     if name in REPLACED:
         settle(spark, table_path(root, name))
     state = path_state(spark, table_path(root, name), SCHEMAS[name])
@@ -113,27 +123,114 @@ def truncate_table(spark, root, name):
         empty.write.mode("overwrite").parquet(table_path(root, name))
 
 
-def append_rows(df, root, name):
-    """Append rows to a fact table, columns matched by name, ids filled in.
+def _folder(first, last):
+    return f"rows={first:012d}_{last:012d}"
+
+
+def _folders(spark, root, name):
+    """(first, last) of the completely written folders of a fact table, each the appends it holds."""
+    names = folders_in(spark, table_path(root, name), "rows=")
+    return [tuple(int(n) for n in found.partition("=")[2].split("_")) for found in names]
+
+
+def _live(folders):
+    """The folders whose appends stand in no larger one, in order."""
+    covered = {(a, b) for a, b in folders for c, d in folders if c <= a and b <= d and (a, b) != (c, d)}
+    return sorted(set(folders) - covered)
+
 
-    Rows are rebalanced by building, so a building is written by few tasks
-    while one that holds much of the batch is still split.  The files appear
-    when the whole write is committed; a failed load can be run again, as
-    loading skips the rows that are stored.
+def _read_folders(spark, root, name, folders):
+    schema, path = SCHEMAS[name], table_path(root, name)
+    if not folders:
+        if any_path(spark, f"{path}/{PARTITIONED[name][0]}=*"):
+            raise ValueError(f"{path} has the layout of an earlier version: load it again")
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(StructType([*schema, StructField("rows", StringType())]))
+    return reader.option("basePath", path).parquet(*[f"{path}/{_folder(*f)}" for f in folders]).select(*schema.fieldNames())
+
+
+def _write_folder(rows, root, name, first, last):
+    """Write rows to a folder that counts once it is complete.
+
+    They are rebalanced by building, so a building is written by few tasks
+    while one that holds much of the rows is still split.
     """
-    schema = SCHEMAS[name]
-    columns = [F.col(f.name).cast(f.dataType) for f in schema if f.name != ID_COLUMN[name]]
-    rows = df.select(*columns).withColumn(ID_COLUMN[name], row_id(KEY_COLUMNS[name]))
     (
-        rows.select(*schema.fieldNames())
+        rows.select(*SCHEMAS[name].fieldNames())
         .hint("rebalance", *PARTITIONED[name])
         .sortWithinPartitions(*ROW_ORDER[name])
-        .write.mode("append")
+        .write.mode("overwrite")
         .partitionBy(*PARTITIONED[name])
-        .parquet(table_path(root, name))
+        .parquet(f"{table_path(root, name)}/{_folder(first, last)}")
     )
 
 
+def append_rows(df, root, name):
+    """Append rows to a fact table, columns matched by name, ids filled in.
+
+    They go to a folder of their own, so a load that breaks off adds nothing.
+    One load at a time may change a table.  Small folders are merged from time
+    to time (``merge_small``).
+    """
+    spark, schema = df.sparkSession, SCHEMAS[name]
+    columns = [F.col(f.name).cast(f.dataType) for f in schema if f.name != ID_COLUMN[name]]
+    rows = df.select(*columns).withColumn(ID_COLUMN[name], row_id(KEY_COLUMNS[name]))
+    number = max((last for _, last in _folders(spark, root, name)), default=0) + 1
+    _write_folder(rows, root, name, number, number)
+    merge_small(spark, root, name)
+
+
+def small_folders(sizes, least=None, small=None):
+    """How many of the newest folders to merge, by their sizes in order of age; 0 if none.
+
+    Folders fall into classes of size; one that has a larger one behind it counts
+    as of that one's class.  When a class has ``least`` folders, they are merged
+    with all newer ones, the lowest class first.  So a class keeps fewer than
+    ``least`` folders, and a large folder is rewritten only when others of its
+    class have come.
+    """
+    least, small = least or MERGE_FOLDERS, small or SMALL_FOLDER_BYTES
+    bound, n = small, 0
+    newest = list(reversed(sizes))
+    while n < len(newest):
+        here = n
+        while n < len(newest) and newest[n] <= bound:
+            n += 1
+        # Those behind a larger folder are counted with it, in its class.
+        if n - here >= least:
+            return n
+        bound *= least
+    return 0
+
+
+def merge_small(spark, root, name):
+    """Merge the newest folders of a fact table if many are of about one size."""
+    live = _live(_folders(spark, root, name))
+    n = small_folders([size_of(spark, f"{table_path(root, name)}/{_folder(*f)}") for f in live])
+    if n > 1:
+        _merge(spark, root, name, live[-n:])
+
+
+def compact_table(spark, root, name):
+    """Merge all folders of a fact table into one: few files for each building."""
+    live = _live(_folders(spark, root, name))
+    if len(live) > 1:
+        _merge(spark, root, name, live)
+
+
+def _merge(spark, root, name, folders):
+    """Write some successive folders as one.
+
+    Readers find the old folders until the new one is complete and pass over
+    them from then on.  The old ones go with the next merge, so that frames made
+    before this one can still be computed until then.
+    """
+    every = _folders(spark, root, name)
+    for old in set(every) - set(_live(every)):
+        remove_folder(spark, f"{table_path(root, name)}/{_folder(*old)}")
+    _write_folder(_read_folders(spark, root, name, folders), root, name, folders[0][0], folders[-1][1])
+
+
 def read_rejected(spark, root, name):
     """Rows of a table of rejected lines; none if there is no such table."""
     path = f"{root.rstrip('/')}/{name}"
