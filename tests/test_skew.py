@@ -110,3 +110,16 @@ def test_only_hot_keys_are_spread(spark):
     assert key == spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).first()[0]
     assert abs(pieces - 0.5 / joins.HOT_SHARE) <= 2
     assert joins.hot_keys(big.limit(0), ["k"]) == []
+
+
+def test_a_derived_lookup_is_computed_once(spark):
+    stored = spark.createDataFrame([(1, 2), (1, 3), (2, 5), (None, 7)], "k long, v long")
+    assert not joins.is_derived(stored.filter("v > 2").selectExpr("k", "v + 1 AS w").unionByName(stored.toDF("k", "w")))
+    grouped = stored.groupBy("k").agg(F.max("v").alias("top"))
+    assert joins.is_derived(grouped) and joins.is_derived(stored.join(grouped, "k")) and joins.is_derived(grouped.select("top"))
+    big = spark.range(4).select(F.col("id").alias("k"))
+    for limit in (joins.MAX_BROADCAST_BYTES, 0):
+        joined = joins.lookup_join(big, grouped, "k", "left", max_bytes=limit)
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" not in plan
+        assert sorted(map(tuple, joined.collect()), key=repr) == [(0, None), (1, 3), (2, 5), (3, None)]

@@ -4,12 +4,17 @@ import math
 
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 MAX_BROADCAST_BYTES = 64 << 20
 # A key that holds more than this share of the rows is spread over pieces of this share.
 HOT_SHARE = 0.001
 # Keys that the sketch counts at once; it finds every key above 3.5 / TRACKED_KEYS of the rows.
 TRACKED_KEYS = 16_384
 
+# Operators that pass rows on as they come.
+_PASSING = {"Project", "Filter", "Union"}
+
 _SALT, _KEY, _PIECES = "_salt", "_key", "_pieces"
 
 
@@ -30,6 +35,18 @@ def text_size(df):
     return df.select(row.alias("b")).agg(F.sum("b")).first()[0] or 0
 
 
+def is_derived(df):
+    """Whether the rows come out of joins, groups or sorts, and not just out of stored data."""
+    nodes = [df._jdf.queryExecution().optimizedPlan()]
+    while nodes:
+        node = nodes.pop()
+        children = node.children()
+        if children.size() and node.nodeName() not in _PASSING:
+            return True
+        nodes += [children.apply(k) for k in range(children.size())]
+    return False
+
+
 def fits_broadcast(df, max_bytes=MAX_BROADCAST_BYTES):
     """Whether ``df`` was measured to be small enough to send to every executor."""
     return text_size(df) <= max_bytes
@@ -79,13 +96,16 @@ def lookup_join(big, small, on, how="left", spread=None, max_bytes=MAX_BROADCAST
     """Join ``big`` with ``small`` on the columns ``on``.
 
     ``how`` is one of inner, left, left_semi and left_anti.  ``small`` is
-    measured: up to ``max_bytes`` it is broadcast and ``big`` does not move.
+    measured: up to ``max_bytes`` it is broadcast and ``big`` does not move.  What
+    joins or groups give is stored before, so that it is computed once only.
     Beyond that both sides are shuffled, and the keys that hold much of ``big``,
     found by a sketch, are spread over as many pieces as they need, so that no
     key of ``big`` lands in one task.  ``spread`` names the columns the piece is
     taken from (all columns by default).
     """
     on = [on] if isinstance(on, str) else list(on)
+    if is_derived(small):
+        small = checkpointed(small)
     if fits_broadcast(small, max_bytes):
         return big.join(F.broadcast(small), on, how)
     return spread_join(big, small, on, how, spread or big.columns)
