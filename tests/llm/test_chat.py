@@ -54,3 +54,11 @@ def test_no_python_in_the_plan(make):
 
 def test_empty(make):
     assert chat.rotate_perspectives(make(ROWS, SCHEMA).limit(0)).collect() == []
+
+
+def test_long_conversations_of_equal_and_of_null_turns(make):
+    rows = [(5, None, ("ann", "bob", "system")[t % 3], f"said {t % 11}", "b", "w") for t in range(400)]
+    rows += [(6, 7, ("ann", None)[t % 2], None if t % 5 == 0 else "w" * (t % 13), "b", "w") for t in range(400)]
+    rows += [(6, 7 + t, "cy", "later", "b", "w") for t in range(100)]
+    got = chat.rotate_perspectives(make(rows, SCHEMA))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows)

@@ -146,3 +146,14 @@ def test_plain_text_and_decisions_on_it(make):
         nodes, blocks = dom.parse(page)
         odds = [-9.0 if n.tag == dom.BARE else 9.0 for n in nodes]
         assert " ".join(SENTENCES) not in htmltext.main_text(nodes, blocks, odds)
+
+
+def test_repeated_pages(make):
+    """Copies of a page, with its id or another, give the same text; each row gives one."""
+    pages = pq.read_table(PAGES).slice(0, 20).to_pydict()
+    rows = [(i, u, h) for i, u, h in zip(pages["page_id"], pages["url"], pages["html"])]
+    rows += [rows[3]] * 200 + [(9000 + k, "copy", rows[3][2]) for k in range(100)] + [(None, None, rows[3][2])]
+    got = htmltext.extract_main_text(make(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == len(rows)
+    texts = {r.text for r in got if r.page_id in (rows[3][0], None) or r.page_id >= 9000}
+    assert texts == {article(rows[3][2])}
