@@ -1,0 +1,58 @@
+"""Rows of very many buildings: a fixed number of folders, the same rows, reads of part of them."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import rows
+from zonarium.sources import folders, tables
+
+NAME = "timeseriesdata"
+TYPES = {f.name: f.dataType.simpleString() for f in tables.SCHEMAS[NAME]}
+
+
+def facts(spark, first, last, copies=2):
+    """Facts of the buildings ``first`` to ``last`` and of none, each ``copies`` times."""
+    ids = spark.range(first, last + 2).select(F.when(F.col("id") <= last, F.col("id")).alias("buildingid"))
+    lines = ids.crossJoin(spark.range(copies)).withColumns(
+        {"variablename": F.lit("V"), "datetime": F.lit(dt.datetime(2024, 1, 1)), "value": F.col("buildingid") / 2}
+    )
+    wanted = [c for c in TYPES if c != "timeseriesdataid"]
+    return lines.select(*[(F.col(c) if c in lines.columns else F.lit(None)).cast(TYPES[c]).alias(c) for c in wanted])
+
+
+def state(frame):
+    return rows(frame.select("buildingid", "variablename", "value"))
+
+
+@pytest.fixture
+def few(monkeypatch):
+    monkeypatch.setattr(folders, "MAX_BUILDING_FOLDERS", 4)
+    monkeypatch.setattr(folders, "BUILDING_BUCKETS", 3)
+
+
+def test_folders_do_not_grow_with_the_buildings(spark, tmp_path, few):
+    root = str(tmp_path)
+    want = facts(spark, 1, 3).unionByName(facts(spark, -5, 20)).unionByName(facts(spark, 0, 30, 1))
+    tables.append_rows(facts(spark, 1, 3), root, NAME)  # four with that of no building
+    tables.append_rows(facts(spark, -5, 20), root, NAME)
+    tables.append_rows(facts(spark, 0, 30, 1), root, NAME)
+    names = [sorted(f.name for f in (tmp_path / NAME / tables._folder(n, n)).glob("*=*")) for n in (1, 2, 3)]
+    assert names[0][0].startswith("buildingid=") and len(names[0]) == 4
+    assert len(names[1]) == len(names[2]) == 4  # three buckets and that of no building
+    assert state(tables.read_table(spark, root, NAME)) == state(want)
+    tables.compact_table(spark, root, NAME)
+    assert tables._live(tables._folders(spark, root, NAME)) == [(1, 3)]
+    assert len(list((tmp_path / NAME / tables._folder(1, 3)).glob("*=*"))) == 4
+    after = tables.read_table(spark, root, NAME)
+    assert state(after) == state(want) and after.schema == tables.SCHEMAS[NAME]
+    assert tables.table_state(spark, root, NAME) == (True, False)
+
+
+def test_buildings_that_are_listed_prune_the_buckets(spark, tmp_path, few):
+    root = str(tmp_path)
+    tables.append_rows(facts(spark, 1, 30), root, NAME)
+    some = tables.read_table(spark, root, NAME, [4, 7, None])
+    assert state(some.filter("buildingid IN (4, 7)")) == [(4, "V", 2.0)] * 2 + [(7, "V", 3.5)] * 2
+    assert rows(some.select((F.col("buildingid") % 3).alias("b")).distinct()) == [(1,)]

@@ -137,8 +137,9 @@ def load_outputs(
 
     def facts_of(some):
         """Facts of some series' buildings and variables: no others can equal or come before theirs."""
-        facts = of_variables(read_table(spark, root, "timeseriesdata"), variables_of(some))
-        return of_buildings(facts, buildings_of(some))
+        buildings = buildings_of(some)
+        facts = of_variables(read_table(spark, root, "timeseriesdata", buildings), variables_of(some))
+        return of_buildings(facts, buildings)
 
     before = None
     if not facts_of(keys).isEmpty():
@@ -155,7 +156,7 @@ def load_outputs(
         .groupBy(*LEDGER_KEY)
         .agg(F.max("datetime").alias("added_last"), F.count(F.lit(1)).alias("added"))
     )
-    append_rows(fresh, root, "timeseriesdata")
+    append_rows(fresh, root, "timeseriesdata", keys)
 
     rejected = rejected_lines(cells).unionByName(rejected_files(headers, runs))
     add_rejected(rejected, root, "timeseries_rejected")
@@ -197,10 +198,9 @@ def load_eio(spark, root, lines, runs):
     headers = checkpointed(headers)
     matched = match_sections(lines, headers)
     batch = sections_to_long(pad_sections(matched), keys=("buildingid",))
-    stored = read_table(spark, root, "eiotabledata")
-    append_rows(
-        new_report_rows(batch, of_buildings(stored, buildings_of(runs))), root, "eiotabledata"
-    )
+    buildings = buildings_of(runs)
+    stored = read_table(spark, root, "eiotabledata", buildings)
+    append_rows(new_report_rows(batch, of_buildings(stored, buildings)), root, "eiotabledata", runs)
     headless = lookup_join(with_run_name(without_header(lines, found)), runs, "run", "inner")
     buildings = headers.select("file", "buildingid").distinct()
     rejected = lookup_join(quarantined(matched), buildings, "file", "inner").unionByName(headless.drop("run"))

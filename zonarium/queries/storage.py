@@ -73,7 +73,7 @@ def q_compacted(spark, sf_dir):
     rows = _as_double(both).groupBy(*columns).agg(
         F.count(F.when(F.col("side") == 0, 1)).alias("n_before"), F.count(F.when(F.col("side") == 1, 1)).alias("n_after")
     )
-    n_files = [frame.select("buildingid", "_metadata.file_path").distinct().groupBy().count().first()[0] for frame in (before, after)]
+    n_files = [frame.select("buildingid", F.input_file_name()).distinct().groupBy().count().first()[0] for frame in (before, after)]
     return rows.withColumn("files", F.lit("fewer" if n_files[1] < n_files[0] else "not fewer"))
 
 

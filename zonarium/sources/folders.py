@@ -1,4 +1,12 @@
-"""Folders that are replaced as a whole, so that a broken write loses nothing."""
+"""Folders that are replaced as a whole, so that a broken write loses nothing, and rows in folders by building."""
+
+from pyspark.sql import functions as F
+
+# Rows of up to this many buildings have a folder for each building.
+MAX_BUILDING_FOLDERS = 128
+# Rows of more are dealt to this many folders, so that their number does not grow with the buildings.
+BUILDING_BUCKETS = 128
+BUCKET = "building_bucket"
 
 
 def _at(spark, path):
@@ -76,3 +84,32 @@ def size_of(spark, path):
     """Bytes of all files below ``path``."""
     fs, at = _at(spark, path)
     return fs.getContentSummary(at).getLength()
+
+
+def many_buildings(rows):
+    """Whether the rows are of more buildings than get a folder each."""
+    return rows.select("buildingid").distinct().limit(MAX_BUILDING_FOLDERS + 1).count() > MAX_BUILDING_FOLDERS
+
+
+def buckets_of(buildings):
+    """Buckets of some building ids."""
+    return sorted({b % BUILDING_BUCKETS for b in buildings if b is not None})
+
+
+def write_by_building(rows, path, order, bucketed):
+    """Write rows to a folder for each building or, ``bucketed``, for each bucket of buildings.
+
+    They are rebalanced by folder, so a folder is written by few tasks while
+    one that holds much of the rows is still split.  In a bucket the rows are sorted
+    by building, so a reader of one building skips the pages of the others.
+    """
+    folder = BUCKET if bucketed else "buildingid"
+    if bucketed:
+        rows = rows.withColumn(BUCKET, F.pmod("buildingid", F.lit(BUILDING_BUCKETS)).cast("int"))
+    (
+        rows.hint("rebalance", folder)
+        .sortWithinPartitions(*dict.fromkeys([folder, *order]))
+        .write.mode("overwrite")
+        .partitionBy(folder)
+        .parquet(path)
+    )
