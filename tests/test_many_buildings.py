@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from zonarium.sources import folders, tables
+from zonarium.sources import files, folders, tables
 
 NAME = "timeseriesdata"
 TYPES = {f.name: f.dataType.simpleString() for f in tables.SCHEMAS[NAME]}
@@ -56,3 +56,10 @@ def test_buildings_that_are_listed_prune_the_buckets(spark, tmp_path, few):
     some = tables.read_table(spark, root, NAME, [4, 7, None])
     assert state(some.filter("buildingid IN (4, 7)")) == [(4, "V", 2.0)] * 2 + [(7, "V", 3.5)] * 2
     assert rows(some.select((F.col("buildingid") % 3).alias("b")).distinct()) == [(1,)]
+
+
+def test_a_bundle_of_many_buildings(spark, tmp_path, few):
+    path = tmp_path / "bundle"
+    files.write_bundle(facts(spark, 1, 30), str(path))
+    assert len(list(path.glob("*=*"))) == 4
+    assert state(spark.read.parquet(str(path))) == state(facts(spark, 1, 30))

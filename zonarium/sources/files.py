@@ -13,7 +13,7 @@ from ..functions.scalars import (
 )
 from ..operators.reshape import DATE_COLUMN, quoted, split_output_lines
 from ..schemas import LEDGER, LEDGER_CSV, LEDGER_LAST_TIME, MANIFEST, UPLOAD_STARTED
-from .folders import any_path, replace_folder, settle
+from .folders import any_path, many_buildings, replace_folder, settle, write_by_building
 
 # Folders of the model and weather files, per kind of model.
 MODEL_FOLDER = {
@@ -265,12 +265,9 @@ def write_zone_info(rows, path, headers=None):
 
 
 def write_bundle(long, path):
-    """Processed series of any number of runs, one folder per building.
+    """Processed series of any number of runs, one folder per building, or per bucket of very many buildings.
 
-    The rebalance step brings the rows of a building together and still splits
-    a building that is far larger than the others.  Rows are sorted by
-    variable and time, so that a reader skips row groups of other variables.
+    Rows are sorted by building, variable and time, so that a reader skips row
+    groups of others (see ``write_by_building``).
     """
-    long.hint("rebalance", "buildingid").sortWithinPartitions(
-        "buildingid", "variablename", "datetime"
-    ).write.mode("overwrite").partitionBy("buildingid").parquet(path)
+    write_by_building(long, path, ["buildingid", "variablename", "datetime"], many_buildings(long))
