@@ -118,6 +118,7 @@ def load_outputs(
     if mode not in (DEDUPE, WATERMARK):
         raise ValueError(f"unknown load mode {mode!r}")
     started = time.monotonic()
+    runs = checkpointed(runs)
     ledger = checkpointed(read_table(spark, root, "ledger"))
     headers, body = split_output_lines(lines)
     headers = checkpointed(with_file_names(headers))
@@ -182,7 +183,8 @@ def load_outputs(
 def load_variable(spark, root, path, buildingid, year, timeresolution, mode=WATERMARK):
     """Load the output file of one variable of one building."""
     lines = read_output_lines(spark, path)
-    files = with_file_names(lines.select("file").distinct())
+    # The names come from the files that are there, not from each of their lines.
+    files = with_file_names(files_found(spark, path).select("file"))
     runs = files.select("run", F.lit(buildingid).cast("long").alias("buildingid")).distinct()
     load_outputs(spark, root, lines, runs, year, timeresolution, mode)
 
