@@ -150,10 +150,6 @@ UNKNOWN_RUN = "unknown run"
 UNKNOWN_VARIABLE = "unknown variable"
 
 
-def _is_bad_number(cell):
-    return (F.trim(cell) != "") & F.trim(cell).try_cast("double").isNull()
-
-
 def header_sections(headers, wanted):
     """One row per file: ``sections``, each header's place with what is wanted of it.
 
@@ -189,7 +185,10 @@ def parsed_cells(lines, headers, wanted, year):
         def here(x):
             return (x["since"] < F.col("line_no")) & (x["until"].isNull() | (F.col("line_no") < x["until"]))
 
-        section, many = F.get(F.filter("sections", here), F.lit(0)), F.lit(False)
+        # Most files have one header; its place is compared without a pass over the list.
+        only = F.get("sections", F.lit(0))
+        section = F.when(F.size("sections") == 1, F.when(here(only), only)).otherwise(F.get(F.filter("sections", here), F.lit(0)))
+        many = F.lit(False)
     else:
         section, many = F.get("sections", F.lit(0)), F.coalesce(F.size("sections") > 1, F.lit(False))
     found = joined.select("file", "value", section.alias("section"), many.alias("many"))
@@ -207,15 +206,16 @@ def parsed_cells(lines, headers, wanted, year):
         "file", "value", "datetime", "cells", "fault", "section.buildingid", "section.variablename",
         F.explode_outer(F.when(F.col("lost").isNull(), F.col("section.columns"))).alias("column"),
     )
-    cell = F.get(F.col("cells"), F.col("column.position"))
-    reason = F.coalesce("fault", F.when(_is_bad_number(cell), BAD_NUMBER))
+    cell = F.trim(F.get(F.col("cells"), F.col("column.position")))
+    read = each.withColumn("cell", cell).withColumn("number", F.col("cell").try_cast("double"))
+    reason = F.coalesce("fault", F.when((F.col("cell") != "") & F.col("number").isNull(), BAD_NUMBER))
     bad = F.col("reason").isNotNull()
-    return each.withColumn("reason", reason).select(
+    return read.withColumn("reason", reason).select(
         "buildingid",
         "variablename",
         "datetime",
         *[F.col(f"column.{c}").alias(c) for c in SUBVARIABLE_COLUMNS],
-        F.when(~bad, F.trim(cell).try_cast("double")).alias("value"),
+        F.when(~bad, F.col("number")).alias("value"),
         "reason",
         F.when(bad, F.col("file")).alias("file"),
         F.when(bad, F.col("value")).alias("line"),
