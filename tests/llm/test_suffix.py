@@ -113,3 +113,80 @@ def test_a_long_text_through_the_whole_query(make):
         # With this seed no letters beside equal passages are equal, so runs end where the passages do.
         assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans) == (len(t), len(t) - len(kept), len(cut))
         assert got[i].kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+
+
+def word_texts(seed=11):
+    """Texts whose words repeat in themselves, in others, in both, and in many variants."""
+    rng = np.random.default_rng(seed)
+    word = lambda: "".join(chr(97 + int(x)) for x in rng.integers(0, 26, int(rng.integers(1, 9))))
+    words = lambda n: [word() for _ in range(n)]
+    join = lambda w: " ".join(w)
+    passage, line, other, short = words(51), words(60), words(54), words(50)
+    rows = [(i, join(words(30 + 5 * i))) for i in range(20)]
+    rows += [(100 + i, join(words(20 + i) + passage + words(30 + i % 4))) for i in range(40)]
+    rows += [(200, join(line * 6)), (201, join(words(9) + other * 4 + words(4))), (202, join(words(60) + other[:52] + words(9)))]
+    rows += [(210 + i, join(words(40) + short + words(40))) for i in range(5)]
+    rows += [(220 + i, rows[9][1]) for i in range(3)] + [(230, rows[12][1]), (12, rows[12][1]), (7, rows[7][1])]
+    twice = words(300)
+    rows += [(240, join(twice + words(3) + twice + words(2) + twice[:200])), (241, join(words(4) + twice[30:90] + words(80)))]
+    rows += [(250 + i, join(twice[: 150 - i] + words(1) + twice[151 - i :])) for i in range(8)]
+    spaced = "\n\t é ".join(passage)
+    rows += [(260, spaced), (261, "x " + spaced + " y"), (262, None), (263, ""), (264, " \n "), (None, join(passage)), (265, " ".join(words(70)))]
+    rows += [(270, "9" * 700), (271, "9" * 650 + " " + join(passage[:50]))]
+    return [(i, t, 1, 2) for i, t in rows]
+
+
+def brute_passages(rows, least):
+    """Rows equal in id and text are one document."""
+    holders, out = {}, []
+    for doc, text, *_ in rows:
+        w = (text or "").encode().split()
+        for k in range(len(w) - least + 1):
+            holders.setdefault(tuple(w[k : k + least]), set()).add((doc, text))
+    for doc, text, *_ in rows:
+        data = (text or "").encode()
+        w, at, places = data.split(), 0, []
+        for x in w:
+            at = data.index(x, at)
+            places.append((at, at + len(x)))
+            at += len(x)
+        starts = [k for k in range(len(w) - least + 1) if len(holders[tuple(w[k : k + least])]) > 1]
+        spans = suffix.merged([(k, k + least) for k in starts])
+        out.append((doc, len(spans), sum(places[b - 1][1] - places[a][0] for a, b in spans)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("least,most", [(51, 512), (51, 3), (12, 512), (12, 2)])
+def test_passages_in_other_documents(make, least, most):
+    """Passages of 51 words and less than 400 bytes are counted; what is removed stays the same."""
+    rows = word_texts()
+    got = suffix.removal_report(make(rows, SCHEMA), most=most, passage_words=least).collect()
+    assert sorted(((r.doc_id, r.n_passages, r.passage_bytes) for r in got), key=repr) == brute_passages(rows, least)
+    assert sorted((tuple(r)[:5] for r in got), key=repr) == brute(rows, suffix.LENGTH)
+    if least == 51:
+        shared = {r.doc_id: r for r in got}
+        assert all(shared[100 + i].n_passages == 1 and shared[100 + i].n_removed == 0 for i in range(40))
+        assert shared[200].n_passages == 0 < shared[200].n_removed  # a line that only its own text repeats
+        assert all(shared[210 + i].n_passages == 0 for i in range(5))  # 50 words
+
+
+def test_starts_without_common_bytes_are_not_sorted(make):
+    """Pieces that share an anchor but no string are left out; those that share one stay whole enough."""
+    rng = np.random.default_rng(12)
+    text = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes()
+    core, run = text(33), text(70)
+    data = [text(67) + core + text(67), text(67) + core + text(67), text(40) + run[:27] + core + run[27:] + text(24), text(40) + run[:27] + core + run[27:] + text(24)]
+    rows = {"key": [5] * 4, "low": [0] * 4, "high": [len(d) - 100 for d in data], "anchor": [67] * 4, "data": data}
+    kept = suffix._worth_sorting(rows, 100, 33, suffix.BYTE)
+    assert [row for row, _, _ in kept] == [2, 3]
+    assert all(a <= 40 <= 43 <= b for _, a, b in kept)
+
+
+def test_queries_name_the_documents_with_passages(spark, tmp_path):
+    from zonarium.llm.queries import QUERIES
+
+    rows = [(i, t, "en", "s", len(t or "")) for i, t, *_ in word_texts()]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op7_suffix_array_dedup"](spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "passage_bytes"]
+    assert sorted(((r.doc_id, r.n_passages, r.passage_bytes) for r in got.collect()), key=repr) == brute_passages([r[:2] for r in rows], 51)

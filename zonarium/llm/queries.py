@@ -51,7 +51,8 @@ def op6_best_fit_packing(spark, sf_dir):
 
 
 def op7_suffix_array_dedup(spark, sf_dir):
-    return suffix.removal_report(common.read(spark, sf_dir, "documents", "doc_id", "text"))
+    docs = common.read(spark, sf_dir, "documents", "doc_id", "text")
+    return suffix.removal_report(docs, passage_words=suffix.PASSAGE_WORDS)
 
 
 def op8_document_fingerprints(spark, sf_dir):

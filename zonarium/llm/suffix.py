@@ -11,6 +11,7 @@ here strings are first dealt to shards such that equal strings meet:
 2. Pieces whose anchor run occurs once hold no repeated string.  Equal pieces
    (same anchor and bytes, by two independent 64-bit hashes) are counted as one.
 3. Of the rest, one piece of each kind goes to a shard of its anchor.  A shard
+   drops starts whose strings hold bytes about the anchor that no other piece has,
    builds the suffix array of its pieces by induced sorting (``sais``), computes
    permuted common prefixes, and marks starts whose string has an equal neighbour.
 4. An anchor with more than ``MOST`` different pieces (a passage in very many
@@ -20,6 +21,11 @@ here strings are first dealt to shards such that equal strings meet:
 
 Copies of a text need no treatment of their own: their pieces are equal.
 
+Passages are found in the same way, with words (by 64-bit hashes of their bytes) in
+place of bytes: sequences of ``PASSAGE_WORDS`` words that also stand in another
+document.  Rows equal in id and text are one document here.  A piece that only its
+own document repeats counts once, and what is found in one place of it holds for all.
+
 Defined results: a null text is empty; texts shorter than ``LENGTH`` lose
 nothing; repeated rows repeat each other; a null id is an id; matches never
 cross texts; an empty table gives an empty result; other columns are ignored by
@@ -27,10 +33,12 @@ cross texts; an empty table gives an empty result; other columns are ignored by
 """
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from zonarium.llm.common import blocks_of, stored, text_or_empty
@@ -41,14 +49,20 @@ LENGTH = 400
 PASSAGE_LENGTH = 200
 PASSAGE_WORDS = 51
 GRAM = 128
+WORD_GRAM = 16
+#: Bytes of a symbol: strings consist of bytes, passages of hashes of words.
+BYTE, WORD = 1, 8
 #: Different pieces of one anchor that go to one shard.
 MOST = 512
-#: Pieces in a shard, about half a megabyte.
-SHARD_PIECES = 1000
+#: Pieces in a shard; what is sorted of them is mostly about half a megabyte.
+SHARD_PIECES = 2000
+#: Ranges of a piece's starts whose common bytes are compared before sorting.
+RANGES = 8
 #: Bytes anchors are looked for in at a time; longer texts overlap.
 WINDOW = 1 << 20
 _rng = np.random.default_rng(20240731)
 _VALUES = _rng.integers(1, 1 << 63, (2, 256), dtype=np.uint64) | np.uint64(1)
+_WORD_FACTORS = [0x9E6C63D0876A9A47, 0xE7037ED1A0B428DB]
 _BASES = [0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1]
 
 
@@ -73,28 +87,63 @@ class _Powers:
 
 def _prefix_hashes(data, which, powers):
     up, _ = powers.upto(len(data) + 1)
+    if data.dtype == np.uint8:
+        values = _VALUES[which][data]
+    else:  # hashes of words
+        values = data * np.uint64(_WORD_FACTORS[which])
+        values ^= values >> np.uint64(32)
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[which][data] * up[which][: len(data)], out=out[1:])
+    np.cumsum(values * up[which][: len(data)], out=out[1:])
     return out
 
 
-def _between(prefix, which, start, end, powers):
-    """Hash of the bytes from start to end, wherever they stand."""
-    value = (prefix[end] - prefix[start]) * powers.upto(1)[1][which][start]
+def _mixed(value):
     value ^= value >> np.uint64(32)
     value *= np.uint64(0xD6E8FEB86659FD93)
-    return value ^ value >> np.uint64(29)
+    value ^= value >> np.uint64(29)
+    return value
+
+
+def _between(prefix, which, start, end, powers):
+    """Hash of the symbols from start to end, wherever they stand."""
+    return _mixed((prefix[end] - prefix[start]) * powers.upto(1)[1][which][start])
+
+
+def _grams(prefix, which, gram, powers):
+    """Hashes of all runs of ``gram`` symbols."""
+    value = prefix[gram:] - prefix[:-gram]
+    return _mixed(value * powers.upto(1)[1][which][: len(value)])
+
+
+def word_places(data):
+    """Where the words of a text start and end; they are what white space parts."""
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = (data != 32) & ((data < 9) | (data > 13))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
+
+
+def _words(data, prefix, powers):
+    """A 64-bit hash for each word of a text with these prefix hashes."""
+    starts, ends = word_places(data)
+    return _between(prefix, 0, starts, ends, powers)
+
+
+def _symbols(data, width, powers):
+    return data if width == BYTE else _words(data, _prefix_hashes(data, 0, powers), powers)
+
 
+def pieces(data, length, gram, powers, prefix=None):
+    """Pieces of a text: first and last string start, anchor, anchor hash, piece hash.
 
-def pieces(data, length, gram, powers):
-    """Pieces of a text: first and last string start, anchor, anchor hash, piece hash."""
+    ``data``: bytes or hashes of words, in which all places are counted; ``prefix``:
+    their prefix hashes, if known.
+    """
     n = len(data)
     if n < length:
         return [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2
     powers.upto(n + 1)
-    first = _prefix_hashes(data, 0, powers)
-    starts = np.arange(n - gram + 1)
-    grams = _between(first, 0, starts, starts + gram, powers)
+    grams = _grams(_prefix_hashes(data, 0, powers) if prefix is None else prefix, 0, gram, powers)
     width = length - gram + 1
     anchors = []
     for at in range(0, n - length + 1, WINDOW):
@@ -120,32 +169,40 @@ def pieces(data, length, gram, powers):
     return [low, high, at, grams[at], whole ^ whole >> np.uint64(31)]
 
 
-def _all_pieces(rows, length, gram):
+def _all_pieces(rows, strings):
     def run(batches):
         powers = _Powers()
         for batch in batches:
-            parts = [[] for _ in range(6)]
+            parts = [[] for _ in range(7)]
             for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = pieces(np.frombuffer(text.encode(), np.uint8), length, gram, powers)
-                if len(found[0]):
-                    parts[0].append(np.full(len(found[0]), rid, np.int64))
-                    for store, values in zip(parts[1:], found):
-                        store.append(values)
+                data = np.frombuffer(text.encode(), np.uint8)
+                prefix = _prefix_hashes(data, 0, powers)
+                for width, (length, gram) in strings.items():
+                    if width == BYTE:
+                        found = pieces(data, length, gram, powers, prefix)
+                    else:
+                        found = pieces(_words(data, prefix, powers), length, gram, powers)
+                    if len(found[0]):
+                        parts[0].append(np.full(len(found[0]), rid, np.int64))
+                        parts[1].append(np.full(len(found[0]), width, np.int32))
+                        for store, values in zip(parts[2:], found):
+                            store.append(values)
             if parts[0]:
-                rid, low, high, at, key, whole = map(np.concatenate, parts)
+                rid, width, low, high, at, key, whole = map(np.concatenate, parts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(rid),
+                        pa.array(width),
                         pa.array(low.astype(np.int32)),
                         pa.array(high.astype(np.int32)),
                         pa.array(at.astype(np.int32)),
                         pa.array(key.view(np.int64)),
                         pa.array(whole.view(np.int64)),
                     ],
-                    names=["rid", "low", "high", "anchor", "key", "whole"],
+                    names=["rid", "width", "low", "high", "anchor", "key", "whole"],
                 )
 
-    return rows.mapInArrow(run, "rid long, low int, high int, anchor int, key long, whole long")
+    return rows.mapInArrow(run, "rid long, width int, low int, high int, anchor int, key long, whole long")
 
 
 def mark_repeats(texts, spans, length):
@@ -171,6 +228,37 @@ def mark_repeats(texts, spans, length):
     return marked, owner, place
 
 
+def mark_passages(texts, spans, length, owners):
+    """Starts in each text, within its span, whose words also start in a text of another owner.
+
+    ``texts``: hashes of words; a start in its span has ``length`` words after it.
+    """
+    sizes = np.array([len(t) + 1 for t in texts])
+    base = np.cumsum(sizes) - sizes
+    symbols = np.zeros(sizes.sum(), np.int64)
+    inside = np.ones(len(symbols), bool)
+    inside[base + sizes - 1] = False  # the end of a text is less than any word
+    names, ranks = np.unique(np.concatenate(texts), return_inverse=True)
+    symbols[inside] = ranks + 1
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    place = np.arange(len(symbols)) - base[owner]
+    own = (place >= spans[owner, 0]) & (place <= spans[owner, 1])
+    order = suffix_array(symbols, len(names) + 1)
+    order = order[own[order]]
+    equal = np.arange(max(0, len(order) - 1))
+    for k in range(length):
+        equal = equal[symbols[order[equal] + k] == symbols[order[equal + 1] + k]]
+    marked = np.zeros(len(symbols), bool)
+    if len(equal):
+        first = np.ones(len(order), bool)
+        first[equal + 1] = False
+        heads = np.flatnonzero(first)
+        whose = np.asarray(owners)[owner[order]]
+        shared = np.minimum.reduceat(whose, heads) != np.maximum.reduceat(whose, heads)
+        marked[order] = shared[np.cumsum(first) - 1]
+    return marked, owner, place
+
+
 def _runs(starts, length):
     """(from, to) of the bytes that strings at ascending starts cover, in maximal runs."""
     if not len(starts):
@@ -179,18 +267,57 @@ def _runs(starts, length):
     return list(zip(starts[np.concatenate([[0], cut])].tolist(), (starts[np.append(cut - 1, len(starts) - 1)] + length).tolist()))
 
 
-def _shard(length):
+def _worth_sorting(rows, length, gram, width):
+    """(row, from, to) of the starts in each row's data that may have an equal string.
+
+    A piece's starts fall into ranges by their distance from the anchor.  All strings
+    of a range hold the same bytes about the anchor; if no other piece of the anchor
+    has these bytes there, the range has no repeat.
+    """
+    step = -(-(length - gram + 1) // RANGES)
+    seen, ranges = Counter(), []
+    for key, low, high, anchor, data in zip(rows["key"], rows["low"], rows["high"], rows["anchor"], rows["data"]):
+        own, at, last = [], anchor - low, high - low
+        for k in range((at - last) // step, at // step + 1):
+            near, far = k * step, min(k * step + step - 1, length - gram)
+            core = (key, k, bytes(data[(at - near) * width : (at - far + length) * width]))
+            seen[core] += 1
+            own.append((core, max(0, at - far), min(last, at - near)))
+        ranges.append(own)
+    out = []
+    for row, own in enumerate(ranges):
+        kept = [(a, b) for core, a, b in own if seen[core] > 1]
+        if kept:
+            out.append((row, min(a for a, _ in kept), max(b for _, b in kept)))
+    return out
+
+
+def _shard(strings):
     def run(rows):
-        rows = rows.sort_values(["rid", "low"])
-        spans = np.column_stack([np.zeros(len(rows), int), (rows["high"] - rows["low"]).to_numpy()])
-        marked, owner, place = mark_repeats(rows["data"].tolist(), spans, length)
+        rows = rows.sort_values(["rid", "low"]).reset_index(drop=True)
+        width = int(rows["width"].iloc[0])
+        length, gram = strings[width]
+        open_places = _worth_sorting(rows, length, gram, width)
         out = []
-        edges = np.searchsorted(owner, np.arange(len(rows) + 1))
-        for k, (rid, low, single) in enumerate(zip(rows["rid"], rows["low"], rows["single"])):
-            if single:
-                inside = slice(edges[k], edges[k + 1])
-                out.extend((rid, low + a, low + b) for a, b in _runs(place[inside][marked[inside]], length))
-        return pd.DataFrame(out, columns=["rid", "begin", "end"]).astype("int64")
+        if open_places:
+            data, rids, lows = rows["data"].tolist(), rows["rid"].tolist(), rows["low"].tolist()
+            places, single = rows["place"].tolist(), rows["single"].tolist()
+            texts = [data[row][a * width : (b + length) * width] for row, a, b in open_places]
+            spans = np.array([(0, b - a) for _, a, b in open_places])
+            if width == BYTE:
+                marked, owner, place = mark_repeats(texts, spans, length)
+            else:
+                # A piece that is not single stands for other documents than any that is.
+                codes = pd.factorize(rows["rid"])[0]
+                owners = [codes[row] if single[row] else -1 - row for row, _, _ in open_places]
+                marked, owner, place = mark_passages([np.frombuffer(t, np.uint64) for t in texts], spans, length, owners)
+            edges = np.searchsorted(owner, np.arange(len(texts) + 1))
+            for k, (row, first, _) in enumerate(open_places):
+                if single[row]:
+                    inside = slice(edges[k], edges[k + 1])
+                    low = lows[row] + first
+                    out.extend((rids[row], width, places[row], low + a, low + b) for a, b in _runs(place[inside][marked[inside]], length))
+        return pd.DataFrame(out, columns=["rid", "width", "place", "begin", "end"]).astype("int64")
 
     return run
 
@@ -210,30 +337,33 @@ def _with_counts(rows, kinds):
     return rows.join(counts, ["key", "whole"])
 
 
-def _halved(rows, length):
+def _halved(rows, strings):
     """Pieces of too common anchors, each cut in two at a place fixed by the anchor.
 
     The key of a half is the hash of all bytes that its strings must share.
     """
+    numbers = ("width", "place", "low", "high", "anchor", "near", "far")
 
     def run(batches):
         for batch in batches:
-            out = {name: [] for name in ("rid", "low", "high", "anchor", "near", "far", "key", "whole", "data")}
+            out = {name: [] for name in ("rid", *numbers, "key", "whole", "data")}
             for row in batch.to_pylist():
                 middle = (row["near"] + row["far"]) // 2
+                width, length = row["width"], strings[row["width"]][0]
+                cut = lambda a, b: row["data"][(a - row["low"]) * width : (b - row["low"]) * width]  # noqa: B023, E731
                 for near, far in ((row["near"], middle), (middle + 1, row["far"])):
                     low, high = max(row["low"], row["anchor"] - far), min(row["high"], row["anchor"] - near)
                     if near > far or low > high:
                         continue
-                    data = row["data"][low - row["low"] : high - row["low"] + length]
-                    # Strings start ``near`` to ``far`` bytes before the anchor; all cover these bytes:
-                    core = row["data"][row["anchor"] - near - row["low"] : row["anchor"] - far - row["low"] + length]
+                    data = cut(low, high + length)
+                    # Strings start ``near`` to ``far`` symbols before the anchor; all cover these:
+                    core = cut(row["anchor"] - near, row["anchor"] - far + length)
                     mark = f"{row['key']},{near},{far}".encode()
                     digest = hashlib.blake2b(core, digest_size=8, key=mark[:64]).digest()
                     kind = hashlib.blake2b(data, digest_size=8, key=f"{row['anchor'] - low}".encode()).digest()
                     for name, value in (
-                        ("rid", row["rid"]), ("low", low), ("high", high), ("anchor", row["anchor"]),
-                        ("near", near), ("far", far), ("data", data),
+                        ("rid", row["rid"]), ("width", width), ("place", row["place"]), ("low", low), ("high", high),
+                        ("anchor", row["anchor"]), ("near", near), ("far", far), ("data", data),
                         ("key", int.from_bytes(digest, "big", signed=True)),
                         ("whole", int.from_bytes(kind, "big", signed=True)),
                     ):
@@ -242,100 +372,135 @@ def _halved(rows, length):
                 out,
                 pa.schema(
                     [("rid", pa.int64())]
-                    + [(n, pa.int32()) for n in ("low", "high", "anchor", "near", "far")]
+                    + [(n, pa.int32()) for n in numbers]
                     + [("key", pa.int64()), ("whole", pa.int64()), ("data", pa.binary())]
                 ),
             )
 
-    return rows.select("rid", "low", "high", "anchor", "near", "far", "key", "data").mapInArrow(
-        run, "rid long, low int, high int, anchor int, near int, far int, key long, whole long, data binary"
+    return rows.select("rid", *numbers, "key", "data").mapInArrow(
+        run, f"rid long, {', '.join(f'{n} int' for n in numbers)}, key long, whole long, data binary"
     )
 
 
-def _cut(rows, length):
-    """Texts with their pieces' places -> the pieces with their bytes."""
+def _cut(rows, strings):
+    """Texts with their pieces' places -> the pieces with their symbols."""
 
     def run(batches):
-        names = ("low", "high", "anchor", "key", "n", "kinds")
+        powers = _Powers()
+        names = ("width", "low", "high", "anchor", "key", "n", "kinds")
         for batch in batches:
             rids, cols, data = [], {n: [] for n in names}, []
             for rid, text, places in zip(*(c.to_pylist() for c in batch.columns)):
-                text = text.encode()
+                whole = np.frombuffer(text.encode(), np.uint8)
+                symbols = {w: _symbols(whole, w, powers) for w in {p["width"] for p in places}}
                 for p in places:
                     rids.append(rid)
                     for n in names:
                         cols[n].append(p[n])
-                    data.append(text[p["low"] : p["high"] + length])
+                    data.append(symbols[p["width"]][p["low"] : p["high"] + strings[p["width"]][0]].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(rids, pa.int64()),
-                    *(pa.array(cols[n], pa.int32()) for n in names[:3]),
-                    *(pa.array(cols[n], pa.int64()) for n in names[3:]),
+                    *(pa.array(cols[n], pa.int32()) for n in names[:4]),
+                    *(pa.array(cols[n], pa.int64()) for n in names[4:]),
                     pa.array(data, pa.binary()),
                 ],
                 names=["rid", *names, "data"],
             )
 
     return rows.mapInArrow(
-        run, "rid long, low int, high int, anchor int, key long, n long, kinds long, data binary"
+        run, "rid long, width int, low int, high int, anchor int, key long, n long, kinds long, data binary"
     )
 
 
-def _in_shards(rows, length):
+def _in_shards(rows, strings):
     """Spans of repeated strings of pieces that are single, found in shards of whole keys."""
-    shards = blocks_of(rows.count(), SHARD_PIECES)
+    shards = blocks_of(rows.count(), SHARD_PIECES * len(strings))
     return (
-        rows.select("rid", "low", "high", "data", (F.col("n") == 1).alias("single"), F.pmod("key", F.lit(shards)).alias("shard"))
-        .groupBy("shard")
-        .applyInPandas(lambda rows: _shard(length)(rows), "rid long, begin long, end long")
+        rows.select(
+            "rid", "width", "place", "key", "low", "high", "anchor", "data",
+            (F.col("n") == 1).alias("single"), F.pmod("key", F.lit(shards)).alias("shard"),
+        )
+        .groupBy("width", "shard")
+        .applyInPandas(lambda rows: _shard(strings)(rows), "rid long, width int, place int, begin long, end long")
     )
 
 
-def repeated_spans(rows, length=LENGTH, gram=None, most=MOST):
-    """Rows (rid, text) -> (rid, begin, end): bytes to remove; spans of a text may overlap."""
-    gram = gram or max(1, min(GRAM, length // 3))
-    found = stored(_all_pieces(rows, length, gram), "pieces")
-    twice = found.groupBy("key").agg(F.count("*").alias("of")).filter("of > 1").select("key")
+def _spans_found(rows, strings, most):
+    """Rows (rid, text) -> (rid, width, begin, end) of repeated strings; spans of a text may overlap.
+
+    ``strings``: bytes of a symbol -> symbols of a string, and of a run that can be an anchor.
+    """
+    in_others = lambda: (F.max("width") > BYTE) & (F.min("rid") == F.max("rid"))
+    found = stored(_all_pieces(rows, strings), "pieces")
+    # Strings of bytes may repeat in their own text, passages only in other documents.
+    twice = found.groupBy("key").agg(F.count("*").alias("of"), in_others().alias("own"))
+    twice = twice.filter("of > 1 AND NOT own").select("key")
     again = stored(found.join(stored(twice, "keys"), "key"), "again")
-    kinds = again.groupBy("key", "whole").agg(F.count("*").alias("n"), F.min(F.struct("rid", "low")).alias("best"))
+    kinds = again.groupBy("key", "whole").agg(
+        F.when(in_others(), F.lit(1)).otherwise(F.count("*")).alias("n"), F.min(F.struct("rid", "low")).alias("best")
+    )
     hits = stored(_with_counts(again, kinds), "hits")
-    covered = lambda kind: kind.select(
-        "rid", F.col("low").cast("long").alias("begin"), (F.col("high") + length).cast("long").alias("end")
+    length = F.element_at(F.create_map(*(F.lit(x) for w, (size, _) in strings.items() for x in (w, size))), F.col("width"))
+    covered = lambda kind, place: kind.select(
+        "rid", "width", place, F.col("low").cast("long").alias("begin"), (F.col("high") + length).cast("long").alias("end")
     )
-    spans = [covered(hits.filter("n > 1"))]
-    # Singles, and one of each kind beside them.
-    open_rows = "singles > 0 AND kinds > 1 AND (n = 1 OR (rid = best.rid AND low = best.low))"
+    spans = [covered(hits.filter("n > 1"), F.col("low").alias("place"))]
+    # One of each kind, if there are singles beside it.
+    of_kind = "rid = best.rid AND low = best.low"
     places = (
-        hits.filter(open_rows)
-        .dropDuplicates(["rid", "low"])
+        hits.filter(f"singles > 0 AND kinds > 1 AND {of_kind}")
+        .dropDuplicates(["rid", "width", "low"])
         .groupBy("rid")
-        .agg(F.collect_list(F.struct("low", "high", "anchor", "key", "n", "kinds")).alias("places"))
+        .agg(F.collect_list(F.struct("width", "low", "high", "anchor", "key", "n", "kinds")).alias("places"))
     )
     texts = rows.join(places, "rid").select("rid", "text", "places").dropDuplicates(["rid"])
-    left = stored(_cut(texts, length), "shards")
-    left = left.withColumn("near", F.lit(0)).withColumn("far", F.lit(length - gram))
+    left = stored(_cut(texts, strings), "shards").withColumn("place", F.col("low"))
+    reach = F.element_at(F.create_map(*(F.lit(x) for w, (size, gram) in strings.items() for x in (w, size - gram))), F.col("width"))
+    left = left.withColumn("near", F.lit(0)).withColumn("far", reach)
     while True:
-        spans.append(stored(_in_shards(left.filter(F.col("kinds") <= most), length), "spans"))
+        spans.append(stored(_in_shards(left.filter(F.col("kinds") <= most), strings), "spans"))
         common = left.filter(F.col("kinds") > most)
         if not common.take(1):
             break
         # A kind whose other rows were set aside stands for them: it counts as two.
-        halves = _halved(common.filter("n = 1"), length).withColumn("n0", F.lit(1))
-        stand_ins = _halved(common.filter("n > 1"), length).withColumn("n0", F.lit(2))
+        halves = _halved(common.filter("n = 1"), strings).withColumn("n0", F.lit(1))
+        stand_ins = _halved(common.filter("n > 1"), strings).withColumn("n0", F.lit(2))
         halves = halves.unionByName(stand_ins)
         halves = stored(halves, "halves")
         kinds = halves.groupBy("key", "whole").agg(
-            F.sum("n0").alias("n"), F.min(F.struct("n0", "rid", "low")).alias("best")
+            F.when(in_others() & (F.max("n0") == 1), F.lit(1)).otherwise(F.sum("n0")).alias("n"),
+            F.min(F.struct("n0", "rid", "low")).alias("best"),
         )
         now = stored(_with_counts(halves, kinds), "halves")
-        spans.append(covered(now.filter("n > 1 AND n0 = 1")))
+        spans.append(covered(now.filter("n > 1 AND n0 = 1"), "place"))
         left = now.filter(
             "singles > 0 AND kinds > 1 AND (n = 1 OR (n0 = best.n0 AND rid = best.rid AND low = best.low))"
-        ).select("rid", "low", "high", "anchor", "near", "far", "key", "n", "kinds", "data")
+        ).select("rid", "width", "place", "low", "high", "anchor", "near", "far", "key", "n", "kinds", "data")
     whole = spans[0]
     for more in spans[1:]:
         whole = whole.unionByName(more)
-    return whole
+    if WORD in strings:
+        # Other places of the same piece in its document.
+        twins = hits.filter(f"n = 1 AND NOT ({of_kind})").select(
+            "rid", "width", F.col("best.low").alias("place"), (F.col("low") - F.col("best.low")).alias("shift")
+        )
+        there = whole.join(twins.filter(F.col("width") == WORD), ["rid", "width", "place"])
+        there = there.select("rid", "width", "place", *((F.col(c) + F.col("shift")).alias(c) for c in ("begin", "end")))
+        whole = whole.unionByName(there)
+    return whole.drop("place")
+
+
+def repeated_spans(rows, length=LENGTH, gram=None, most=MOST):
+    """Rows (rid, text) -> (rid, begin, end): bytes to remove; spans of a text may overlap."""
+    return _spans_found(rows, _strings(length, gram), most).drop("width")
+
+
+def _strings(length, gram=None, passage_words=None):
+    strings = {BYTE: (length, gram or max(1, min(GRAM, length // 3)))}
+    if passage_words:
+        strings[WORD] = (passage_words, max(1, min(WORD_GRAM, passage_words // 3)))
+    return strings
 
 
 def merged(spans):
@@ -358,40 +523,84 @@ def kept_bytes(data, spans):
     return b"".join(parts)
 
 
-def _with_spans(documents, doc_id, text, length, most):
+def _with_spans(documents, doc_id, text, strings, most):
     """Documents with the spans of each text in ``__spans``."""
     marked = documents.withColumn(
         "__rid", F.xxhash64(F.col(doc_id).cast("string"), text_or_empty(text), F.lit("row"))
     )
     rows = marked.select(F.col("__rid").alias("rid"), text_or_empty(text).alias("text"))
-    spans = repeated_spans(rows, length, most=most)
-    by_text = spans.groupBy(F.col("rid").alias("__rid")).agg(F.collect_set(F.struct("begin", "end")).alias("__spans"))
+    spans = _spans_found(rows, strings, most)
+    by_text = spans.groupBy(F.col("rid").alias("__rid")).agg(
+        F.collect_set(F.struct("width", "begin", "end")).alias("__spans")
+    )
     return marked.join(by_text, "__rid", "left").drop("__rid")
 
 
-def removal_report(documents, doc_id="doc_id", text="text", length=LENGTH, most=MOST):
-    """Columns doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+def _of_width(spans, width):
+    """Joined spans of the strings whose symbols have that many bytes."""
+    return merged([(s["begin"], s["end"]) for s in (() if spans is None else spans) if s["width"] == width])
+
+
+def _of_batch(column):
+    """The joined spans of each row of a batch: (row, width) -> runs, for rows that have any."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+    width, begin, end = (c.to_numpy() for c in column.flatten().flatten())
+    if not len(begin):
+        return {}
+    group = np.repeat(np.arange(len(sizes)), sizes) * (WORD + 1) + width
+    # Groups lie one after the other, with a gap, so that one running maximum serves all.
+    reach = int(end.max()) + 1
+    order = np.lexsort((begin, group))
+    group, begin, end = group[order], begin[order], end[order]
+    far = np.maximum.accumulate(end + group * reach)
+    heads = np.flatnonzero(np.concatenate([[True], begin[1:] + group[1:] * reach > far[:-1]]))
+    out = {}
+    last = far[np.append(heads[1:], len(far)) - 1] - group[heads] * reach
+    for g, a, b in zip(group[heads].tolist(), begin[heads].tolist(), last.tolist()):
+        out.setdefault(divmod(g, WORD + 1), []).append((a, b))
+    return out
+
+
+def passages(data, spans):
+    """Runs of words as runs of a text's bytes."""
+    if not spans:
+        return []
+    starts, ends = word_places(np.frombuffer(data, np.uint8))
+    return [(int(starts[a]), int(ends[b - 1])) for a, b in spans]
+
+
+def removal_report(documents, doc_id="doc_id", text="text", length=LENGTH, most=MOST, passage_words=None):
+    """Columns doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+
+    With ``passage_words``, also n_passages and passage_bytes: the maximal runs of words
+    that sequences of so many words cover which also stand in another document, and
+    the bytes from the first to the last word of each.  They are not removed.
+    """
     joined = _with_spans(
-        documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "doc_id", "text", length, most
-    )
+        documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")),
+        "doc_id", "text", _strings(length, passage_words=passage_words), most,
+    )
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["n_passages", "passage_bytes"] * bool(passage_words)
+    kinds = [pa.string() if n == "kept_sha256" else pa.int64() for n in names]
 
     def run(batches):
         for batch in batches:
             out = []
-            for i, body, spans in zip(*(c.to_pylist() for c in batch.columns)):
+            found = _of_batch(batch.column(2))
+            for k, (i, body) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 data = (body or "").encode()
-                joined = merged([(s["begin"], s["end"]) for s in spans or ()])
+                joined = found.get((k, BYTE), [])
                 rest = kept_bytes(data, joined)
-                out.append((i, len(data), len(data) - len(rest), len(joined), hashlib.sha256(rest).hexdigest()))
-            columns = list(zip(*out)) or [()] * 5
-            kinds = [pa.int64()] * 4 + [pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
-            )
+                row = (i, len(data), len(data) - len(rest), len(joined), hashlib.sha256(rest).hexdigest())
+                if passage_words:
+                    shared = passages(data, found.get((k, WORD), []))
+                    row += (len(shared), sum(b - a for a, b in shared))
+                out.append(row)
+            columns = list(zip(*out)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return joined.select("doc_id", "text", "__spans").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        run, ", ".join(f"{n} {'string' if n == 'kept_sha256' else 'long'}" for n in names)
     )
 
 
@@ -407,11 +616,11 @@ def remove_repeats(documents, doc_id="doc_id", text="text", length=LENGTH, most=
     ``least_words`` words.  Bytes of a character that is cut are dropped with it; a
     null text stays null.
     """
-    joined = _with_spans(documents, doc_id, text, length, most)
+    joined = _with_spans(documents, doc_id, text, _strings(length), most)
 
     def rest(body, spans):
         data = body.encode()
-        taken = of_words(data, merged([(x["begin"], x["end"]) for x in spans]), least_words)
+        taken = of_words(data, _of_width(spans, BYTE), least_words)
         return kept_bytes(data, taken).decode("utf-8", errors="ignore") if taken else body
 
     @F.pandas_udf("string")
