@@ -32,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from zonarium.llm.common import stored, text_or_empty
+from zonarium.llm.common import blocks_of, stored, text_or_empty
 from zonarium.llm.shingles import shingle_set
 
 THRESHOLD = 0.8
@@ -42,6 +42,8 @@ DEPTH = 6
 TARGET_RECALL = 0.999999
 #: Members of a prefix group that one task compares with each other.
 BLOCK = 512
+#: Documents that ``keep_one`` gives in a partition of their own.
+DOCUMENTS_PER_FILE = 2000
 _RNG = np.random.default_rng(20240917)
 _MUL = _RNG.integers(1, 1 << 63, 4096, dtype=np.uint64) | np.uint64(1)
 
@@ -215,12 +217,16 @@ def components(edges, label="label"):
     """(key, label): the least key of each connected component of the edges (key, root).
 
     Labels spread over the edges and jump to the label of their label until
-    nothing changes; every round is written to the shared folder.
+    nothing changes; every round is written to the shared folder, and so must
+    ``edges`` be, as they are counted first.
     """
     both = stored(
-        edges.select("key", "root").union(edges.select("root", "key")).filter("key <> root").distinct(), "edges"
+        edges.select("key", "root").union(edges.select("root", "key")).filter("key <> root").distinct(),
+        "edges",
+        2 * edges.count(),
     )
-    labels = stored(both.groupBy("key").agg(F.least(F.min("root"), F.first("key")).alias(label)), "labels")
+    ends = both.count()
+    labels = stored(both.groupBy("key").agg(F.least(F.min("root"), F.first("key")).alias(label)), "labels", ends)
     while True:
         near = labels.select(F.col("key").alias("root"), F.col(label).alias("far"))
         spread = both.join(near, "root").groupBy("key").agg(F.min("far").alias("far"))
@@ -231,6 +237,7 @@ def components(edges, label="label"):
                 "key", F.coalesce("jumped", "next").alias(label), (F.coalesce("jumped", "next") < F.col("was")).alias("moved")
             ),
             "labels",
+            ends,
         )
         labels = after.select("key", label)
         if not after.filter("moved").take(1):
@@ -252,13 +259,17 @@ def classes(documents, doc_id="doc_id", text="text", threshold=THRESHOLD, trees=
             F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("prefixes").alias("prefixes")
         ),
         "texts",
+        rows.count(),
     )
+    different = texts.count()
     met = texts.filter("prefixes IS NOT NULL").select("key", F.posexplode("prefixes").alias("tree", "prefix"))
     # Counts are written before they are joined: both sides of the join are then plain
     # exchanges, which Spark can split where one prefix is very common.
-    groups = stored(met.groupBy("tree", "prefix").agg(F.count("*").alias("n")).filter("n > 1"), "groups")
+    groups = met.groupBy("tree", "prefix").agg(F.count("*").alias("n")).filter("n > 1")
+    groups = stored(groups, "groups", different * trees // 2)
+    met_twice = groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     inside = met.join(groups, ["tree", "prefix"]).join(texts.select("key", "rep", "copies", "prefixes"), "key")
-    inside = stored(inside, "members")
+    inside = stored(inside, "members", met_twice)
     # A group is of use if for no earlier tree all its members share a prefix.
     same = [
         (F.col("tree") > k) & (F.min(F.col("prefixes")[k]) == F.max(F.col("prefixes")[k])) for k in range(trees - 1)
@@ -267,7 +278,7 @@ def classes(documents, doc_id="doc_id", text="text", threshold=THRESHOLD, trees=
     for condition in same:
         known = known | condition
     useful = inside.groupBy("tree", "prefix").agg(known.alias("known")).filter("NOT known")
-    useful = stored(useful.select("tree", "prefix"), "groups")
+    useful = stored(useful.select("tree", "prefix"), "groups", groups.count())
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("key", F.lit("block")), blocks).cast("int")
     members = (
@@ -297,6 +308,7 @@ def classes(documents, doc_id="doc_id", text="text", threshold=THRESHOLD, trees=
             F.coalesce("label", "key").alias("label"),
         ),
         "classes",
+        different,
     )
 
 
@@ -347,4 +359,4 @@ def keep_one(documents, doc_id="doc_id", text="text", **options):
         kept = kept.filter("__again IS NULL").unionByName(
             kept.filter("__again IS NOT NULL").dropDuplicates(["__again"])
         )
-    return kept.select(*documents.columns)
+    return kept.select(*documents.columns).coalesce(blocks_of(rows.count(), DOCUMENTS_PER_FILE))

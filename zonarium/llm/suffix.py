@@ -322,18 +322,19 @@ def _shard(strings):
     return run
 
 
-def _with_counts(rows, kinds):
+def _with_counts(rows, kinds, most):
     """rows joined with n of their kind (key and whole), and kinds, of_key and singles of their key.
 
     The counts are written first: both sides of the join are then plain exchanges
-    that Spark can split where one key is very common.
+    that Spark can split where one key is very common.  There are at most ``most`` kinds.
     """
-    kinds = stored(kinds, "kinds")
+    kinds = stored(kinds, "kinds", most)
+    different = kinds.count()
     keys = kinds.groupBy(F.col("key").alias("of")).agg(
         F.count("*").alias("kinds"), F.sum("n").alias("of_key"), F.count_if(F.col("n") == 1).alias("singles")
     )
-    keys = stored(keys.filter("of_key > 1"), "keys")
-    counts = stored(kinds.join(keys, F.col("key") == F.col("of")).drop("of"), "counts")
+    keys = stored(keys.filter("of_key > 1"), "keys", different)
+    counts = stored(kinds.join(keys, F.col("key") == F.col("of")).drop("of"), "counts", different)
     return rows.join(counts, ["key", "whole"])
 
 
@@ -436,11 +437,12 @@ def _spans_found(rows, strings, most):
     # Strings of bytes may repeat in their own text, passages only in other documents.
     twice = found.groupBy("key").agg(F.count("*").alias("of"), in_others().alias("own"))
     twice = twice.filter("of > 1 AND NOT own").select("key")
-    again = stored(found.join(stored(twice, "keys"), "key"), "again")
+    again = stored(found.join(stored(twice, "keys", found.count() // 2), "key"), "again")
+    repeated = again.count()
     kinds = again.groupBy("key", "whole").agg(
         F.when(in_others(), F.lit(1)).otherwise(F.count("*")).alias("n"), F.min(F.struct("rid", "low")).alias("best")
     )
-    hits = stored(_with_counts(again, kinds), "hits")
+    hits = stored(_with_counts(again, kinds, repeated), "hits", repeated)
     length = F.element_at(F.create_map(*(F.lit(x) for w, (size, _) in strings.items() for x in (w, size))), F.col("width"))
     covered = lambda kind, place: kind.select(
         "rid", "width", place, F.col("low").cast("long").alias("begin"), (F.col("high") + length).cast("long").alias("end")
@@ -455,24 +457,26 @@ def _spans_found(rows, strings, most):
         .agg(F.collect_list(F.struct("width", "low", "high", "anchor", "key", "n", "kinds")).alias("places"))
     )
     texts = rows.join(places, "rid").select("rid", "text", "places").dropDuplicates(["rid"])
-    left = stored(_cut(texts, strings), "shards").withColumn("place", F.col("low"))
+    to_cut = hits.filter(f"singles > 0 AND kinds > 1 AND {of_kind}").count()
+    left = stored(_cut(texts, strings), "shards", to_cut, SHARD_PIECES).withColumn("place", F.col("low"))
     reach = F.element_at(F.create_map(*(F.lit(x) for w, (size, gram) in strings.items() for x in (w, size - gram))), F.col("width"))
     left = left.withColumn("near", F.lit(0)).withColumn("far", reach)
     while True:
         spans.append(stored(_in_shards(left.filter(F.col("kinds") <= most), strings), "spans"))
         common = left.filter(F.col("kinds") > most)
-        if not common.take(1):
+        halved = 2 * common.count()
+        if not halved:
             break
         # A kind whose other rows were set aside stands for them: it counts as two.
         halves = _halved(common.filter("n = 1"), strings).withColumn("n0", F.lit(1))
         stand_ins = _halved(common.filter("n > 1"), strings).withColumn("n0", F.lit(2))
         halves = halves.unionByName(stand_ins)
-        halves = stored(halves, "halves")
+        halves = stored(halves, "halves", halved)
         kinds = halves.groupBy("key", "whole").agg(
             F.when(in_others() & (F.max("n0") == 1), F.lit(1)).otherwise(F.sum("n0")).alias("n"),
             F.min(F.struct("n0", "rid", "low")).alias("best"),
         )
-        now = stored(_with_counts(halves, kinds), "halves")
+        now = stored(_with_counts(halves, kinds, halved), "halves", halved)
         spans.append(covered(now.filter("n > 1 AND n0 = 1"), "place"))
         left = now.filter(
             "singles > 0 AND kinds > 1 AND (n = 1 OR (n0 = best.n0 AND rid = best.rid AND low = best.low))"
