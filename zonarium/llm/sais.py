@@ -6,6 +6,9 @@ induction and named, the string of names is sorted recursively, and the order of
 all suffixes is induced from that of the LMS suffixes.  Induction scans the
 buckets once; here it takes as many buckets at a time as do not feed each other,
 so the work is linear and done in array operations.
+
+Where only some suffixes are asked for, and only as far as a given depth,
+``ranks_to`` sorts them by prefix doubling, in a few sorts of whole arrays.
 """
 
 import numpy as np
@@ -216,3 +219,35 @@ def permuted_lcp(data, order, symbols=None):
     known = source[last] >= 0
     out[known] = length[source[last[known]]] - (np.arange(n)[known] - last[known])
     return np.maximum(out, 0)
+
+
+def _ranked(keys):
+    """For each key, the number of different smaller ones."""
+    order = keys.argsort()
+    ordered = keys[order]
+    out = np.zeros(len(keys), np.int64)
+    out[order[1:]] = np.cumsum(ordered[1:] != ordered[:-1])
+    return out
+
+
+def ranks_to(symbols, starts, length):
+    """Ranks of the suffixes at ``starts`` by their first ``length`` symbols; equal strings rank equal.
+
+    By prefix doubling: ranks by h symbols give those by 2 h.  The last steps are
+    taken for the starts only.  ``symbols``: unsigned; each start has ``length`` of them.
+    """
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    size, keys = 1, symbols
+    if symbols.dtype == np.uint8 and length >= 8:  # eight bytes are a number
+        size, keys = 8, np.zeros(len(symbols) - 7, np.uint64)
+        for k in range(8):
+            keys |= symbols[k : k + len(keys)].astype(np.uint64) << np.uint64(56 - 8 * k)
+    ranks = _ranked(keys)
+    while 8 * size <= length:
+        ranks = _ranked(ranks[:-size] * len(ranks) + ranks[size:])
+        size *= 2
+    out = ranks[starts]
+    for at in range(size, length, size):
+        out = _ranked(out * len(ranks) + ranks[starts + min(at, length - size)])
+    return _ranked(out)

@@ -12,8 +12,8 @@ here strings are first dealt to shards such that equal strings meet:
    (same anchor and bytes, by two independent 64-bit hashes) are counted as one.
 3. Of the rest, one piece of each kind goes to a shard of its anchor.  A shard
    drops starts whose strings hold bytes about the anchor that no other piece has,
-   builds the suffix array of its pieces by induced sorting (``sais``), computes
-   permuted common prefixes, and marks starts whose string has an equal neighbour.
+   sorts the suffixes at the other starts by prefix doubling, as far as a string
+   reaches, and marks starts whose string has an equal neighbour.
 4. An anchor with more than ``MOST`` different pieces (a passage in very many
    documents) does not go to a shard: its pieces are halved, and each half is
    keyed by all bytes its strings share, until the groups are small or equal.
@@ -33,16 +33,17 @@ cross texts; an empty table gives an empty result; other columns are ignored by
 """
 
 import hashlib
-from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonarium.llm.common import blocks_of, stored, text_or_empty
-from zonarium.llm.sais import permuted_lcp, suffix_array
+from zonarium.llm.sais import ranks_to
 
 LENGTH = 400
 #: A passage: over 50 words, and as many bytes as 51 words rarely fall short of.
@@ -57,9 +58,11 @@ MOST = 512
 #: Pieces in a shard; what is sorted of them is mostly about half a megabyte.
 SHARD_PIECES = 2000
 #: Ranges of a piece's starts whose common bytes are compared before sorting.
-RANGES = 8
+RANGES = 32
 #: Bytes anchors are looked for in at a time; longer texts overlap.
 WINDOW = 1 << 20
+#: Bytes of texts that are taken together, so that no array operation works on a few only.
+CHUNK = 1 << 17
 _rng = np.random.default_rng(20240731)
 _VALUES = _rng.integers(1, 1 << 63, (2, 256), dtype=np.uint64) | np.uint64(1)
 _WORD_FACTORS = [0x9E6C63D0876A9A47, 0xE7037ED1A0B428DB]
@@ -88,12 +91,13 @@ class _Powers:
 def _prefix_hashes(data, which, powers):
     up, _ = powers.upto(len(data) + 1)
     if data.dtype == np.uint8:
-        values = _VALUES[which][data]
+        values = _VALUES[which].take(data)
     else:  # hashes of words
         values = data * np.uint64(_WORD_FACTORS[which])
         values ^= values >> np.uint64(32)
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values * up[which][: len(data)], out=out[1:])
+    values *= up[which][: len(data)]
+    np.cumsum(values, out=out[1:])
     return out
 
 
@@ -123,21 +127,32 @@ def word_places(data):
     return edges[::2], edges[1::2]
 
 
-def _words(data, prefix, powers):
-    """A 64-bit hash for each word of a text with these prefix hashes."""
-    starts, ends = word_places(data)
-    return _between(prefix, 0, starts, ends, powers)
+def _together(texts):
+    """Texts with a space after each but the last, about ``CHUNK`` bytes at a time: first text, starts, ends, bytes."""
+    first = 0
+    while first < len(texts):
+        after, size = first + 1, len(texts[first])
+        while after < len(texts) and size + len(texts[after]) < CHUNK:
+            size += len(texts[after]) + 1
+            after += 1
+        sizes = np.array([len(t) for t in texts[first:after]])
+        ends = np.cumsum(sizes + 1) - 1
+        yield first, ends - sizes, ends, np.frombuffer(b" ".join(texts[first:after]), np.uint8)
+        first = after
 
 
-def _symbols(data, width, powers):
-    return data if width == BYTE else _words(data, _prefix_hashes(data, 0, powers), powers)
+def _words(data, starts, ends, prefix, powers):
+    """A 64-bit hash for each word of texts with these prefix hashes; where the words of each start and end."""
+    first, last = word_places(data)
+    return _between(prefix, 0, first, last, powers), np.searchsorted(first, starts), np.searchsorted(first, ends)
 
 
-def pieces(data, length, gram, powers, prefix=None):
+def pieces(data, length, gram, powers, prefix=None, starts=None, ends=None):
     """Pieces of a text: first and last string start, anchor, anchor hash, piece hash.
 
     ``data``: bytes or hashes of words, in which all places are counted; ``prefix``:
-    their prefix hashes, if known.
+    their prefix hashes, if known; ``starts``, ``ends``: of the texts in it, if it
+    holds several.
     """
     n = len(data)
     if n < length:
@@ -160,8 +175,18 @@ def pieces(data, length, gram, powers, prefix=None):
         least = np.minimum(behind[:count], ahead[width - 1 : width - 1 + count])
         anchors.append((least & np.uint64(0x3FFFFF)).astype(np.int64) + at)
     anchor = np.concatenate(anchors)
-    edges = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-    low, high, at = edges, np.append(edges[1:], len(anchor)) - 1, anchor[edges]
+    new = np.ones(len(anchor), bool)
+    np.not_equal(anchor[1:], anchor[:-1], out=new[1:])
+    if starts is not None:  # a text's first string, and the first one that would cross its end
+        new[starts[starts < len(new)]] = True
+        crossing = np.maximum(ends - length + 1, starts)
+        new[crossing[crossing < len(new)]] = True
+    low = np.flatnonzero(new)
+    high = np.append(low[1:], len(anchor)) - 1
+    if starts is not None:
+        inside = low + length <= ends[np.searchsorted(starts, low, side="right") - 1]
+        low, high = low[inside], high[inside]
+    at = anchor[low]
     second = _prefix_hashes(data, 1, powers)
     whole = _between(second, 1, low, high + length, powers)
     # Where the strings stand about the anchor belongs to the piece.
@@ -174,18 +199,22 @@ def _all_pieces(rows, strings):
         powers = _Powers()
         for batch in batches:
             parts = [[] for _ in range(7)]
-            for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data = np.frombuffer(text.encode(), np.uint8)
+            rids = batch.column(0).to_numpy()
+            for first, starts, ends, data in _together(batch.column(1).cast(pa.binary()).to_pylist()):
                 prefix = _prefix_hashes(data, 0, powers)
                 for width, (length, gram) in strings.items():
                     if width == BYTE:
-                        found = pieces(data, length, gram, powers, prefix)
+                        own, found = starts, pieces(data, length, gram, powers, prefix, starts, ends)
                     else:
-                        found = pieces(_words(data, prefix, powers), length, gram, powers)
+                        words, own, last = _words(data, starts, ends, prefix, powers)
+                        found = pieces(words, length, gram, powers, None, own, last)
                     if len(found[0]):
-                        parts[0].append(np.full(len(found[0]), rid, np.int64))
-                        parts[1].append(np.full(len(found[0]), width, np.int32))
-                        for store, values in zip(parts[2:], found):
+                        text = np.searchsorted(own, found[0], side="right") - 1
+                        parts[0].append(rids[first + text])
+                        parts[1].append(np.full(len(text), width, np.int32))
+                        for store, values in zip(parts[2:5], found):
+                            store.append(values - own[text])
+                        for store, values in zip(parts[5:], found[3:]):
                             store.append(values)
             if parts[0]:
                 rid, width, low, high, at, key, whole = map(np.concatenate, parts)
@@ -205,57 +234,41 @@ def _all_pieces(rows, strings):
     return rows.mapInArrow(run, "rid long, width int, low int, high int, anchor int, key long, whole long")
 
 
+def _starts(texts, spans, length):
+    """All texts' symbols in one array, each one's text and place in it, and the starts of strings within the spans."""
+    sizes = np.array([len(t) for t in texts])
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    place = np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner]
+    own = (place >= spans[owner, 0]) & (place <= spans[owner, 1]) & (place + length <= sizes[owner])
+    return owner, place, np.flatnonzero(own)
+
+
 def mark_repeats(texts, spans, length):
     """Starts in each text, within its span of starts, whose string also starts in another place.
 
     ``texts``: byte strings whose spans of starts are different places.
     """
-    sizes = np.array([len(t) + 1 for t in texts])
-    base = np.cumsum(sizes) - sizes
-    data = np.frombuffer(b"".join(t + b"\0" for t in texts), np.uint8)
-    symbols = data.astype(np.int64) + 1
-    symbols[base + sizes - 1] = 0  # the end of a text is less than any byte
-    order = suffix_array(symbols, 257)
-    common = permuted_lcp(data, order, symbols)
-    own = np.zeros(len(data), bool)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    place = np.arange(len(data)) - base[owner]
-    own = (place >= spans[owner, 0]) & (place <= spans[owner, 1]) & (place + length < sizes[owner])
-    equal = (common[order[1:]] >= length) & own[order[1:]] & own[order[:-1]]
-    marked = np.zeros(len(data), bool)
-    marked[order[1:][equal]] = True
-    marked[order[:-1][equal]] = True
+    owner, place, starts = _starts(texts, spans, length)
+    marked = np.zeros(len(owner), bool)
+    ranks = ranks_to(np.frombuffer(b"".join(texts), np.uint8), starts, length)
+    marked[starts] = np.bincount(ranks)[ranks] > 1
     return marked, owner, place
 
 
 def mark_passages(texts, spans, length, owners):
     """Starts in each text, within its span, whose words also start in a text of another owner.
 
-    ``texts``: hashes of words; a start in its span has ``length`` words after it.
+    ``texts``: hashes of words.
     """
-    sizes = np.array([len(t) + 1 for t in texts])
-    base = np.cumsum(sizes) - sizes
-    symbols = np.zeros(sizes.sum(), np.int64)
-    inside = np.ones(len(symbols), bool)
-    inside[base + sizes - 1] = False  # the end of a text is less than any word
-    names, ranks = np.unique(np.concatenate(texts), return_inverse=True)
-    symbols[inside] = ranks + 1
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    place = np.arange(len(symbols)) - base[owner]
-    own = (place >= spans[owner, 0]) & (place <= spans[owner, 1])
-    order = suffix_array(symbols, len(names) + 1)
-    order = order[own[order]]
-    equal = np.arange(max(0, len(order) - 1))
-    for k in range(length):
-        equal = equal[symbols[order[equal] + k] == symbols[order[equal + 1] + k]]
-    marked = np.zeros(len(symbols), bool)
-    if len(equal):
-        first = np.ones(len(order), bool)
-        first[equal + 1] = False
-        heads = np.flatnonzero(first)
-        whose = np.asarray(owners)[owner[order]]
-        shared = np.minimum.reduceat(whose, heads) != np.maximum.reduceat(whose, heads)
-        marked[order] = shared[np.cumsum(first) - 1]
+    owner, place, starts = _starts(texts, spans, length)
+    marked = np.zeros(len(owner), bool)
+    ranks = ranks_to(np.concatenate(texts), starts, length)
+    whose = np.unique(np.asarray(owners), return_inverse=True)[1][owner[starts]]
+    some = np.zeros(len(starts), np.int64)
+    some[ranks] = whose  # one owner of each string
+    shared = np.zeros(len(starts), bool)
+    shared[ranks[whose != some[ranks]]] = True
+    marked[starts] = shared[ranks]
     return marked, owner, place
 
 
@@ -275,21 +288,28 @@ def _worth_sorting(rows, length, gram, width):
     has these bytes there, the range has no repeat.
     """
     step = -(-(length - gram + 1) // RANGES)
-    seen, ranges = Counter(), []
-    for key, low, high, anchor, data in zip(rows["key"], rows["low"], rows["high"], rows["anchor"], rows["data"]):
-        own, at, last = [], anchor - low, high - low
-        for k in range((at - last) // step, at // step + 1):
-            near, far = k * step, min(k * step + step - 1, length - gram)
-            core = (key, k, bytes(data[(at - near) * width : (at - far + length) * width]))
-            seen[core] += 1
-            own.append((core, max(0, at - far), min(last, at - near)))
-        ranges.append(own)
-    out = []
-    for row, own in enumerate(ranges):
-        kept = [(a, b) for core, a, b in own if seen[core] > 1]
-        if kept:
-            out.append((row, min(a for a, _ in kept), max(b for _, b in kept)))
-    return out
+    low, high, anchor, key = (np.array(rows[n], np.int64) for n in ("low", "high", "anchor", "key"))
+    data = np.frombuffer(b"".join(rows["data"]), np.uint8 if width == BYTE else np.uint64)
+    sizes = high - low + length
+    base = np.cumsum(sizes) - sizes
+    at, last = anchor - low, high - low
+    lowest = (at - last) // step
+    ranges = at // step + 1 - lowest
+    row = np.repeat(np.arange(len(low)), ranges)
+    k = np.arange(len(row)) - (np.cumsum(ranges) - ranges - lowest)[row]
+    near, far = k * step, np.minimum(k * step + step - 1, length - gram)
+    # Equal hashes of other bytes only cost sorting.
+    powers = _Powers()
+    core = _between(_prefix_hashes(data, 0, powers), 0, (base + at)[row] - near, (base + at)[row] - far + length, powers)
+    core = _mixed(core ^ key.astype(np.uint64)[row] * np.uint64(0xA24BAED4963EE407)) ^ k.astype(np.uint64)
+    _, kind, seen = np.unique(core, return_inverse=True, return_counts=True)
+    kept = seen[kind] > 1
+    row, near, far = row[kept], near[kept], far[kept]
+    if not len(row):
+        return []
+    first, final = np.maximum(0, at[row] - far), np.minimum(last[row], at[row] - near)
+    heads = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+    return list(zip(row[heads].tolist(), np.minimum.reduceat(first, heads).tolist(), np.maximum.reduceat(final, heads).tolist()))
 
 
 def _shard(strings):
@@ -390,20 +410,25 @@ def _cut(rows, strings):
         powers = _Powers()
         names = ("width", "low", "high", "anchor", "key", "n", "kinds")
         for batch in batches:
-            rids, cols, data = [], {n: [] for n in names}, []
-            for rid, text, places in zip(*(c.to_pylist() for c in batch.columns)):
-                whole = np.frombuffer(text.encode(), np.uint8)
-                symbols = {w: _symbols(whole, w, powers) for w in {p["width"] for p in places}}
-                for p in places:
-                    rids.append(rid)
-                    for n in names:
-                        cols[n].append(p[n])
-                    data.append(symbols[p["width"]][p["low"] : p["high"] + strings[p["width"]][0]].tobytes())
+            sizes = batch.column(2).value_lengths().to_numpy()
+            places = batch.column(2).flatten()
+            width, low, high = (places.field(n).to_numpy() for n in names[:3])
+            edges = np.concatenate([[0], np.cumsum(sizes)])
+            data = []
+            for first, starts, ends, text in _together(batch.column(1).cast(pa.binary()).to_pylist()):
+                after = first + len(starts)
+                inside = slice(edges[first], edges[after])
+                of = np.repeat(np.arange(len(starts)), sizes[first:after])
+                symbols = {BYTE: (text, starts)}
+                if WORD in strings:
+                    symbols[WORD] = _words(text, starts, ends, _prefix_hashes(text, 0, powers), powers)[:2]
+                for k, w, a, b in zip(of.tolist(), width[inside].tolist(), low[inside].tolist(), high[inside].tolist()):
+                    whole, own = symbols[w]
+                    data.append(whole[own[k] + a : own[k] + b + strings[w][0]].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(rids, pa.int64()),
-                    *(pa.array(cols[n], pa.int32()) for n in names[:4]),
-                    *(pa.array(cols[n], pa.int64()) for n in names[4:]),
+                    pa.array(np.repeat(batch.column(0).to_numpy(), sizes)),
+                    *(places.field(n) for n in names),
                     pa.array(data, pa.binary()),
                 ],
                 names=["rid", *names, "data"],
@@ -439,8 +464,11 @@ def _spans_found(rows, strings, most):
     twice = twice.filter("of > 1 AND NOT own").select("key")
     again = stored(found.join(stored(twice, "keys", found.count() // 2), "key"), "again")
     repeated = again.count()
+    # Row and place as one number, which hash aggregation takes.  Of a kind in several rows two may have
+    # the least one, by chance; both then stand for it.
+    one = F.col("rid").bitwiseAND(F.lit(-1 << 31)).bitwiseOR(F.col("low").cast("long"))
     kinds = again.groupBy("key", "whole").agg(
-        F.when(in_others(), F.lit(1)).otherwise(F.count("*")).alias("n"), F.min(F.struct("rid", "low")).alias("best")
+        F.when(in_others(), F.lit(1)).otherwise(F.count("*")).alias("n"), F.min(one).alias("best")
     )
     hits = stored(_with_counts(again, kinds, repeated), "hits", repeated)
     length = F.element_at(F.create_map(*(F.lit(x) for w, (size, _) in strings.items() for x in (w, size))), F.col("width"))
@@ -449,16 +477,16 @@ def _spans_found(rows, strings, most):
     )
     spans = [covered(hits.filter("n > 1"), F.col("low").alias("place"))]
     # One of each kind, if there are singles beside it.
-    of_kind = "rid = best.rid AND low = best.low"
+    of_kind = one == F.col("best")
+    to_cut = hits.filter("singles > 0 AND kinds > 1").filter(of_kind)
     places = (
-        hits.filter(f"singles > 0 AND kinds > 1 AND {of_kind}")
+        to_cut
         .dropDuplicates(["rid", "width", "low"])
         .groupBy("rid")
         .agg(F.collect_list(F.struct("width", "low", "high", "anchor", "key", "n", "kinds")).alias("places"))
     )
     texts = rows.join(places, "rid").select("rid", "text", "places").dropDuplicates(["rid"])
-    to_cut = hits.filter(f"singles > 0 AND kinds > 1 AND {of_kind}").count()
-    left = stored(_cut(texts, strings), "shards", to_cut, SHARD_PIECES).withColumn("place", F.col("low"))
+    left = stored(_cut(texts, strings), "shards", to_cut.count(), SHARD_PIECES).withColumn("place", F.col("low"))
     reach = F.element_at(F.create_map(*(F.lit(x) for w, (size, gram) in strings.items() for x in (w, size - gram))), F.col("width"))
     left = left.withColumn("near", F.lit(0)).withColumn("far", reach)
     while True:
@@ -481,15 +509,17 @@ def _spans_found(rows, strings, most):
         left = now.filter(
             "singles > 0 AND kinds > 1 AND (n = 1 OR (n0 = best.n0 AND rid = best.rid AND low = best.low))"
         ).select("rid", "width", "place", "low", "high", "anchor", "near", "far", "key", "n", "kinds", "data")
-    whole = spans[0]
-    for more in spans[1:]:
+    whole, *others = spans
+    for more in others:
         whole = whole.unionByName(more)
     if WORD in strings:
-        # Other places of the same piece in its document.
-        twins = hits.filter(f"n = 1 AND NOT ({of_kind})").select(
-            "rid", "width", F.col("best.low").alias("place"), (F.col("low") - F.col("best.low")).alias("shift")
+        # Other places of the same piece in its document; whole pieces that repeat have none.
+        place = F.col("best").bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+        twins = hits.filter(F.col("n") == 1).filter((F.col("width") == WORD) & ~of_kind).select(
+            "rid", "width", place.alias("place"), (F.col("low") - place).alias("shift")
         )
-        there = whole.join(twins.filter(F.col("width") == WORD), ["rid", "width", "place"])
+        found = reduce(DataFrame.unionByName, others).filter(F.col("width") == WORD)
+        there = found.join(twins, ["rid", "width", "place"])
         there = there.select("rid", "width", "place", *((F.col(c) + F.col("shift")).alias(c) for c in ("begin", "end")))
         whole = whole.unionByName(there)
     return whole.drop("place")
